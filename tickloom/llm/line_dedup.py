@@ -29,7 +29,6 @@ SHARD_KEYS = 20_000
 #: So many shards at least, so that probes spread over the tasks where keys are few.
 LEAST_SHARDS = 256
 _MASK = 0x7FFFFFFF
-_SPREAD = 0x5851F42D
 _BLANK = b" \t\n\x0b\x0c\r"
 _LEAST = -(2**63)
 
@@ -70,9 +69,9 @@ def place(h1: np.ndarray, h2: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """Minimal perfect hash of distinct keys: (seed, displacement by bucket, slot by key)."""
     n = len(h1)
     for seed in range(1000):
-        start = ((h2 ^ (seed * _SPREAD)) & _MASK).tolist()
-        step = (((h1 >> 20) + seed) & _MASK).tolist()
-        bucket = (((h2 >> 31) & _MASK) % n).tolist()
+        start = ((h2 >> (seed % 32)) & _MASK).tolist()  # a seed reads other bits of the 128
+        step = ((h1 >> (12 + seed // 3 % 20)) & _MASK).tolist()
+        bucket = (((h2 >> (31 - seed // 5 % 31)) & _MASK) % n).tolist()
         members: dict[int, list[int]] = {}
         for k, b in enumerate(bucket):
             members.setdefault(b, []).append(k)
@@ -117,10 +116,12 @@ def build_index(hashes: DataFrame, min_docs: int = MIN_DOCS, shard_keys: int = S
 
 def _slot() -> Column:
     h1, h2, n = F.col("h1"), F.col("h2"), F.col("n")
-    bucket = F.pmod(F.shiftright(h2, 31).bitwiseAND(F.lit(_MASK)), n)
+    seed = F.col("seed").cast("int")
+    low = lambda h, by: F.call_function("shiftright", h, by).bitwiseAND(F.lit(_MASK))
+    bucket = F.pmod(low(h2, 31 - F.floor(seed / 5).cast("int") % 31), n)
     d = F.get("shift", bucket.cast("int")).cast("long")
-    start = h2.bitwiseXOR(F.col("seed") * F.lit(_SPREAD)).bitwiseAND(F.lit(_MASK))
-    step = (F.shiftright(h1, 20) + F.col("seed")).bitwiseAND(F.lit(_MASK))
+    start = low(h2, seed % 32)
+    step = low(h1, 12 + F.floor(seed / 3).cast("int") % 20)
     return F.when(d < 0, -d - 1).otherwise(F.pmod(start + d * step, n)).cast("int")
 
 
