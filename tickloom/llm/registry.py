@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import exact_dedup, line_dedup
+from tickloom.llm import exact_dedup, line_dedup, sentencepiece_bpe
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.query,
+    "op6_sentencepiece": lambda spark, d: sentencepiece_bpe.query(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_dedup.query(documents(spark, d)),
 }
 
