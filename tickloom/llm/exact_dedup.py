@@ -18,12 +18,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import cut, fresh_path
+from tickloom.llm.common import broadcast_within, cut, fresh_path
 
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: While the stream runs: RocksDB holds the state, without files of a fixed size set aside for each partition.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _LEAST = -(2**63)
 #: Hits of one group that one verifying key takes; the kept text is repeated for each such block.
 BLOCK = 2000
+#: Digests of groups that are broadcast at most (about 200 bytes each); beyond it the join is shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def sha(text: Column) -> Column:
@@ -42,8 +48,9 @@ def build_state(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     """Take in all files of ``path`` not yet taken in (by ``checkpoint``) and return the state: digest, id, file, row, n."""
     checkpoint = checkpoint or fresh_path(spark, "dedup-state")
     schema = spark.read.parquet(path).schema
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         # As a glob: the stream source takes a single file only so, and a folder of files as well.
         source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
@@ -55,18 +62,20 @@ def build_state(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
             return spark.createDataFrame([], "digest string, id long, file string, row long, n long")
         state = spark.read.format("statestore").load(checkpoint)
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     best, count = state.schema["value"].dataType.names
     return state.select(F.col("key.digest").alias("digest"), *[F.col(f"value.{best}.{x}").alias(x) for x in ("id", "file", "row")], F.col(f"value.{count}").alias("n"))
 
 
 def _verified(rows: DataFrame, state: DataFrame, block: int) -> DataFrame:
     """For each row of a digest with several rows: whether its bytes equal those at the locator."""
-    many = state.where(F.col("n") > 1).withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
-    spot = many.select("digest", "file", "row", "blocks")
-    kept = rows.join(spot, ["digest", "file", "row"]).select("digest", F.col("text").alias("kept_text"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
-    hits = rows.join(many.select("digest", "blocks"), "digest").withColumn("b", F.pmod(F.xxhash64("file", "row"), F.col("blocks")).cast("int"))
-    return hits.join(kept, ["digest", "b"]).select("digest", "file", "row", "id", (F.col("text") == F.col("kept_text")).alias("same"))
+    many = cut(state.where(F.col("n") > 1).select("digest", F.col("file").alias("kf"), F.col("row").alias("kr"), F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")), "dedup-many")
+    met = rows.join(broadcast_within(many, many.count(), BROADCAST_ROWS), "digest")  # only texts of hits are moved
+    at = F.when((F.col("file") == F.col("kf")) & (F.col("row") == F.col("kr")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("file", "row"), F.col("blocks")).cast("int")))
+    dealt = met.select("digest", F.explode(at).alias("b"), "text", ((F.col("file") == F.col("kf")) & (F.col("row") == F.col("kr"))).alias("stays"))
+    kept = dealt.where("stays").select("digest", "b", F.col("text").alias("kept_text"))
+    return dealt.where("not stays").join(kept, ["digest", "b"]).select("digest", (F.col("text") == F.col("kept_text")).alias("same"))
 
 
 def stream_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha, checkpoint: str | None = None, block: int = BLOCK) -> DataFrame:
