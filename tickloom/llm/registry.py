@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import exact_dedup, line_dedup, quality, sentencepiece_bpe, sharding
+from tickloom.llm import exact_dedup, line_dedup, ngram_join, quality, sentencepiece_bpe, sharding
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.query,
     "op5_quality": lambda spark, d: quality.query(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op6_sentencepiece": lambda spark, d: sentencepiece_bpe.query(documents(spark, d)),
+    "op7_ngram_join": lambda spark, d: ngram_join.query(documents(spark, d)),
     "op8_sharding": lambda spark, d: sharding.query(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_dedup.query(documents(spark, d)),
 }
 
 SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }

@@ -23,7 +23,7 @@ from tickloom.llm.common import P, fresh_path
 
 OLD_SHARDS, NEW_SHARDS = 12, 16
 #: Blocks over all old shards at most; bounds the plan.
-BLOCKS = 1536
+BLOCKS = 768
 
 
 def capacities(rows: int, shards: int) -> list[int]:
