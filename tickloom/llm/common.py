@@ -37,6 +37,16 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*cuts: DataFrame) -> None:
+    """Delete the files of written cuts that nothing reads any more."""
+    for df in cuts:
+        spark = df.sparkSession
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -1,17 +1,17 @@
 """N-gram Jaccard join by filters under several global token orders.
 
 A document is the set of its distinct five-word shingles (64-bit hashes).  Two sets of Jaccard similarity t share, under
-any total order of all tokens, a token of their prefixes (the first n - ceil(t n) + 1 of n).  Three orders are used;
-all put tokens that are frequent over all documents last (frequency by hashed slot, a table of fixed size) and differ
+any total order of all tokens, a token of their prefixes (the first n - ceil(t n) + 1 of n).  Two orders are used;
+both put tokens that are frequent over all documents last (frequency by hashed slot, a table of fixed size) and differ
 in the order within a frequency level.  Tokens of the first order's prefixes are joined; a candidate must then also
-share prefix tokens under the second and the third order, have sizes and a parity bitmap (its Hamming distance is at
+share prefix tokens under the second order, have sizes and a parity bitmap (its Hamming distance is at
 most the symmetric difference) that allow the similarity, and only then are the sets themselves intersected.
 
 Equal sets are one class from the start.  Since the result is what links reach, a prefix token shared by many classes
-isn't expanded into all pairs: first each class meets a few hashed leaders of each of its tokens; the links found are
-joined into components; after that only pairs of different components are compared, and of those, in each token,
-every class outside the leader's component with all others.  No pair that could join two components is left out, and
-there is no cap.
+isn't expanded into all pairs.  In a few rounds each class meets one leader in each of its tokens (first the least
+class under one order of all, which small groups agree on; then under an order of each token's own), unless both are of one component already; the links found are
+joined into components.  After that, in each token, every class outside the leader's component is compared with all
+classes of other components.  No pair that could join two components is left out, and there is no cap.
 
 Defined results: a null or empty text, or one without words, has the empty set and links with nothing; with fewer than
 five words the whole sequence is the one shingle; each row is a document; a null identifier gets the component of the
@@ -28,15 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import broadcast_within, cut
+from tickloom.llm.common import broadcast_within, cut, discard
 from tickloom.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 80
 #: Slots of the frequency table; fixed, so its broadcast is bounded.
 SLOTS = 1 << 15
-#: Hashed leaders that each class meets in each of its prefix tokens before components are known.
-LEADERS = 2
+#: Rounds in which classes meet leaders before all that is left is compared.
+ROUNDS = 3
 #: Rows of (token) or (doc_id) that are broadcast at most; beyond it the joins are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Word hashes that a Python worker keeps.
@@ -150,17 +150,19 @@ def _postings(words: int, percent: int, level: np.ndarray):
 
 def _members(words: int, percent: int, level: np.ndarray):
     lists = pa.list_(pa.int64())
-    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), *[(f"b{k}", pa.int64()) for k in range(4)], ("second", lists), ("third", lists), ("toks", lists)])
+    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), *[(f"b{k}", pa.int64()) for k in range(4)], ("second", lists), ("toks", lists)])
 
     def run(batches):
+        done: set[int] = set()
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 rows = []
                 for _, text in _texts(part):
                     s = shingles(text or b"", words)
-                    if len(s):
+                    if len(s) and (c := _class(s)) not in done:
+                        done.add(c)
                         bits = np.packbits((np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
-                        rows.append((_class(s), len(s), *map(int, bits), *(prefix(s, level, k, percent).view(np.int64) for k in (2, 3)), s.view(np.int64)))
+                        rows.append((c, len(s), *map(int, bits), prefix(s, level, 2, percent).view(np.int64), s.view(np.int64)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
@@ -175,17 +177,27 @@ def _close(a: str, b: str, percent: int) -> Column:
 
 
 def _verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs (x, y), those that pass the other orders' filters and then the exact similarity."""
-    one = members.select(F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("second").alias("sx"), F.col("third").alias("tx"), F.col("toks").alias("ax"))
-    two = members.select(F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("second").alias("sy"), F.col("third").alias("ty"), F.col("toks").alias("ay"))
+    """Of candidate pairs (x, y), those that pass the second order's filter and then the exact similarity."""
+    one = members.select(F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("second").alias("sx"), F.col("toks").alias("ax"))
+    two = members.select(F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("second").alias("sy"), F.col("toks").alias("ay"))
     met = pairs.join(one, "x").join(two, "y")
-    other = F.arrays_overlap("sx", "sy") & F.arrays_overlap("tx", "ty")
     same = F.size(F.array_intersect("ax", "ay")) * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
-    return met.where(F.when(other, same).otherwise(F.lit(False))).select("x", "y")
+    return met.where(F.when(F.arrays_overlap("sx", "sy"), same).otherwise(F.lit(False))).select("x", "y").distinct()
+
+
+SIDE = ["cls", "n", "b0", "b1", "b2", "b3"]
+
+
+def _labelled(post: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Postings with their class's component so far."""
+    if known is None:
+        return post.withColumn("comp", F.col("cls"))
+    return post.join(known.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
 
 
-def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, leaders: int = LEADERS) -> DataFrame:
+def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
+    spark = docs.sparkSession
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     both = cut(read.mapInArrow(_sets(words), "doc_id long, cls long, n long, slot int, c long"), "sets")
     sets = both.where("slot is null").select("doc_id", "cls", "n")
@@ -199,28 +211,37 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     post = cut(postings.join(broadcast_within(shared, shared.count(), BROADCAST_ROWS), "tok").distinct(), "shared-postings")
     reps = cut(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(post.select("cls").distinct(), "cls", "left_semi").select("doc_id").distinct(), "reps")
     some = read.join(broadcast_within(reps, reps.count(), BROADCAST_ROWS), "doc_id", "left_semi")
-    members = cut(some.mapInArrow(_members(words, percent, level), "cls long, n long, b0 long, b1 long, b2 long, b3 long, second array<long>, third array<long>, toks array<long>").dropDuplicates(["cls"]), "members")
-    slim = members.select("cls", "n", "b0", "b1", "b2", "b3")
-
-    # Each class with the leaders of its tokens.
-    order = lambda k: F.xxhash64("tok", "cls", F.lit(k))
-    heads = post.groupBy("tok").agg(*[F.min_by("cls", order(k)).alias(f"l{k}") for k in range(leaders)])
-    met = post.join(heads, "tok").select("cls", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(leaders)]))).alias("head")).where("cls != head")
-    pairs = met.select(F.least("cls", "head").alias("x"), F.greatest("cls", "head").alias("y")).distinct()
-    near = pairs.join(slim.alias("a"), F.col("x") == F.col("a.cls")).join(slim.alias("b"), F.col("y") == F.col("b.cls")).where(_close("a", "b", percent)).select("x", "y")
-    links = cut(_verify(near, members, percent), "links")
-    known = connected_components(links, "x", "y")
+    members = cut(some.mapInArrow(_members(words, percent, level), "cls long, n long, b0 long, b1 long, b2 long, b3 long, second array<long>, toks array<long>"), "members")
+    slim = cut(members.select("cls", "n", "b0", "b1", "b2", "b3").dropDuplicates(["cls"]), "slim")
+    discard(postings, shared, reps)
+    post = cut(post.join(slim, "cls"), "open")
+
+    # Each class with the leaders of its tokens that are of other components.
+    links, known = None, None
+    for r in range(rounds):
+        of = _labelled(post, known)
+        rank = F.xxhash64("cls", F.lit(r)) if r == 0 else F.xxhash64("tok", "cls", F.lit(r))
+        heads = of.groupBy("tok").agg(F.min_by(F.struct("comp", *SIDE), rank).alias("b"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", "b")
+        near = of.alias("a").join(heads, "tok").where((F.col("a.comp") != F.col("b.comp")) & _close("a", "b", percent))
+        near = cut(near.select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y")).distinct(), "near")
+        if near.isEmpty():
+            break
+        found = cut(_verify(near, members, percent), "links")
+        links = found if links is None else links.union(found)
+        known = connected_components(links, "x", "y")
 
     # What could still join two components: in each token, classes outside the leader's component against all others.
-    of = cut(post.join(known.withColumnRenamed("node", "cls"), "cls", "left").select("tok", "cls", F.coalesce("label", "cls").alias("comp")), "labelled")
-    left = of.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("comp", order(0)).alias("main")).where("lo < hi").select("tok", "main")
-    open_ = cut(of.join(left, "tok").join(slim, "cls"), "open")
+    of = _labelled(post, known)
+    left = of.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("comp", F.xxhash64("cls", F.lit(0))).alias("main")).where("lo < hi").select("tok", "main")
+    open_ = cut(of.join(left, "tok"), "left")
     a, b = open_.where("comp != main").alias("a"), open_.alias("b")
     fresh = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.cls") < F.col("b.cls")))
-    rest = a.join(b, (F.col("a.tok") == F.col("b.tok")) & fresh & _close("a", "b", percent)).select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y")).distinct()
-    more = cut(_verify(rest, members, percent), "more-links")
-    joined = links.union(more)
-    final = connected_components(joined, "x", "y") if not more.isEmpty() else known
+    rest = cut(a.join(b, (F.col("a.tok") == F.col("b.tok")) & fresh & _close("a", "b", percent)).select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y")).distinct(), "rest")
+    if not rest.isEmpty():
+        found = cut(_verify(rest, members, percent), "links")
+        links = found if links is None else links.union(found)
+        known = connected_components(links, "x", "y")
+    final = known if known is not None else spark.createDataFrame([], "node long, label long")
 
     least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = cut(least, "classes")
