@@ -4,8 +4,8 @@ A document is the set of its distinct five-word shingles (64-bit hashes).  Two s
 any total order of all tokens, a token of their prefixes (the first n - ceil(t n) + 1 of n).  Two orders are used;
 both put tokens that are frequent over all documents last (frequency by hashed slot, a table of fixed size) and differ
 in the order within a frequency level.  Tokens of the first order's prefixes are joined; a candidate must then also
-share prefix tokens under the second order, have sizes and a parity bitmap (its Hamming distance is at
-most the symmetric difference) that allow the similarity, and only then are the sets themselves intersected.
+share prefix tokens under the second order, have sizes and parity bitmaps (their Hamming distance is
+at most the symmetric difference) that allow the similarity, and only then are the sets themselves intersected.
 
 Equal sets are one class from the start.  Since the result is what links reach, a prefix token shared by many classes
 isn't expanded into all pairs.  In a few rounds each class meets one leader in each of its tokens (first the least
@@ -105,8 +105,25 @@ def _texts(batch: pa.RecordBatch):
     return zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)
 
 
+def _bitmap(s: np.ndarray) -> tuple[int, ...]:
+    """256 bits, each the parity of the tokens that fall on it."""
+    odd = (np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return tuple(map(int, np.packbits(odd).view(np.int64)))
+
+
+def _map(s: np.ndarray) -> np.ndarray:
+    """A parity bitmap whose bits grow with the set (a power of two from 2 n up); halves folded by XOR give the shorter ones."""
+    bits = 1 << max(8, int(2 * len(s) - 1).bit_length())
+    odd = (np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+SETS = ["doc_id", "cls", "n", "b0", "b1", "b2", "b3", "slot", "c"]
+
+
 def _sets(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("slot", pa.int32()), ("c", pa.int64())])
+    lists = pa.list_(pa.int64())
+    schema = pa.schema([*[(x, pa.int64()) for x in SETS], ("map", lists)])
 
     def run(batches):
         counts = np.zeros(SLOTS, dtype=np.int64)
@@ -117,13 +134,11 @@ def _sets(words: int):
                 counts += np.bincount(_slot(s), minlength=SLOTS) if len(s) > 2000 else 0
                 if len(s) <= 2000:
                     np.add.at(counts, _slot(s), 1)
-                rows.append((i, _class(s) if len(s) else None, len(s)))
-            k = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], schema=schema)
+                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, None, _map(s) if len(s) else None))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
         at = np.flatnonzero(counts)
-        k = len(at)
-        if k:
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], schema=schema)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * (len(SETS) - 2), pa.array(at), pa.array(counts[at]), pa.nulls(len(at), lists)], schema=schema)
 
     return run
 
@@ -149,22 +164,21 @@ def _postings(words: int, percent: int, level: np.ndarray):
 
 
 def _members(words: int, percent: int, level: np.ndarray):
+    """For each asked row (text, class, heads): a row for each head, with the set and its second prefix."""
     lists = pa.list_(pa.int64())
-    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), *[(f"b{k}", pa.int64()) for k in range(4)], ("second", lists), ("toks", lists)])
+    schema = pa.schema([("cls", pa.int64()), ("head", pa.int64()), ("n", pa.int64()), ("second", lists), ("toks", lists)])
 
     def run(batches):
-        done: set[int] = set()
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
-                rows = []
-                for _, text in _texts(part):
+                texts, classes, heads = part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
+                for text, cls, ask in zip(texts, classes, heads, strict=True):
                     s = shingles(text or b"", words)
-                    if len(s) and (c := _class(s)) not in done:
-                        done.add(c)
-                        bits = np.packbits((np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
-                        rows.append((c, len(s), *map(int, bits), prefix(s, level, 2, percent).view(np.int64), s.view(np.int64)))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+                    if len(s) and _class(s) == cls:
+                        near, own = prefix(s, level, 2, percent).view(np.int64), s.view(np.int64)
+                        for few in (ask[k : k + 64] for k in range(0, len(ask), 64)):
+                            m = len(few)
+                            yield pa.RecordBatch.from_arrays([pa.array([cls] * m, pa.int64()), pa.array(few, pa.int64()), pa.array([len(s)] * m, pa.int64()), pa.array([near] * m, lists), pa.array([own] * m, lists)], schema=schema)
 
     return run
 
@@ -176,13 +190,46 @@ def _close(a: str, b: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
-def _verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs (x, y), those that pass the second order's filter and then the exact similarity."""
-    one = members.select(F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("second").alias("sx"), F.col("toks").alias("ax"))
-    two = members.select(F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("second").alias("sy"), F.col("toks").alias("ay"))
-    met = pairs.join(one, "x").join(two, "y")
-    same = F.size(F.array_intersect("ax", "ay")) * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent
-    return met.where(F.when(F.arrays_overlap("sx", "sy"), same).otherwise(F.lit(False))).select("x", "y").distinct()
+def _xor(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+
+
+def _fold(a: Column, length: Column) -> Column:
+    """The bitmap ``a``, or its folded half where that has the length asked for."""
+    half = (F.size(a) / 2).cast("int")
+    return F.when(F.size(a) > length, _xor(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half))).otherwise(a)
+
+
+def _refined(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (cls, head) whose size-grown bitmaps allow the similarity."""
+    need = cut(pairs.select("cls").union(pairs.select(F.col("head").alias("cls"))).distinct().join(reps.select("cls", "doc_id"), "cls"), "need")
+    maps = cut(sets.select("doc_id", "cls", "n", "map").join(broadcast_within(need, need.count(), BROADCAST_ROWS), ["doc_id", "cls"]).dropDuplicates(["cls"]).drop("doc_id"), "maps")
+    a = maps.select("cls", F.col("n").alias("na"), F.col("map").alias("ma"))
+    b = maps.select(F.col("cls").alias("head"), F.col("n").alias("nb"), F.col("map").alias("mb"))
+    length = F.least(F.size("ma"), F.size("mb"))  # sizes are within 100 : percent, so bitmaps are of one length or of two neighbouring ones
+    apart = F.aggregate(_xor(_fold(F.col("ma"), length), _fold(F.col("mb"), length)), F.lit(0), lambda s, x: s + F.bit_count(x))
+    out = cut(pairs.join(a, "cls").join(b, "head").where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("cls", "head"), "refined")
+    discard(need, maps)
+    return out
+
+
+def _verify(pairs: DataFrame, read: DataFrame, sets: DataFrame, reps: DataFrame, members, percent: int) -> DataFrame:
+    """Of candidate pairs (cls, head), those that pass the second order's filter and then the exact similarity, as (x, y).
+
+    Sets are made again from the texts of the classes concerned; a set moves once for each head that it meets.
+    """
+    pairs = _refined(pairs, sets, reps, percent)
+    asks = pairs.select("cls", "head").union(pairs.select(F.col("head").alias("cls"), "head")).groupBy("cls").agg(F.collect_set("head").alias("heads"))
+    asks = cut(asks.join(reps.select("cls", "doc_id"), "cls"), "asks")
+    small = asks.agg(F.coalesce(F.sum(F.size("heads") + 4), F.lit(0))).first()[0]
+    texts = read.join(broadcast_within(asks, small, 4 * BROADCAST_ROWS), "doc_id").select("text", "cls", "heads")
+    whole = cut(texts.mapInArrow(members, "cls long, head long, n long, second array<long>, toks array<long>"), "members")
+    heads = whole.where("cls = head").select("head", F.col("n").alias("nh"), F.col("second").alias("sh"), F.col("toks").alias("th"))
+    met = whole.where("cls != head").join(heads, "head")
+    same = F.size(F.array_intersect("toks", "th")) * (100 + percent) >= (F.col("n") + F.col("nh")) * percent
+    found = cut(met.where(F.when(F.arrays_overlap("second", "sh"), same).otherwise(F.lit(False))).select(F.col("cls").alias("x"), F.col("head").alias("y")).distinct(), "links")
+    discard(whole, asks, pairs)
+    return found
 
 
 SIDE = ["cls", "n", "b0", "b1", "b2", "b3"]
@@ -199,8 +246,8 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = cut(read.mapInArrow(_sets(words), "doc_id long, cls long, n long, slot int, c long"), "sets")
-    sets = both.where("slot is null").select("doc_id", "cls", "n")
+    both = cut(read.mapInArrow(_sets(words), ", ".join(f"{x} long" for x in SETS) + ", map array<long>"), "sets")
+    sets = both.where("slot is null")
     level = np.zeros(SLOTS, dtype=np.uint64)
     counted = both.where("slot is not null").groupBy("slot").agg(F.sum("c").alias("c")).collect()  # SLOTS rows at most
     usual = max(1.0, float(np.median([r["c"] for r in counted]))) if counted else 1.0
@@ -208,13 +255,10 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         level[r["slot"]] = int(np.clip(2 * np.log2(max(r["c"] / usual, 1.0)), 0, 255))
     postings = cut(read.mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
     shared = cut(postings.groupBy("tok").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("tok"), "shared")
-    post = cut(postings.join(broadcast_within(shared, shared.count(), BROADCAST_ROWS), "tok").distinct(), "shared-postings")
-    reps = cut(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(post.select("cls").distinct(), "cls", "left_semi").select("doc_id").distinct(), "reps")
-    some = read.join(broadcast_within(reps, reps.count(), BROADCAST_ROWS), "doc_id", "left_semi")
-    members = cut(some.mapInArrow(_members(words, percent, level), "cls long, n long, b0 long, b1 long, b2 long, b3 long, second array<long>, toks array<long>"), "members")
-    slim = cut(members.select("cls", "n", "b0", "b1", "b2", "b3").dropDuplicates(["cls"]), "slim")
-    discard(postings, shared, reps)
-    post = cut(post.join(slim, "cls"), "open")
+    reps = cut(sets.where("cls is not null").groupBy(*SIDE).agg(F.min("doc_id").alias("doc_id")), "classes")
+    post = cut(postings.join(broadcast_within(shared, shared.count(), BROADCAST_ROWS), "tok").distinct().join(reps.drop("doc_id"), "cls"), "open")
+    discard(postings, shared)
+    members = _members(words, percent, level)
 
     # Each class with the leaders of its tokens that are of other components.
     links, known = None, None
@@ -223,10 +267,10 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         rank = F.xxhash64("cls", F.lit(r)) if r == 0 else F.xxhash64("tok", "cls", F.lit(r))
         heads = of.groupBy("tok").agg(F.min_by(F.struct("comp", *SIDE), rank).alias("b"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", "b")
         near = of.alias("a").join(heads, "tok").where((F.col("a.comp") != F.col("b.comp")) & _close("a", "b", percent))
-        near = cut(near.select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y")).distinct(), "near")
+        near = cut(near.select("a.cls", F.col("b.cls").alias("head")).distinct(), "near")
         if near.isEmpty():
             break
-        found = cut(_verify(near, members, percent), "links")
+        found = _verify(near, read, sets, reps, members, percent)
         links = found if links is None else links.union(found)
         known = connected_components(links, "x", "y")
 
@@ -236,15 +280,14 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     open_ = cut(of.join(left, "tok"), "left")
     a, b = open_.where("comp != main").alias("a"), open_.alias("b")
     fresh = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.cls") < F.col("b.cls")))
-    rest = cut(a.join(b, (F.col("a.tok") == F.col("b.tok")) & fresh & _close("a", "b", percent)).select(F.least("a.cls", "b.cls").alias("x"), F.greatest("a.cls", "b.cls").alias("y")).distinct(), "rest")
+    rest = cut(a.join(b, (F.col("a.tok") == F.col("b.tok")) & fresh & _close("a", "b", percent)).select(F.col("b.cls").alias("cls"), F.col("a.cls").alias("head")).distinct(), "rest")
     if not rest.isEmpty():
-        found = cut(_verify(rest, members, percent), "links")
+        found = _verify(rest, read, sets, reps, members, percent)
         links = found if links is None else links.union(found)
         known = connected_components(links, "x", "y")
     final = known if known is not None else spark.createDataFrame([], "node long, label long")
 
-    least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    least = cut(least, "classes")
+    least = cut(reps.select("cls", F.col("doc_id").alias("rep")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labels")
     comp = least.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = least.join(comp, "label").select("cls", "component_id")
     return sets.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
