@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, exact_dedup, line_dedup, ngram_join, quality, secrets, sentencepiece_bpe, sharding
+from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, quality, secrets, sentencepiece_bpe, sharding
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": lambda spark, d: sentencepiece_bpe.query(documents(spark, d)),
     "op7_ngram_join": lambda spark, d: ngram_join.query(documents(spark, d)),
     "op8_sharding": lambda spark, d: sharding.query(documents(spark, d)),
+    "op9_lm_score": lambda spark, d: lm_score.query(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_dedup.query(documents(spark, d)),
 }
 
