@@ -1,10 +1,268 @@
-"""Queries of the engine and their SQL."""
+"""Queries of the engine over the shared tables, and their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from tickloom.functions import exprs as X
+from tickloom.operators import asof, bars, export, features, normalize, quality, stats, ticks
+from tickloom.sources.adapters import quotes, trades
+
+HOUR = 3_600_000_000_000
+SIZES = [("6h", 6 * HOUR), ("1d", 24 * HOUR)]
+TOLERANCE = 1_800_000
+WATERMARK = 1_705_276_800_000_000_000  # 2024-01-15 00:00 UTC
+FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_trade_size_std", "mt5_spread_price_mean", "mt5_tick_count")
+DAY = "2024-01-01"
+
+Q = Callable[[SparkSession, str], DataFrame]
+
+
+def _r(c: str | Column, digits: int = 6) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+
+
+def _trade_bars(s: SparkSession, d: str) -> DataFrame:
+    return bars.trade_bars(trades(s, d), SIZES, ["event_id"])
+
+
+def _quote_bars(s: SparkSession, d: str) -> DataFrame:
+    return bars.quote_bars(quotes(s, d), SIZES, ["monotonic_ns"])
+
+
+def _joined(s: SparkSession, d: str) -> DataFrame:
+    return bars.join_bars(_trade_bars(s, d), _quote_bars(s, d), ["symbol"])
+
+
+def _gold(s: SparkSession, d: str) -> DataFrame:
+    j = _joined(s, d).withColumns({"date": F.lit(DAY), "cme_symbol": F.col("symbol"), "mt5_symbol": F.col("symbol"), "symbol_pair": F.concat_ws("_", "symbol", "symbol")})
+    return features.build_features(j, min_join_safe=0.1)
+
+
+def _matched(s: SparkSession, d: str) -> DataFrame:
+    return asof.asof_match(trades(s, d), quotes(s, d), TOLERANCE, tie=["monotonic_ns"])
+
+
+def _lines(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/lineitem.parquet")
+
+
+LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _raw_quotes(s: SparkSession, d: str) -> DataFrame:
+    q = quotes(s, d)
+    return q.select("symbol", (F.col("time_msc_utc_ms") + 7_200_000).alias("time_msc_raw"), (F.col("time_msc_utc_ms") + F.col("residual_ms")).alias("recv_time_utc_ms"), "monotonic_ns", "bid", "ask", "spread_points")
+
+
+def trade_bars(s: SparkSession, d: str) -> DataFrame:
+    b = _trade_bars(s, d)
+    return b.select("symbol", "bucket_size", "bucket_start_utc_ns", "bucket_end_utc_ns", "trade_count", "total_volume", "buy_volume", "sell_volume", "unknown_aggressor_volume", "buy_trade_count", "net_signed_volume", _r("signed_volume_ratio").alias("signed_volume_ratio"), _r("vwap").alias("vwap"), "first_trade_price", "last_trade_price", "high_trade_price", "low_trade_price")
+
+
+def trade_size_stats(s: SparkSession, d: str) -> DataFrame:
+    return _trade_bars(s, d).select("symbol", "bucket_size", "bucket_start_utc_ns", "max_single_trade_volume", "trade_size_p99", _r("trade_size_mean").alias("trade_size_mean"), _r("trade_size_std").alias("trade_size_std"))
+
+
+def quote_bars(s: SparkSession, d: str) -> DataFrame:
+    return _quote_bars(s, d).select("symbol", "bucket_size", "bucket_start_utc_ns", "tick_count", "join_safe_tick_count", _r("join_safe_tick_ratio").alias("join_safe_tick_ratio"), "mid_first", "mid_last", "mid_min", "mid_max", _r("mid_mean").alias("mid_mean"), "spread_points_min", "spread_points_max", "residual_ms_max", "latency_outlier_count")
+
+
+def quote_twap(s: SparkSession, d: str) -> DataFrame:
+    return _quote_bars(s, d).select("symbol", "bucket_size", "bucket_start_utc_ns", _r("mid_twap").alias("mid_twap"))
+
+
+def quantile_nearest(s: SparkSession, d: str) -> DataFrame:
+    return _quote_bars(s, d).select("symbol", "bucket_size", "bucket_start_utc_ns", "spread_points_p50", "spread_points_p95", "residual_ms_p50", "residual_ms_p95")
+
+
+def bar_full_join(s: SparkSession, d: str) -> DataFrame:
+    return _joined(s, d).select("symbol", "bucket_size", "bucket_start_utc_ns", "has_cme_data", "has_mt5_data", "cme_trade_count", "mt5_tick_count")
+
+
+def bar_reject_reason(s: SparkSession, d: str) -> DataFrame:
+    c = features.classify_bars(_joined(s, d), min_join_safe=0.1)
+    return c.select("symbol", "bucket_size", "bucket_start_utc_ns", F.coalesce("bar_reject_reason", F.lit("")).alias("reason"), "is_bar_aligned", _r("basis_bps", 4).alias("basis_bps"))
+
+
+def bar_alignment_metrics(s: SparkSession, d: str) -> DataFrame:
+    m = features.alignment_metrics(features.classify_bars(_joined(s, d), min_join_safe=0.1), ["symbol", "bucket_size"])
+    return m.withColumns({"alignment_rate": _r("alignment_rate"), "aligned_volume_ratio": _r("aligned_volume_ratio")})
+
+
+def asof_match(s: SparkSession, d: str) -> DataFrame:
+    return _matched(s, d).select("event_id", "symbol", "quote_ms", "delta_ms", "quote_mid", "is_matched")
+
+
+def asof_reasons(s: SparkSession, d: str) -> DataFrame:
+    return _matched(s, d).groupBy("symbol", F.coalesce("reason", F.lit("matched")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume"))
+
+
+def asof_tolerance_table(s: SparkSession, d: str) -> DataFrame:
+    return asof.tolerance_table(_matched(s, d), [600_000, 1_800_000, 7_200_000], ["symbol"], F.col("size"))
+
+
+def match_rate_by_hour(s: SparkSession, d: str) -> DataFrame:
+    m = _matched(s, d).withColumn("hour", X.session_hour(F.col("event_ms")))
+    return m.groupBy("symbol", "hour").agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("is_matched").cast("long")).alias("aligned")).withColumn("rate", _r(F.col("aligned") / F.col("total")))
+
+
+def unmatched_sample(s: SparkSession, d: str) -> DataFrame:
+    return asof.unmatched_sample(_matched(s, d), 50, order=["event_ms", "event_id"]).select("symbol", "event_id", "event_ms", "reason", "sample_rank")
+
+
+def normalize_ticks(s: SparkSession, d: str) -> DataFrame:
+    n = normalize.normalize_quotes(_raw_quotes(s, d), 120)
+    return n.select("monotonic_ns", "symbol", "time_msc_utc_ms", "residual_ms", _r("mid").alias("mid"), _r("spread_price").alias("spread_price"), "is_bid_ask_valid", "is_latency_outlier", "is_join_safe", "session_hour_utc")
+
+
+def run_window(s: SparkSession, d: str) -> DataFrame:
+    w = normalize.in_run_window(_raw_quotes(s, d), 1_704_499_200_000, 1_704_931_200_000)
+    return w.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.min("recv_time_utc_ms").alias("first_ms"), F.max("recv_time_utc_ms").alias("last_ms"))
+
+
+def canonical_symbols(s: SparkSession, d: str) -> DataFrame:
+    p = s.read.parquet(f"{d}/events.parquet")
+    return p.select("event_id", normalize.canonical_symbol(F.col("event_type"), ["p", "pu", "view", "s"]).alias("ticker"))
+
+
+def signed_size(s: SparkSession, d: str) -> DataFrame:
+    raw = F.when(F.col("l_linestatus") == "O", "B").when(F.col("l_returnflag") == "A", "A").otherwise("N")
+    side = normalize.aggressor(raw)
+    rows = _lines(s, d).select(side.alias("side"), normalize.signed_size(side, F.col("l_quantity")).alias("signed"))
+    return rows.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("signed").alias("signed"))
+
+
+def trade_validity(s: SparkSession, d: str) -> DataFrame:
+    flags = normalize.trade_validity(F.when(F.col("l_linestatus") == "O", "T"), F.col("l_extendedprice") - 20000, F.col("l_quantity") - 5)
+    rows = _lines(s, d).select(*[v.alias(k) for k, v in flags.items()])
+    return rows.agg(*[F.sum(F.col(k).cast("long")).alias(k) for k in flags])
+
+
+def telemetry_quality(s: SparkSession, d: str) -> DataFrame:
+    m = quality.telemetry_metrics(quotes(s, d))
+    return m.select("symbol", "rows", "crossed", "negative_spread", "join_safe", "outliers", *[_r(c).alias(c) for c in ("join_safe_pct", "outlier_pct", "residual_ms_mean", "residual_ms_p50", "residual_ms_p95", "residual_ms_p99", "spread_price_max")])
+
+
+def reference_quality(s: SparkSession, d: str) -> DataFrame:
+    return quality.reference_metrics(trades(s, d))
+
+
+def value_counts(s: SparkSession, d: str) -> DataFrame:
+    return quality.value_counts(s.read.parquet(f"{d}/events.parquet"), "event_type")
+
+
+def close_returns(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", _r("cme_return_close_to_close").alias("cme_return"), _r("mt5_mid_return_close_to_close").alias("mid_return"), _r("return_diff_close_to_close").alias("return_diff"))
+
+
+def basis_change(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", _r("basis_close").alias("basis_close"), _r("basis_change").alias("basis_change"), _r("basis_close_bps", 3).alias("basis_close_bps"))
+
+
+def range_bps(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", _r("cme_high_low_range_bps", 3).alias("cme_range"), _r("mt5_mid_range_bps", 3).alias("mid_range"))
+
+
+def volume_ratios(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", *[_r(c).alias(c) for c in ("cme_buy_volume_ratio", "cme_sell_volume_ratio", "cme_unknown_aggressor_volume_ratio", "cme_volume_per_trade", "cme_trade_intensity", "cme_volume_alignment_ratio")])
+
+
+def trailing_zscore(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", *[_r(c, 5).alias(c) for c in ("cme_volume_zscore_by_symbol_bucket", "cme_trade_count_zscore_by_symbol_bucket", "mt5_tick_count_zscore_by_symbol_bucket")])
+
+
+def quality_flag(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", "feature_quality_flag", F.coalesce("bar_reject_reason", F.lit("")).alias("reason"), "is_model_eligible_candidate")
+
+
+def feature_row_ids(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("symbol_pair", "bucket_size", "bucket_start_utc_ns", "feature_row_id")
+
+
+def feature_table(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d)
+
+
+def missingness(s: SparkSession, d: str) -> DataFrame:
+    m = stats.missingness(_gold(s, d), ["symbol_pair", "bucket_size"], FEATURE_SUBSET)
+    return m.select("symbol_pair", "bucket_size", "feature", "rows", "non_null", "nulls", "finite_count", "zero_count", "distinct_count", _r("null_rate").alias("null_rate"), "is_near_constant", "is_all_null", "is_all_zero")
+
+
+def distribution(s: SparkSession, d: str) -> DataFrame:
+    m = stats.distribution(_lines(s, d), ["l_returnflag"], LINE_FEATURES)
+    return m.select("l_returnflag", "feature", "n", *[_r(c, 5).alias(c) for c in ("mean", "std", "p01", "p25", "p50", "p75", "p99", "iqr", "skew", "excess_kurtosis", "heavy_tail_score", "outlier_rate")], "is_heavy_tailed", "sample_size_warning")
+
+
+def stability(s: SparkSession, d: str) -> DataFrame:
+    m = stats.stability(_gold(s, d), ["symbol_pair", "bucket_size"], FEATURE_SUBSET, "bucket_start_utc_ns")
+    return m.select("symbol_pair", "bucket_size", "feature", "n_first", "n_second", *[_r(c, 5).alias(c) for c in ("mean_first", "mean_second", "std_first", "std_second", "abs_shift", "relative_shift")])
+
+
+def correlation(s: SparkSession, d: str) -> DataFrame:
+    return stats.correlation(_lines(s, d), ["l_returnflag"], LINE_FEATURES).withColumn("r", _r("r"))
+
+
+def correlation_p_values(s: SparkSession, d: str) -> DataFrame:
+    return stats.with_p_value(stats.correlation(_lines(s, d), ["l_returnflag"], LINE_FEATURES)).withColumns({"r": _r("r"), "p_value": _r("p_value")})
+
+
+def top_missing(s: SparkSession, d: str) -> DataFrame:
+    m = stats.missingness(_gold(s, d), ["symbol_pair", "bucket_size"], FEATURE_SUBSET)
+    return stats.top_n(m, F.col("null_rate"), ["symbol_pair", "bucket_size", "feature"]).select("symbol_pair", "bucket_size", "feature", _r("null_rate").alias("null_rate"))
+
+
+def top_abs_corr(s: SparkSession, d: str) -> DataFrame:
+    c = stats.correlation(_lines(s, d), ["l_returnflag", "l_linestatus"], LINE_FEATURES).withColumn("r", _r("r"))
+    return stats.top_n(c, F.abs("r"), ["l_returnflag", "l_linestatus", "feature_a", "feature_b"], 5)
+
+
+def watermark_export(s: SparkSession, d: str) -> DataFrame:
+    e = export.closed_rows(_gold(s, d), WATERMARK, ["6h", "1d"])
+    return e.groupBy("symbol_pair", "bucket_size").agg(F.count(F.lit(1)).alias("n"), F.max("bucket_end_utc_ns").alias("last_end"))
+
+
+def dataset_summary(s: SparkSession, d: str) -> DataFrame:
+    return export.summarize_dataset(s, _gold(s, d))
+
+
+def overlap_window(s: SparkSession, d: str) -> DataFrame:
+    return features.overlap_window(trades(s, d), "event_ms", quotes(s, d), "time_msc_utc_ms", ["symbol"])
+
+
+def symbol_pairs(s: SparkSession, d: str) -> DataFrame:
+    pairs = s.createDataFrame([("S0", "Q0"), ("S1", "Q1"), ("S3", "Q3")], "symbol string, mapped string")
+    return trades(s, d).join(F.broadcast(pairs), "symbol").groupBy("symbol", "mapped").agg(F.count(F.lit(1)).alias("n"))
+
+
+def eda_row_accounting(s: SparkSession, d: str) -> DataFrame:
+    flag = F.col("feature_quality_flag")
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return _gold(s, d).groupBy("symbol_pair", "bucket_size").agg(n(F.col("is_model_eligible_candidate")).alias("eligible"), n(flag == "DIAGNOSTIC_ONLY").alias("diagnostic"), n(~flag.isin("OK", "DIAGNOSTIC_ONLY")).alias("excluded"))
+
+
+def scaled_prices(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/events.parquet").select("event_id", X.scaled_price(F.col("value"), 10).alias("scaled"), X.masked_login(F.col("user_id")).alias("login_hash"))
+
+
+def union_all(s: SparkSession, d: str) -> DataFrame:
+    a, b = trades(s, d).select("symbol", F.col("event_ms").alias("ms")), quotes(s, d).select("symbol", F.col("quote_ms").alias("ms"))
+    return a.unionByName(b).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))
+
+
+def tick_dedup(s: SparkSession, d: str) -> DataFrame:
+    q = quotes(s, d).withColumns({"step": F.floor("mid").cast("long"), "day": F.floor(F.col("time_msc_utc_ms") / 86_400_000).cast("long")})
+    t = q.select("symbol", "day", "time_msc_utc_ms", "monotonic_ns", "step")
+    return ticks.dedup_ticks(t, ["symbol", "day"], "time_msc_utc_ms", ["step"], "monotonic_ns", 3_600_000)
+
+
+QUERIES: dict[str, Q] = {f.__name__: f for f in (
+    trade_bars, trade_size_stats, quote_bars, quote_twap, quantile_nearest, bar_full_join, bar_reject_reason, bar_alignment_metrics, asof_match, asof_reasons, asof_tolerance_table, match_rate_by_hour, unmatched_sample,
+    normalize_ticks, run_window, canonical_symbols, signed_size, trade_validity, telemetry_quality, reference_quality, value_counts, close_returns, basis_change, range_bps, volume_ratios, trailing_zscore, quality_flag, feature_row_ids,
+    feature_table, missingness, distribution, stability, correlation, correlation_p_values, top_missing, top_abs_corr, watermark_export, dataset_summary, overlap_window, symbol_pairs, eda_row_accounting, scaled_prices, union_all, tick_dedup,
+)}
+
+from tickloom.plans.oracle import SQL  # noqa: E402,F401
