@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, quality, secrets, sentencepiece_bpe, sharding
+from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, quality, secrets, sentencepiece_bpe, sharding, substring_dedup
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": lambda spark, d: decontamination.query(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
     "op2_exact_dedup": exact_dedup.query,
     "op3_secret_scan": lambda spark, d: secrets.query(documents(spark, d)),
+    "op4_substring_dedup": lambda spark, d: substring_dedup.query(documents(spark, d)),
     "op5_quality": lambda spark, d: quality.query(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op6_sentencepiece": lambda spark, d: sentencepiece_bpe.query(documents(spark, d)),
     "op7_ngram_join": lambda spark, d: ngram_join.query(documents(spark, d)),
