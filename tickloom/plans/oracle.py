@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_trade_size_std", "mt5_spread_price_mean", "mt5_tick_count")
+FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_max_single_trade_volume", "mt5_spread_points_max", "mt5_tick_count")
 LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 _E = """
@@ -64,7 +64,7 @@ def _gold(select: str) -> str:
 
 
 _KEY = "symbol_pair, bucket_size, s AS bucket_start_utc_ns"
-_COLS = {"cme_trade_count": "trade_count", "cme_total_volume": "total_volume", "cme_buy_volume_ratio": "buy_volume / total_volume", "cme_trade_size_std": "std_size", "mt5_spread_price_mean": "sp_mean", "mt5_tick_count": "tick_count"}
+_COLS = {"cme_trade_count": "trade_count", "cme_total_volume": "total_volume", "cme_buy_volume_ratio": "buy_volume / total_volume", "cme_max_single_trade_volume": "max_size", "mt5_spread_points_max": "k_max", "mt5_tick_count": "tick_count"}
 _LONG = ", l AS (" + " UNION ALL ".join(f"SELECT symbol_pair, bucket_size, s, '{k}' AS feature, CAST({v} AS DOUBLE) AS v FROM g" for k, v in _COLS.items()) + ")"
 _MISS = "m AS (SELECT symbol_pair, bucket_size, feature, count(*) AS rows, count(v) AS non_null, count(*) FILTER (WHERE v IS NULL) AS nulls, count(*) FILTER (WHERE isfinite(v)) AS finite_count, count(*) FILTER (WHERE v = 0) AS zero_count, count(DISTINCT v) + max((v IS NULL)::INT) AS distinct_count FROM l GROUP BY ALL)"
 _LINES = "l AS (" + " UNION ALL ".join(f"SELECT l_returnflag, '{c}' AS feature, {c} AS v FROM lineitem" for c in LINE_FEATURES) + ")"

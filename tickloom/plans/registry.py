@@ -15,7 +15,7 @@ HOUR = 3_600_000_000_000
 SIZES = [("6h", 6 * HOUR), ("1d", 24 * HOUR)]
 TOLERANCE = 1_800_000
 WATERMARK = 1_705_276_800_000_000_000  # 2024-01-15 00:00 UTC
-FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_trade_size_std", "mt5_spread_price_mean", "mt5_tick_count")
+FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_max_single_trade_volume", "mt5_spread_points_max", "mt5_tick_count")
 DAY = "2024-01-01"
 
 Q = Callable[[SparkSession, str], DataFrame]
