@@ -24,11 +24,10 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = e.select(F.col("v").alias("c"), F.col("u").alias("w")).join(least, "c").select(F.col("w").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = cut(large, "large-star")
         # Small star: a node and its smaller neighbours are tied to the least of them.
         m = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(m.select("u", F.col("m").alias("v"))).distinct()
-        small = cut(small, "small-star")
+        small = large.join(m, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u > v").distinct()
+        small = cut(small, "stars")
         now = _mark(small)
         e = small
         if now == mark:

@@ -36,7 +36,7 @@ PERCENT = 80
 #: Slots of the frequency table; fixed, so its broadcast is bounded.
 SLOTS = 1 << 15
 #: Rounds in which classes meet leaders before all that is left is compared.
-ROUNDS = 3
+ROUNDS = 2
 #: Rows of (token) or (doc_id) that are broadcast at most; beyond it the joins are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Word hashes that a Python worker keeps.
