@@ -75,9 +75,7 @@ def safe_corr(a: Column, b: Column) -> Column:
     both = is_finite(a) & is_finite(b)
     x, y = F.when(both, a), F.when(both, b)
     varies = (F.count(x) >= 3) & (F.min(x) != F.max(x)) & (F.min(y) != F.max(y))
-    n, sx, sy = F.count(x), F.avg(x), F.avg(y)
     cov, vx, vy = F.covar_pop(x, y), F.var_pop(x), F.var_pop(y)
-    del n, sx, sy
     return F.when(varies & (vx > 0) & (vy > 0), cov / F.when((vx > 0) & (vy > 0), F.sqrt(vx * vy)))
 
 

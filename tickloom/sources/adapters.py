@@ -14,7 +14,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     k = F.get_json_object("props", "$.k").cast("long")
-    ms = F.floor(us / F.lit(1000)).cast("long") if False else (us - F.pmod(us, F.lit(1000))) / 1000
+    ms = (us - F.pmod(us, F.lit(1000))) / 1000  # a floor, also before 1970
     return e.select("event_id", "event_type", F.concat(F.lit("S"), F.pmod("user_id", F.lit(4)).cast("string")).alias("symbol"), us.alias("us"), ms.cast("long").alias("ms"), "value", k.alias("k"))
 
 
