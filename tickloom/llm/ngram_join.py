@@ -21,8 +21,10 @@ others or null; extra columns are not read; an empty table gives no row.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,11 +35,12 @@ from tickloom.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 80
-#: Slots of the frequency table; fixed, so its broadcast is bounded.
-SLOTS = 1 << 15
+#: Slots of the frequency table (one byte each when sent to the tasks) and of the parts it is summed in.
+SLOT_BITS, PART_BITS = 20, 14
+SLOTS = 1 << SLOT_BITS
 #: Rounds in which classes meet leaders before all that is left is compared.
 ROUNDS = 2
-#: Rows of (token) or (doc_id) that are broadcast at most; beyond it the joins are shuffled.
+#: Rows of doc_id that are broadcast at most; beyond it the joins are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Word hashes that a Python worker keeps.
 CACHE = 400_000
@@ -86,14 +89,14 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def _slot(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - 15)).astype(np.int64)
+    return (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def prefix(s: np.ndarray, level: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
     """The prefix of a set under one of the global orders: by frequency level, then by a hash that differs in each order."""
     p = prefix_length(len(s), percent)
     with np.errstate(over="ignore"):
-        key = level[_slot(s)] << np.uint64(56) | _mix(s, order) >> np.uint64(8)
+        key = level[_slot(s)].astype(np.uint64) << np.uint64(56) | _mix(s, order) >> np.uint64(8)
     return s[np.argpartition(key, p - 1)[:p]] if p < len(s) else s
 
 
@@ -118,31 +121,49 @@ def _map(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
-SETS = ["doc_id", "cls", "n", "b0", "b1", "b2", "b3", "slot", "c"]
+SETS = ["doc_id", "cls", "n", "b0", "b1", "b2", "b3", "piece", "part"]
 
 
 def _sets(words: int):
     lists = pa.list_(pa.int64())
-    schema = pa.schema([*[(x, pa.int64()) for x in SETS], ("map", lists)])
+    schema = pa.schema([*[(x, pa.int64()) for x in SETS], ("map", lists), ("counts", pa.binary())])
 
     def run(batches):
-        counts = np.zeros(SLOTS, dtype=np.int64)
+        counts = np.zeros(SLOTS, dtype=np.uint32)
         for batch in batches:
             rows = []
             for i, text in _texts(batch):
                 s = shingles(text or b"", words)
-                counts += np.bincount(_slot(s), minlength=SLOTS) if len(s) > 2000 else 0
-                if len(s) <= 2000:
-                    np.add.at(counts, _slot(s), 1)
-                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, None, _map(s) if len(s) else None))
+                np.add.at(counts, _slot(s), np.uint32(1))
+                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, None, _map(s) if len(s) else None, None))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
-        at = np.flatnonzero(counts)
-        if len(at):
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * (len(SETS) - 2), pa.array(at), pa.array(counts[at]), pa.nulls(len(at), lists)], schema=schema)
+        if counts.any():
+            from pyspark import TaskContext
+
+            pieces = [k for k in range(SLOTS >> PART_BITS) if counts[k << PART_BITS : (k + 1) << PART_BITS].any()]
+            none, part = pa.nulls(len(pieces), pa.int64()), TaskContext.get().partitionId() % 64
+            blobs = [zlib.compress(counts[k << PART_BITS : (k + 1) << PART_BITS].astype(np.uint64).tobytes(), 1) for k in pieces]
+            yield pa.RecordBatch.from_arrays([*[none] * (len(SETS) - 2), pa.array(pieces, pa.int64()), pa.array([part] * len(pieces), pa.int64()), pa.nulls(len(pieces), lists), pa.array(blobs, pa.binary())], schema=schema)
 
     return run
 
 
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(zlib.decompress(x), np.uint64) for x in pdf["counts"])
+    return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "part": [pdf["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+
+def _levels(counted: DataFrame) -> np.ndarray:
+    """Frequency level of each slot over all documents, in half powers of two of the mean; parts are summed in Spark in two steps."""
+    shape = "piece long, part long, counts binary"
+    some = counted.groupBy("piece", "part").applyInPandas(_summed, shape).withColumn("part", F.lit(0).cast("long"))
+    counts = np.zeros(SLOTS, dtype=np.float64)
+    for r in some.groupBy("piece", "part").applyInPandas(_summed, shape).collect():  # the table: 8 MB at most
+        counts[r["piece"] << PART_BITS : (r["piece"] + 1) << PART_BITS] = np.frombuffer(zlib.decompress(r["counts"]), np.uint64)
+    usual = max(1.0, counts.mean())
+    return np.clip(2 * np.log2(np.maximum(counts / usual, 1.0)), 0, 255).astype(np.uint8)
+
+
 def _postings(words: int, percent: int, level: np.ndarray):
     schema = pa.schema([("tok", pa.int64()), ("cls", pa.int64())])
 
@@ -246,17 +267,13 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = cut(read.mapInArrow(_sets(words), ", ".join(f"{x} long" for x in SETS) + ", map array<long>"), "sets")
-    sets = both.where("slot is null")
-    level = np.zeros(SLOTS, dtype=np.uint64)
-    counted = both.where("slot is not null").groupBy("slot").agg(F.sum("c").alias("c")).collect()  # SLOTS rows at most
-    usual = max(1.0, float(np.median([r["c"] for r in counted]))) if counted else 1.0
-    for r in counted:
-        level[r["slot"]] = int(np.clip(2 * np.log2(max(r["c"] / usual, 1.0)), 0, 255))
+    both = cut(read.mapInArrow(_sets(words), ", ".join(f"{x} long" for x in SETS) + ", map array<long>, counts binary"), "sets")
+    sets = both.where("piece is null")
+    level = _levels(both.where("piece is not null").select("piece", "part", "counts"))
     postings = cut(read.mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
     shared = cut(postings.groupBy("tok").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("tok"), "shared")
     reps = cut(sets.where("cls is not null").groupBy(*SIDE).agg(F.min("doc_id").alias("doc_id")), "classes")
-    post = cut(postings.join(broadcast_within(shared, shared.count(), BROADCAST_ROWS), "tok").distinct().join(reps.drop("doc_id"), "cls"), "open")
+    post = cut(postings.join(shared, "tok").distinct().join(reps.drop("doc_id"), "cls"), "open")
     discard(postings, shared)
     members = _members(words, percent, level)
 
