@@ -249,6 +249,29 @@ def test_passages(make):
     assert one.other == 2 and one.start <= 202 and one.end >= 268 and one.end - one.start <= 80
 
 
+def test_equal_runs_with_decoy_leaders_against_brute_force(make):
+    rng = random.Random(21)
+    passages = [prose(rng, n).split() for n in (50, 51, 60, 75, 90, 120)]
+    texts = []
+    for p in passages:
+        near = [p, p, p if len(p) < 60 else p[:55]]
+        texts += [prose(rng, rng.randrange(40)).split() + x + prose(rng, rng.randrange(40)).split() for x in near]
+        texts += [prose(rng, 9).split() + p[k : k + 20] + prose(rng, 9).split() for k in range(0, len(p) - 19, 5) for _ in range(4)]
+        texts += [prose(rng, 9).split() + p[k : k + 49] + prose(rng, 9).split() for k in (0, 1, len(p) - 49) for _ in range(4)]
+    texts.append(passages[3] + prose(rng, 80).split() + passages[3] + passages[4] + prose(rng, 5).split() + passages[4])
+    rng.shuffle(texts)
+    held = {}
+    for i, w in enumerate(texts):
+        for k in range(len(w) - 49):
+            held.setdefault(tuple(w[k : k + 50]), set()).add(i)
+    got = {}
+    for r in substring_dedup.repeated_passages(make([(i, " ".join(w)) for i, w in enumerate(texts)])).collect():
+        got.setdefault(r.doc, []).append(r)
+        assert r.doc != r.other and r.same >= 0.8 * (r.end - r.start) and r.end - r.start >= 50
+    missed = [(i, k) for i, w in enumerate(texts) for k in range(len(w) - 49) if len(held[tuple(w[k : k + 50])]) > 1 and not any(r.start <= k and k + 50 <= r.end for r in got.get(i, []))]
+    assert not missed
+
+
 def test_chain_against_brute_force():
     rng = random.Random(6)
     for _ in range(40):
