@@ -283,6 +283,34 @@ def test_chain_against_brute_force():
         assert all(px[a] < px[b] and py[a] < py[b] for x in lines for a, b in itertools.pairwise(x))
 
 
+def test_chain_scores_against_quadratic_version():
+    rng, s = random.Random(8), substring_dedup
+    for n in range(120):
+        k, wide = rng.choice([3, 6]), rng.choice([20, 80, 300])
+        p = sorted({(rng.randrange(wide), rng.randrange(wide)) for _ in range(n)} | {(x, x + 5) for x in range(0, 90, 4)} | {(x, x - 3) for x in range(150, 250, 4)})
+        link = lambda a, b, k=k: s.GAIN * min(k, b[0] - a[0], b[1] - a[1]) - s.GAP * (b[0] - a[0] + b[1] - a[1])
+        best = []
+        for i, b in enumerate(p):
+            near = [best[j] + link(a, b) for j, a in enumerate(p[:i]) if 0 < b[0] - a[0] <= s.MAX_GAP + k and 0 < b[1] - a[1] <= s.MAX_GAP + k]
+            best.append(max([s.GAIN * k, *near]))
+        line = [p[i] for i in s.chain(np.array([a for a, _ in p]), np.array([b for _, b in p]), k)[0]]
+        assert s.GAIN * k + sum(link(a, b) for a, b in itertools.pairwise(line)) == pytest.approx(max(best))
+
+
+@pytest.mark.parametrize(("first", "gap", "second"), [(200, 60, 80), (300, 100, 100), (1000, 100, 500)])
+def test_chain_of_a_second_passage_after_a_long_one(first, gap, second):
+    rng = random.Random(first)
+    words = lambda n: [rng.randrange(1, 2**62) for _ in range(n)]
+    a, b = words(first), words(second)
+    found = [substring_dedup.seeds(np.array(a + words(gap) + b, dtype=np.uint64)) for _ in range(2)]
+    at = {int(h): int(p) for h, p in zip(*found[1], strict=True)}
+    m = [(int(p), at[int(h)]) for h, p in zip(*found[0], strict=True) if int(h) in at]
+    px, py = np.array([x for x, _ in m]), np.array([y for _, y in m])
+    lines = [x for x in substring_dedup.chain(px, py) if len(x) >= 2]
+    assert any(px[x[0]] >= first + gap and px[x[-1]] - px[x[0]] >= second - 30 for x in lines)
+    assert any(px[x[-1]] < first and px[x[-1]] - px[x[0]] >= first - 30 for x in lines)
+
+
 def test_pipeline(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs, columns = spark.read.parquet(f"{SF}/documents.parquet"), None
