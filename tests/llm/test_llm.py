@@ -311,6 +311,22 @@ def test_chain_of_a_second_passage_after_a_long_one(first, gap, second):
     assert any(px[x[-1]] < first and px[x[-1]] - px[x[0]] >= first - 30 for x in lines)
 
 
+def test_texts_of_null_identifiers_join_others(make):
+    rng = random.Random(12)
+    base = prose(rng, 200).split()
+    changed = lambda *at: " ".join("new" if k in at else w for k, w in enumerate(base))
+    rows = [(1, changed(5, 15, 25)), (None, changed()), (3, changed(105, 115, 125)), (None, prose(rng, 30)), (None, None)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows[:3])]
+    close = [100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in ((0, 1), (1, 2), (0, 2))]
+    assert close == [True, True, False]  # 1 and 3 meet through the null row alone
+    got = ngram_join.similarity_components(make(rows)).collect()
+    assert {r.component_id for r in got if r.n_shingles > 30} == {1}
+    passage = prose(rng, 70)
+    rows = [(1, prose(rng, 60) + " " + passage), (None, passage + " " + prose(rng, 60)), (None, prose(rng, 90))]
+    found = substring_dedup.repeated_passages(make(rows)).collect()
+    assert sorted((str(r.doc), r.other, r.end - r.start >= 70) for r in found) == [("1", None, True), ("None", 1, True)]
+
+
 def test_pipeline(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs, columns = spark.read.parquet(f"{SF}/documents.parquet"), None

@@ -54,3 +54,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def broadcast_within(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast ``df`` when its counted rows are within ``limit``; otherwise leave it to a shuffled join."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], broadcast: bool = False) -> DataFrame:
+    """Inner join on equal ``keys``, where null equals null."""
+    other = right.withColumnsRenamed({k: f"{P}{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"{P}{k}")) for k in keys]
+    return left.join(F.broadcast(other) if broadcast else other, on).drop(*[f"{P}{k}" for k in keys])

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import broadcast_within, cut, discard
+from tickloom.llm.common import broadcast_within, cut, discard, join_null_safe
 from tickloom.llm.components import connected_components
 
 WORDS = 5
@@ -125,6 +125,7 @@ SETS = ["doc_id", "cls", "n", "b0", "b1", "b2", "b3", "piece", "part"]
 
 
 def _sets(words: int):
+    """Rows of the texts (``part`` holds their mark) and of the task's frequency table, in pieces."""
     lists = pa.list_(pa.int64())
     schema = pa.schema([*[(x, pa.int64()) for x in SETS], ("map", lists), ("counts", pa.binary())])
 
@@ -132,10 +133,10 @@ def _sets(words: int):
         counts = np.zeros(SLOTS, dtype=np.uint32)
         for batch in batches:
             rows = []
-            for i, text in _texts(batch):
+            for (i, text), mark in zip(_texts(batch), batch.column(2).to_pylist(), strict=True):
                 s = shingles(text or b"", words)
                 np.add.at(counts, _slot(s), np.uint32(1))
-                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, None, _map(s) if len(s) else None, None))
+                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, mark, _map(s) if len(s) else None, None))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
         if counts.any():
             from pyspark import TaskContext
@@ -224,7 +225,7 @@ def _fold(a: Column, length: Column) -> Column:
 def _refined(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (cls, head) whose size-grown bitmaps allow the similarity."""
     need = cut(pairs.select("cls").union(pairs.select(F.col("head").alias("cls"))).distinct().join(reps.select("cls", "doc_id"), "cls"), "need")
-    maps = cut(sets.select("doc_id", "cls", "n", "map").join(broadcast_within(need, need.count(), BROADCAST_ROWS), ["doc_id", "cls"]).dropDuplicates(["cls"]).drop("doc_id"), "maps")
+    maps = cut(join_null_safe(sets.select("doc_id", "cls", "n", "map"), need, ["doc_id", "cls"], need.count() <= BROADCAST_ROWS).dropDuplicates(["cls"]).drop("doc_id"), "maps")
     a = maps.select("cls", F.col("n").alias("na"), F.col("map").alias("ma"))
     b = maps.select(F.col("cls").alias("head"), F.col("n").alias("nb"), F.col("map").alias("mb"))
     length = F.least(F.size("ma"), F.size("mb"))  # sizes are within 100 : percent, so bitmaps are of one length or of two neighbouring ones
@@ -241,9 +242,9 @@ def _verify(pairs: DataFrame, read: DataFrame, sets: DataFrame, reps: DataFrame,
     """
     pairs = _refined(pairs, sets, reps, percent)
     asks = pairs.select("cls", "head").union(pairs.select(F.col("head").alias("cls"), "head")).groupBy("cls").agg(F.collect_set("head").alias("heads"))
-    asks = cut(asks.join(reps.select("cls", "doc_id"), "cls"), "asks")
+    asks = cut(asks.join(reps.select("cls", "doc_id", "mark"), "cls"), "asks")
     small = asks.agg(F.coalesce(F.sum(F.size("heads") + 4), F.lit(0))).first()[0]
-    texts = read.join(broadcast_within(asks, small, 4 * BROADCAST_ROWS), "doc_id").select("text", "cls", "heads")
+    texts = join_null_safe(read, asks, ["doc_id", "mark"], small <= 4 * BROADCAST_ROWS).select("text", "cls", "heads")
     whole = cut(texts.mapInArrow(members, "cls long, head long, n long, second array<long>, toks array<long>"), "members")
     heads = whole.where("cls = head").select("head", F.col("n").alias("nh"), F.col("second").alias("sh"), F.col("toks").alias("th"))
     met = whole.where("cls != head").join(heads, "head")
@@ -267,13 +268,14 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    read = read.withColumn("mark", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))  # tells rows of a null identifier apart
     both = cut(read.mapInArrow(_sets(words), ", ".join(f"{x} long" for x in SETS) + ", map array<long>, counts binary"), "sets")
     sets = both.where("piece is null")
     level = _levels(both.where("piece is not null").select("piece", "part", "counts"))
     postings = cut(read.mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
     shared = cut(postings.groupBy("tok").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("tok"), "shared")
-    reps = cut(sets.where("cls is not null").groupBy(*SIDE).agg(F.min("doc_id").alias("doc_id")), "classes")
-    post = cut(postings.join(shared, "tok").distinct().join(reps.drop("doc_id"), "cls"), "open")
+    reps = cut(sets.where("cls is not null").groupBy(*SIDE).agg(F.min("doc_id").alias("doc_id"), F.when(F.min("doc_id").isNull(), F.min("part")).alias("mark")), "classes")
+    post = cut(postings.join(shared, "tok").distinct().join(reps.drop("doc_id", "mark"), "cls"), "open")
     discard(postings, shared)
     members = _members(words, percent, level)
 
