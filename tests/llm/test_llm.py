@@ -194,6 +194,19 @@ def test_language_model(make):
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
+def test_language_model_learns_from_all_tokens(make):
+    rng = random.Random(7)
+    body = lambda: [f"w{rng.randrange(20)}" for _ in range(400)]
+    texts = [" ".join(["first", *body(), "middle", *body(), "late", "w1"]) for _ in range(80)] + ["tiny w1"] * 80
+    c = Counter(w for t in texts for w in lm_score.tokens(t.encode()))
+    v = lm_score.Vocabulary(sorted(c.items(), key=lambda x: (-x[1], x[0])), sum(c.values()), len(c))
+    got, began = lm_score.train(make([(k, t) for k, t in enumerate(texts)]).select("text"), v), lm_score.start(v)
+    for w in (b"first", b"middle", b"late", b"tiny"):
+        assert (got["embed"][v.index[w]] != began["embed"][v.index[w]]).any()
+    ids = [v.model_ids(np.array([v.index[w] for w in lm_score.tokens(t.encode())])) for t in texts]
+    assert lm_score.learn(began, v, ids, {k: np.full_like(w, 1e-4) for k, w in began.items()}) == sum(c.values())
+
+
 def test_language_model_sums_to_one_and_gradient():
     v = lm_score.Vocabulary([(f"w{k}".encode(), 100 - k) for k in range(40)], 4000, 60, size=20, classes=4)
     m = {k: x.astype(np.float64) + np.random.default_rng(1).standard_normal(x.shape) * 0.3 for k, x in lm_score.start(v).items()}

@@ -6,8 +6,8 @@ model is a GRU whose output is factored: class given state, then word given clas
 list's unknown word times its share of the remaining unigram mass, so probabilities over all words sum to one.
 
 Training starts from the unigram distribution.  Each task trains on its documents by truncated backpropagation
-(``WINDOWS`` windows of ``STEPS`` tokens of each training document, from a place chosen by a hash, with the state
-carried from one window to the next); the tasks' weights are averaged in Spark by the tokens that each has seen, so
+(every window of ``STEPS`` tokens of each training document, with the state carried from one window to the next; a
+lane whose document ends takes the next one with a fresh state); the tasks' weights are averaged in Spark by the tokens that each has seen, so
 what is sent grows with the tasks and what reaches the driver is one model.  Scoring runs through whole documents in
 windows and carries the state, so a score is the log-likelihood of the complete document.
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,7 @@ FOLDS, FOLD = 7, 2
 #: Words of the model; words whose counts go to every task (about 100 bytes each); both bound memory.
 LIST, HEAD = 1024, 200_000
 EMBED, STATE, CLASSES = 16, 24, 32
-STEPS, WINDOWS, LANES, RATE = 16, 2, 64, 0.08
+STEPS, LANES, RATE = 16, 64, 0.08
 #: Weights in one row while models are averaged.
 PIECE = 4096
 END = b""
@@ -135,8 +137,11 @@ def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict
     return out, back
 
 
-def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory: dict) -> np.ndarray:
-    """One step of truncated backpropagation (Adagrad) on ids of shape (steps, lanes); returns the state to carry."""
+def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory: dict, real: np.ndarray | None = None) -> np.ndarray:
+    """One step of truncated backpropagation (Adagrad) on ids of shape (steps, lanes); returns the state to carry.
+
+    ``real`` is false after a lane's end: what lies there has no loss.
+    """
     table = m["embed"] @ m["wx"] + m["b"]
     states, saved = [h], []
     for t in range(len(ids) - 1):
@@ -145,7 +150,9 @@ def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory:
         states.append(nh)
     grads = {k: np.zeros_like(w) for k, w in m.items()}
     flat = np.concatenate(states)
-    _, back = _output(m, v, flat, ids.reshape(-1), grads)
+    at = slice(None) if real is None else real.reshape(-1)
+    back = np.zeros_like(flat)
+    back[at] = _output(m, v, flat[at], ids.reshape(-1)[at], grads)[1]
     back = back.reshape(len(ids), -1, STATE)
     dh = back[len(ids) - 1]
     for t in range(len(ids) - 2, -1, -1):
@@ -212,6 +219,26 @@ def _counted(batches):
     yield rows()
 
 
+def learn(m: dict, v: Vocabulary, docs: Iterable[np.ndarray], memory: dict) -> int:
+    """Train on all windows of all id sequences, ``LANES`` of them side by side; returns the tokens learnt from."""
+    docs, live, h, used = iter(docs), [], np.zeros((0, STATE), np.float32), 0
+    while True:
+        new = list(islice(docs, LANES - len(live)))
+        live += new
+        if not live:
+            return used
+        h = np.concatenate([h, np.zeros((len(new), STATE), np.float32)])
+        n = np.array([min(len(x), STEPS) for x in live])
+        real = np.arange(n.max())[:, None] < n
+        ids = np.zeros(real.shape, dtype=np.int64)
+        for j, x in enumerate(live):
+            ids[: n[j], j] = x[:STEPS]
+        h = train_window(m, v, h, ids, memory, real)
+        used += int(n.sum())
+        keep = [j for j, x in enumerate(live) if len(x) > STEPS]
+        live, h = [live[j][STEPS:] for j in keep], h[keep]
+
+
 def _trainer(shared):
     schema = pa.schema([("piece", pa.int32()), ("part", pa.int32()), ("w", pa.binary()), ("tokens", pa.int64())])
 
@@ -219,32 +246,8 @@ def _trainer(shared):
         v, m = shared.value
         m = {k: w.copy() for k, w in m.items()}
         memory = {k: np.full_like(w, 1e-4) for k, w in m.items()}
-        seen, lanes, salt = 0, [], 0
-
-        def learn(lanes: list[np.ndarray]) -> int:
-            h = np.zeros((len(lanes), STATE), np.float32)
-            longest, used = max(map(len, lanes)), 0
-            for lo in range(0, longest, STEPS):
-                keep = [k for k, x in enumerate(lanes) if len(x) >= lo + STEPS] or ([k for k, x in enumerate(lanes) if len(x) > lo] if not lo else [])
-                if not keep:
-                    break
-                n = min(STEPS, min(len(lanes[k]) - lo for k in keep))
-                h, lanes = h[keep], [lanes[k] for k in keep]
-                h = train_window(m, v, h, np.stack([x[lo : lo + n] for x in lanes], axis=1), memory)
-                used += n * len(lanes)
-            return used
-
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                words = tokens(text)
-                salt = (salt * 1103515245 + len(words) + 12345) & 0x7FFFFFFF
-                at = salt % max(1, len(words) - STEPS * WINDOWS + 1)
-                lanes.append(v.model_ids(np.array([v.index.get(w, v.size) for w in words[at : at + STEPS * WINDOWS]])))
-                if len(lanes) == LANES:
-                    seen += learn(lanes)
-                    lanes = []
-        if lanes:
-            seen += learn(lanes)
+        texts = (text for batch in batches for text in batch.column(0).cast(pa.binary()).to_pylist())
+        seen = learn(m, v, (v.model_ids(np.array([v.index.get(w, v.size) for w in tokens(text)])) for text in texts), memory)
         if seen:
             from pyspark import TaskContext
 
