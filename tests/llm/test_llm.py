@@ -250,6 +250,15 @@ def test_secrets(spark, make):
     assert found == {1: True, 2: False, 3: False}
 
 
+def test_secret_candidates_with_blanks_quotes_and_without_digits(make):
+    long, letters = "p!" + "x9" * 60, "abcdefghijKLMNOPqrstuvwx"
+    held = ["password=hunter2!x", "password: hunter2!x", 'password = "hunter2!x"', 'password="hunter2!x"', "'PassWord': 'hunter2!x'", "PWD=hunter2!x", f"passwd = {long}", f'api_key = "{letters}"', f"token: {letters}", "x" * 80 + "7"]
+    want = ["hunter2!x"] * 6 + [long, letters, letters, "x" * 80 + "7"]
+    rows = [(k, f"some text {t} after") for k, t in enumerate([*held, letters, "password hint"])]
+    got = {r.doc: (r.found, r.start) for r in secrets.candidates(make(rows)).collect()}
+    assert got == {k: (w, rows[k][1].index(w)) for k, w in enumerate(want)}
+
+
 def test_passages(make):
     rng = random.Random(9)
     passage = prose(rng, 70).split()

@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.  DataFrame functions only.
 
-Candidates are runs of key characters that hold a digit, private key headers and passwords after a keyword.  Each is
+Candidates are runs of key characters that hold a digit or follow a word for a secret, private key headers and passwords
+after a keyword (in any case; quotes, an equals sign or colon and up to four blanks a side may lie between).  Each is
 described by its length, its character classes and the transitions between them, the share of it that dictionary words
 cover, the path it was found under, and the words next to it.  Spark ML's random forest (JVM) is trained on labelled
 findings: those given, or ``labelled_findings``, a bounded table made from a rule.  A candidate stays a finding where the
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F
 #: Labelled findings that the forest is trained on at most.
 FINDINGS = 6_000
 TREES, DEPTH, SEED = 40, 7, 11
+_SECRET_WORDS = "token|secret|passwd|password|pwd|api|apikey|key|auth|bearer|credential|private|access"
 PATTERN = (
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    r"|(?<=[=:])(?<=(?:password|passwd|pwd|PASSWORD|Password) ?[=:])[^\s\"']{6,64}"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+    r"|(?<=[\s\"'=:])(?<=(?i:password|passwd|pwd)[\"']{0,1}\s{0,4}[=:]\s{0,4}[\"']{0,1})[^\s\"']{6,}"
+    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+    rf"|(?<![A-Za-z0-9+/_-])(?<=(?i:{_SECRET_WORDS})[\"']{{0,1}}\s{{0,4}}[=:]{{0,1}}\s{{0,4}}[\"']{{0,1}})[A-Za-z+/_-]{{16,}}={{0,2}}"
 )
-_SECRET_WORDS = "token|secret|passwd|password|pwd|api|apikey|key|auth|bearer|credential|private|access"
 _OTHER_WORDS = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|etag|revision|rev|version|build|integrity|blob|tree|id|serial|isbn|order|invoice|card"
 _DICTIONARY = "example|sample|test|dummy|fake|changeme|placeholder|your|here|insert|foo|bar|abc|xyz|123|token|secret|password|key|value|name|path|file|index|page|user|data|image|version|release|module|class|function|config|the|and|tion|ing|ment"
 _TESTING = "test|spec|fixture|example|sample|doc|mock|demo"
