@@ -180,6 +180,14 @@ def test_shard_rewrite(spark, make, tmp_path):
     assert spark.read.parquet(root).select("doc_id").distinct().count() == 40
 
 
+def test_shard_rewrite_shrinks(spark, make, tmp_path):
+    root = str(tmp_path / "shards")
+    make([(k, "t" * k) for k in range(40)]).withColumn("shard", (F.col("doc_id") % 4).cast("int")).write.partitionBy("shard").parquet(root)
+    sharding.rewrite(spark, root, 2)
+    got = spark.read.parquet(root).select("doc_id", "shard").collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and Counter(r.shard for r in got) == {0: 20, 1: 20}
+
+
 def test_language_model(make):
     rows = [(k, "the cat sat on the mat " * (k % 5)) for k in range(60)]
     got = {r.doc_id: r for r in lm_score.query(make(rows)).collect()}

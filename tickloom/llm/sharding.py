@@ -145,7 +145,7 @@ def rewrite(spark: SparkSession, root: str, new_shards: int, id_col: str = "doc_
     """Reshard a folder of ``shard=K`` Parquet folders in place; only shards that lose or gain rows are written anew.
 
     The new files of an affected shard are written whole to the shared folder before its folder is replaced (dynamic
-    partition overwrite), so a job that fails midway can run again.  Returns the affected shards and the rows moved.
+    partition overwrite); folders of shards that receive no rows are deleted after that, so a job that fails midway can run again.  Returns the affected shards and the rows moved.
     """
     table = spark.read.option("basePath", root).parquet(root)
     old_shards = table.agg(F.max("shard")).first()[0] + 1
@@ -159,6 +159,11 @@ def rewrite(spark: SparkSession, root: str, new_shards: int, id_col: str = "doc_
     affected = sorted({r[0] for r in pairs} | {r[1] for r in pairs})
     new = done.where(F.col(f"{P}shard").isin(affected)).select(*columns, F.col(f"{P}shard").alias("shard"))
     new.repartition(max(1, len(affected)), "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(root)
+    kept = {r[0] for r in done.select(f"{P}shard").distinct().collect()}  # shards at most
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for shard in set(affected) - kept:  # no row goes there, so the write left its old files
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/shard={shard}")
+        folder.getFileSystem(conf).delete(folder, True)
     return {"affected": affected, "moved": sum(r[2] for r in pairs)}
 
 
