@@ -25,9 +25,9 @@ TREES, DEPTH, SEED = 40, 7, 11
 _SECRET_WORDS = "token|secret|passwd|password|pwd|api|apikey|key|auth|bearer|credential|private|access"
 PATTERN = (
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    r"|(?<=[\s\"'=:])(?<=(?i:password|passwd|pwd)[\"']{0,1}\s{0,4}[=:]\s{0,4}[\"']{0,1})[^\s\"']{6,}"
+    r"|(?<=[\s\"'=:])(?=[^\s\"']{6})(?<=[=:]\s{0,4}[\"']{0,1})(?<=(?i:password|passwd|pwd)[\"']{0,1}\s{0,4}[=:]\s{0,4}[\"']{0,1})[^\s\"']{6,}"
     r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
-    rf"|(?<![A-Za-z0-9+/_-])(?<=(?i:{_SECRET_WORDS})[\"']{{0,1}}\s{{0,4}}[=:]{{0,1}}\s{{0,4}}[\"']{{0,1}})[A-Za-z+/_-]{{16,}}={{0,2}}"
+    rf"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{{16}})(?<=(?i:{_SECRET_WORDS})[\"']{{0,1}}\s{{0,4}}[=:]{{0,1}}\s{{0,4}}[\"']{{0,1}})[A-Za-z+/_-]{{16,}}={{0,2}}"
 )
 _OTHER_WORDS = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|etag|revision|rev|version|build|integrity|blob|tree|id|serial|isbn|order|invoice|card"
 _DICTIONARY = "example|sample|test|dummy|fake|changeme|placeholder|your|here|insert|foo|bar|abc|xyz|123|token|secret|password|key|value|name|path|file|index|page|user|data|image|version|release|module|class|function|config|the|and|tion|ing|ment"
