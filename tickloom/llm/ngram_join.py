@@ -1,17 +1,19 @@
 """N-gram Jaccard join by filters under several global token orders.
 
 A document is the set of its distinct five-word shingles (64-bit hashes).  Two sets of Jaccard similarity t share, under
-any total order of all tokens, a token of their prefixes (the first n - ceil(t n) + 1 of n).  Two orders are used;
-both put tokens that are frequent over all documents last (frequency by hashed slot, a table of fixed size) and differ
-in the order within a frequency level.  Tokens of the first order's prefixes are joined; a candidate must then also
-share prefix tokens under the second order, have sizes and parity bitmaps (their Hamming distance is
-at most the symmetric difference) that allow the similarity, and only then are the sets themselves intersected.
-
-Equal sets are one class from the start.  Since the result is what links reach, a prefix token shared by many classes
-isn't expanded into all pairs.  In a few rounds each class meets one leader in each of its tokens (first the least
-class under one order of all, which small groups agree on; then under an order of each token's own), unless both are of one component already; the links found are
-joined into components.  After that, in each token, every class outside the leader's component is compared with all
-classes of other components.  No pair that could join two components is left out, and there is no cap.
+any total order of all tokens, a token of their prefixes (the first n - ceil(t n) + 1 of n).  Three orders are used; all
+put tokens that are frequent over all documents last (frequency by hashed slot, a table of fixed size) and differ in the
+order within a frequency level.  Equal sets are one class from the start.
+
+1. First order: prefix tokens are counted, and each token that several classes hold names its least class as leader.
+   What is kept of that is only (leader, class): two classes that share a prefix token are in a group of one leader.
+2. A candidate is a pair of one group whose sizes and parity bitmaps (which grow with the set; their Hamming distance is
+   at most the symmetric difference) allow the similarity, and whose prefixes under the second and under the third order
+   meet too.  All these filters are intersected before any set is moved; the sets of what is left are intersected.
+3. Since the result is what links reach, groups aren't expanded into pairs.  First each class meets its leader, and links
+   become components.  Then, in blocks of bounded size, classes outside the leader's component are held against all
+   others by bitmap; of each two components only the nearest pair is verified, for a few rounds, and at last all pairs
+   of different components that pass the filters.  No pair that could join two components is left out; there is no cap.
 
 Defined results: a null or empty text, or one without words, has the empty set and links with nothing; with fewer than
 five words the whole sequence is the one shingle; each row is a document; a null identifier gets the component of the
@@ -26,62 +28,24 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import broadcast_within, cut, discard, join_null_safe
 from tickloom.llm.components import connected_components
+from tickloom.llm.hashing import mix, shingle_sets
 
 WORDS = 5
 PERCENT = 80
 #: Slots of the frequency table (one byte each when sent to the tasks) and of the parts it is summed in.
 SLOT_BITS, PART_BITS = 20, 14
 SLOTS = 1 << SLOT_BITS
-#: Rounds in which classes meet leaders before all that is left is compared.
-ROUNDS = 2
-#: Rows of doc_id that are broadcast at most; beyond it the joins are shuffled.
+#: Rounds in which two components of a group meet by their nearest pair only.
+ROUNDS = 3
+#: Classes of a block; two blocks are compared in one task.
+BLOCK = 1024
+#: Rows of (doc_id, mark, class), or of pairs, that are broadcast at most (some 100 bytes each); beyond it joins are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Word hashes that a Python worker keeps.
-CACHE = 400_000
-
-_K = np.uint64(0x9E3779B97F4A7C15)
-_WORDS: dict[bytes, int] = {}
-
-
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
-    x = x ^ np.uint64(salt * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """Hashes of the words (ASCII lower case) of a text."""
-    known = _WORDS
-    if len(known) > CACHE:
-        known.clear()
-    words = text.lower().split()  # of bytes: splits at 0x20 and 0x09-0x0D, lowers A-Z
-    got = list(map(known.get, words))
-    if None in got:
-        for i, h in enumerate(got):
-            if h is None:
-                got[i] = known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-    return np.array(got, dtype=np.uint64)
-
-
-def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text."""
-    h = word_hashes(text)
-    n = len(h)
-    if not n:
-        return h
-    k = min(n, words)
-    with np.errstate(over="ignore"):
-        s = h[: n - k + 1].copy()
-        for i in range(1, k):
-            s = s * _K + h[i : n - k + 1 + i]
-        return np.unique(_mix(s, k))
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -95,8 +59,7 @@ def _slot(s: np.ndarray) -> np.ndarray:
 def prefix(s: np.ndarray, level: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
     """The prefix of a set under one of the global orders: by frequency level, then by a hash that differs in each order."""
     p = prefix_length(len(s), percent)
-    with np.errstate(over="ignore"):
-        key = level[_slot(s)].astype(np.uint64) << np.uint64(56) | _mix(s, order) >> np.uint64(8)
+    key = level[_slot(s)].astype(np.uint64) << np.uint64(56) | mix(s, order) >> np.uint64(8)
     return s[np.argpartition(key, p - 1)[:p]] if p < len(s) else s
 
 
@@ -104,47 +67,45 @@ def _class(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _texts(batch: pa.RecordBatch):
-    return zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)
+def _texts(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
 
 
-def _bitmap(s: np.ndarray) -> tuple[int, ...]:
-    """256 bits, each the parity of the tokens that fall on it."""
-    odd = (np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
-    return tuple(map(int, np.packbits(odd).view(np.int64)))
-
-
-def _map(s: np.ndarray) -> np.ndarray:
+def _map(s: np.ndarray) -> bytes:
     """A parity bitmap whose bits grow with the set (a power of two from 2 n up); halves folded by XOR give the shorter ones."""
     bits = 1 << max(8, int(2 * len(s) - 1).bit_length())
     odd = (np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
-SETS = ["doc_id", "cls", "n", "b0", "b1", "b2", "b3", "piece", "part"]
+    return np.packbits(odd).tobytes()
 
 
 def _sets(words: int):
     """Rows of the texts (``part`` holds their mark) and of the task's frequency table, in pieces."""
-    lists = pa.list_(pa.int64())
-    schema = pa.schema([*[(x, pa.int64()) for x in SETS], ("map", lists), ("counts", pa.binary())])
+    longs = ["doc_id", "cls", "n", "piece", "part"]
+    schema = pa.schema([*[(x, pa.int64()) for x in longs], ("map", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
         counts = np.zeros(SLOTS, dtype=np.uint32)
         for batch in batches:
-            rows = []
-            for (i, text), mark in zip(_texts(batch), batch.column(2).to_pylist(), strict=True):
-                s = shingles(text or b"", words)
-                np.add.at(counts, _slot(s), np.uint32(1))
-                rows.append((i, _class(s) if len(s) else None, len(s), *_bitmap(s), None, mark, _map(s) if len(s) else None, None))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+            classes, sizes, maps, slots = [], [], [], []
+            for s in shingle_sets(_texts(batch.column(1)), words):
+                slots.append(_slot(s))
+                classes.append(_class(s) if len(s) else None)
+                sizes.append(len(s))
+                maps.append(_map(s) if len(s) else None)
+                if len(slots) == 256:
+                    np.add.at(counts, np.concatenate(slots), np.uint32(1))
+                    slots = []
+            if slots:
+                np.add.at(counts, np.concatenate(slots), np.uint32(1))
+            none = pa.nulls(len(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), none, batch.column(2), pa.array(maps, pa.binary()), pa.nulls(len(sizes), pa.binary())], schema=schema)
         if counts.any():
             from pyspark import TaskContext
 
             pieces = [k for k in range(SLOTS >> PART_BITS) if counts[k << PART_BITS : (k + 1) << PART_BITS].any()]
             none, part = pa.nulls(len(pieces), pa.int64()), TaskContext.get().partitionId() % 64
             blobs = [zlib.compress(counts[k << PART_BITS : (k + 1) << PART_BITS].astype(np.uint64).tobytes(), 1) for k in pieces]
-            yield pa.RecordBatch.from_arrays([*[none] * (len(SETS) - 2), pa.array(pieces, pa.int64()), pa.array([part] * len(pieces), pa.int64()), pa.nulls(len(pieces), lists), pa.array(blobs, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(pieces, pa.int64()), pa.array([part] * len(pieces), pa.int64()), pa.nulls(len(pieces), pa.binary()), pa.array(blobs, pa.binary())], schema=schema)
 
     return run
 
@@ -166,150 +127,214 @@ def _levels(counted: DataFrame) -> np.ndarray:
 
 
 def _postings(words: int, percent: int, level: np.ndarray):
+    """Rows (tok, cls) of the first order's prefixes."""
     schema = pa.schema([("tok", pa.int64()), ("cls", pa.int64())])
 
     def run(batches):
         done: set[int] = set()
         for batch in batches:
             toks, classes = [], []
-            for _, text in _texts(batch):
-                s = shingles(text or b"", words)
+            for s in shingle_sets(_texts(batch.column(0)), words):
                 if len(s) and (c := _class(s)) not in done:
                     done.add(c)
-                    p = prefix(s, level, 1, percent)
-                    toks.append(p)
-                    classes.append(np.full(len(p), c, dtype=np.int64))
+                    toks.append(prefix(s, level, 1, percent))
+                    classes.append(c)
             if toks:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.concatenate(classes))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.repeat(np.array(classes, dtype=np.int64), [len(t) for t in toks]))], schema=schema)
 
     return run
 
 
-def _members(words: int, percent: int, level: np.ndarray):
-    """For each asked row (text, class, heads): a row for each head, with the set and its second prefix."""
-    lists = pa.list_(pa.int64())
-    schema = pa.schema([("cls", pa.int64()), ("head", pa.int64()), ("n", pa.int64()), ("second", lists), ("toks", lists)])
+SIDE = "cls long, n long, second array<int>, third array<int>, toks array<long>"
+
+
+def _sides(words: int, percent: int, level: np.ndarray):
+    """For asked rows (text, class): size, prefixes under the other orders (halves of their hashes), and the set."""
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("second", ints), ("third", ints), ("toks", longs)])
+
+    def half(s: np.ndarray) -> np.ndarray:
+        return (mix(s, 9) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def run(batches):
+        done: set[int] = set()
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
-                texts, classes, heads = part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
-                for text, cls, ask in zip(texts, classes, heads, strict=True):
-                    s = shingles(text or b"", words)
-                    if len(s) and _class(s) == cls:
-                        near, own = prefix(s, level, 2, percent).view(np.int64), s.view(np.int64)
-                        for few in (ask[k : k + 64] for k in range(0, len(ask), 64)):
-                            m = len(few)
-                            yield pa.RecordBatch.from_arrays([pa.array([cls] * m, pa.int64()), pa.array(few, pa.int64()), pa.array([len(s)] * m, pa.int64()), pa.array([near] * m, lists), pa.array([own] * m, lists)], schema=schema)
+                rows = []
+                for s, cls in zip(shingle_sets(_texts(part.column(0)), words), part.column(1).to_pylist(), strict=True):
+                    if len(s) and cls not in done and _class(s) == cls:
+                        done.add(cls)
+                        rows.append((cls, len(s), half(prefix(s, level, 2, percent)), half(prefix(s, level, 3, percent)), s.view(np.int64)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
 
 
-def _close(a: str, b: str, percent: int) -> Column:
-    """Sizes and bitmaps allow the similarity: |A - B| + |B - A| <= (n_a + n_b)(100 - p)/(100 + p)."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(4)), F.lit(0))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+def _folded(words: np.ndarray, length: int) -> np.ndarray:
+    while len(words) > length:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
 
+def _leader_rows(percent: int):
+    """Of rows (cls, lead, sizes and bitmaps of both), the pairs whose sizes and bitmaps allow the similarity."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
-def _xor(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    def run(batches):
+        for batch in batches:
+            x, y = [], []
+            for cls, lead, n, m, a, b in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if min(n, m) * 100 >= max(n, m) * percent:
+                    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                    size = min(len(a), len(b))
+                    if int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum()) * (100 + percent) <= (n + m) * (100 - percent):
+                        x.append(cls)
+                        y.append(lead)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], schema=schema)
 
+    return run
 
-def _fold(a: Column, length: Column) -> Column:
-    """The bitmap ``a``, or its folded half where that has the length asked for."""
-    half = (F.size(a) / 2).cast("int")
-    return F.when(F.size(a) > length, _xor(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half))).otherwise(a)
 
+def close_pairs(rows: list[dict], crossed: bool, percent: int, nearest: bool) -> list[tuple[int, int]]:
+    """Pairs of classes of different components whose sizes and bitmaps allow the similarity; ``crossed`` pairs only across blocks.
 
-def _refined(pairs: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (cls, head) whose size-grown bitmaps allow the similarity."""
-    need = cut(pairs.select("cls").union(pairs.select(F.col("head").alias("cls"))).distinct().join(reps.select("cls", "doc_id"), "cls"), "need")
-    maps = cut(join_null_safe(sets.select("doc_id", "cls", "n", "map"), need, ["doc_id", "cls"], need.count() <= BROADCAST_ROWS).dropDuplicates(["cls"]).drop("doc_id"), "maps")
-    a = maps.select("cls", F.col("n").alias("na"), F.col("map").alias("ma"))
-    b = maps.select(F.col("cls").alias("head"), F.col("n").alias("nb"), F.col("map").alias("mb"))
-    length = F.least(F.size("ma"), F.size("mb"))  # sizes are within 100 : percent, so bitmaps are of one length or of two neighbouring ones
-    apart = F.aggregate(_xor(_fold(F.col("ma"), length), _fold(F.col("mb"), length)), F.lit(0), lambda s, x: s + F.bit_count(x))
-    out = cut(pairs.join(a, "cls").join(b, "head").where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("cls", "head"), "refined")
-    discard(need, maps)
-    return out
+    With ``nearest``, of each two components the pair whose bitmaps differ least.
+    """
+    n, comp, block = (np.array([r[k] for r in rows], dtype=np.int64) for k in ("n", "comp", "block"))
+    maps = [np.frombuffer(r["map"], np.uint64) for r in rows]
+    by_length: dict[int, list[int]] = {}
+    for k, m in enumerate(maps):
+        by_length.setdefault(len(m), []).append(k)
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    out: list[tuple[int, int]] = []
+    for length, own in by_length.items():
+        longer = by_length.get(2 * length, [])  # sizes are within 100 : percent, so bitmaps are of one length or of two neighbouring ones
+        ids = np.array([*own, *longer])
+        pool = np.stack([_folded(maps[k], length) for k in ids.tolist()])
+        for t, a in enumerate(own):
+            others = ids[t + 1 :]
+            both = np.minimum(n[others], n[a]) * 100 >= np.maximum(n[others], n[a]) * percent
+            both &= comp[others] != comp[a]
+            if crossed:
+                both &= block[others] != block[a]
+            at = np.flatnonzero(both)
+            if not len(at):
+                continue
+            apart = np.bitwise_count(pool[t + 1 :][at] ^ pool[t]).sum(axis=1, dtype=np.int64)
+            total = n[others[at]] + n[a]
+            for k in np.flatnonzero(apart * (100 + percent) <= total * (100 - percent)).tolist():
+                b = int(others[at[k]])
+                if nearest:
+                    two = (min(comp[a], comp[b]), max(comp[a], comp[b]))
+                    far = apart[k] / total[k]
+                    if two not in best or far < best[two][0]:
+                        best[two] = (far, a, b)
+                else:
+                    out.append((a, b))
+    return [(rows[a]["cls"], rows[b]["cls"]) for a, b in [*out, *((a, b) for _, a, b in best.values())]]
+
+
+def _block_rows(percent: int, nearest: bool):
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                pairs = close_pairs(row.column(1).to_pylist()[0], row.column(0).to_pylist()[0], percent, nearest)
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], schema=schema)
 
-def _verify(pairs: DataFrame, read: DataFrame, sets: DataFrame, reps: DataFrame, members, percent: int) -> DataFrame:
-    """Of candidate pairs (cls, head), those that pass the second order's filter and then the exact similarity, as (x, y).
+    return run
 
-    Sets are made again from the texts of the classes concerned; a set moves once for each head that it meets.
-    """
-    pairs = _refined(pairs, sets, reps, percent)
-    asks = pairs.select("cls", "head").union(pairs.select(F.col("head").alias("cls"), "head")).groupBy("cls").agg(F.collect_set("head").alias("heads"))
-    asks = cut(asks.join(reps.select("cls", "doc_id", "mark"), "cls"), "asks")
-    small = asks.agg(F.coalesce(F.sum(F.size("heads") + 4), F.lit(0))).first()[0]
-    texts = join_null_safe(read, asks, ["doc_id", "mark"], small <= 4 * BROADCAST_ROWS).select("text", "cls", "heads")
-    whole = cut(texts.mapInArrow(members, "cls long, head long, n long, second array<long>, toks array<long>"), "members")
-    heads = whole.where("cls = head").select("head", F.col("n").alias("nh"), F.col("second").alias("sh"), F.col("toks").alias("th"))
-    met = whole.where("cls != head").join(heads, "head")
-    same = F.size(F.array_intersect("toks", "th")) * (100 + percent) >= (F.col("n") + F.col("nh")) * percent
-    found = cut(met.where(F.when(F.arrays_overlap("second", "sh"), same).otherwise(F.lit(False))).select(F.col("cls").alias("x"), F.col("head").alias("y")).distinct(), "links")
-    discard(whole, asks, pairs)
-    return found
 
+def _across(groups: DataFrame, known: DataFrame, small: DataFrame, percent: int, nearest: bool, block: int) -> DataFrame:
+    """Close pairs (x, y) of different components within a group; inside its leader's component nothing is compared."""
+    label = known.withColumnRenamed("node", "cls")
+    of = groups.where("cls != lead").join(label, "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")  # leaders have met all
+    main = known.select(F.col("node").alias("lead"), F.col("label").alias("main"))
+    of = of.join(main, "lead", "left").withColumn("out", (F.col("comp") != F.coalesce("main", "lead")).cast("int")).drop("main")
+    blocks = lambda c: F.ceil(c / F.lit(block)).cast("int")
+    sizes = of.groupBy("lead").agg(blocks(F.sum("out")).alias("outer"), blocks(F.sum(1 - F.col("out"))).alias("inner"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").drop("lo", "hi")
+    b = F.pmod(F.xxhash64("cls"), F.when(F.col("out") == 1, F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    placed = of.join(sizes, "lead").withColumn("block", F.when(F.col("out") == 1, b).otherwise(F.col("outer") + b))
+    met = F.when(F.col("out") == 1, F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer") - 1))
+    keys = F.transform(met, lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    dealt = placed.withColumn("key", F.explode(keys)).join(small, "cls")
+    held = dealt.groupBy("lead", "key").agg(F.collect_list(F.struct("cls", "comp", "n", "map", "block")).alias("rows"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")  # two blocks at most
+    return held.select((F.col("key.i") != F.col("key.j")).alias("crossed"), "rows").mapInArrow(_block_rows(percent, nearest), "x long, y long").distinct()
 
-SIDE = ["cls", "n", "b0", "b1", "b2", "b3"]
 
+def _verify(pairs: DataFrame, read: DataFrame, reps: DataFrame, sides, percent: int) -> DataFrame:
+    """Of candidate pairs (x, y), those that share prefix tokens under the second and the third order and then are similar.
 
-def _labelled(post: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Postings with their class's component so far."""
-    if known is None:
-        return post.withColumn("comp", F.col("cls"))
-    return post.join(known.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
+    Prefixes and sets are made from the texts of the classes concerned; sets move only for pairs that pass the prefixes.
+    """
+    few = pairs.count()
+    need = pairs.select(F.col("x").alias("cls")).union(pairs.select("y")).distinct().join(reps.select("cls", "at.doc_id", "at.mark"), "cls")
+    texts = join_null_safe(read, need, ["doc_id", "mark"], 2 * few <= BROADCAST_ROWS).select("text", "cls")
+    side = cut(texts.mapInArrow(sides, SIDE), "sides")
+
+    def both(of: DataFrame, n: int, *cols: str) -> DataFrame:
+        for key in ("x", "y"):
+            of = side.select(F.col("cls").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in cols]).join(broadcast_within(of, n, BROADCAST_ROWS) if key == "x" else of, key)
+        return of
+
+    near = both(pairs, few, "second", "third").where(F.arrays_overlap("second_x", "second_y") & F.arrays_overlap("third_x", "third_y"))
+    near = cut(near.select("x", "y"), "near")
+    whole = both(near, few, "n", "toks")
+    same = F.size(F.array_intersect("toks_x", "toks_y")) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
+    found = cut(whole.where(same).select("x", "y").distinct(), "links")
+    discard(near, side)
+    return found
 
 
-def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
-    spark = docs.sparkSession
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    read = read.withColumn("mark", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))  # tells rows of a null identifier apart
-    both = cut(read.mapInArrow(_sets(words), ", ".join(f"{x} long" for x in SETS) + ", map array<long>, counts binary"), "sets")
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64("text"))
+    both = cut(read.mapInArrow(_sets(words), "doc_id long, cls long, n long, piece long, part long, map binary, counts binary"), "sets")
     sets = both.where("piece is null")
     level = _levels(both.where("piece is not null").select("piece", "part", "counts"))
-    postings = cut(read.mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
-    shared = cut(postings.groupBy("tok").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("tok"), "shared")
-    reps = cut(sets.where("cls is not null").groupBy(*SIDE).agg(F.min("doc_id").alias("doc_id"), F.when(F.min("doc_id").isNull(), F.min("part")).alias("mark")), "classes")
-    post = cut(postings.join(shared, "tok").distinct().join(reps.drop("doc_id", "mark"), "cls"), "open")
-    discard(postings, shared)
-    members = _members(words, percent, level)
-
-    # Each class with the leaders of its tokens that are of other components.
-    links, known = None, None
-    for r in range(rounds):
-        of = _labelled(post, known)
-        rank = F.xxhash64("cls", F.lit(r)) if r == 0 else F.xxhash64("tok", "cls", F.lit(r))
-        heads = of.groupBy("tok").agg(F.min_by(F.struct("comp", *SIDE), rank).alias("b"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok", "b")
-        near = of.alias("a").join(heads, "tok").where((F.col("a.comp") != F.col("b.comp")) & _close("a", "b", percent))
-        near = cut(near.select("a.cls", F.col("b.cls").alias("head")).distinct(), "near")
-        if near.isEmpty():
-            break
-        found = _verify(near, read, sets, reps, members, percent)
-        links = found if links is None else links.union(found)
-        known = connected_components(links, "x", "y")
-
-    # What could still join two components: in each token, classes outside the leader's component against all others.
-    of = _labelled(post, known)
-    left = of.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("comp", F.xxhash64("cls", F.lit(0))).alias("main")).where("lo < hi").select("tok", "main")
-    open_ = cut(of.join(left, "tok"), "left")
-    a, b = open_.where("comp != main").alias("a"), open_.alias("b")
-    fresh = (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.main")) | (F.col("a.cls") < F.col("b.cls")))
-    rest = cut(a.join(b, (F.col("a.tok") == F.col("b.tok")) & fresh & _close("a", "b", percent)).select(F.col("b.cls").alias("cls"), F.col("a.cls").alias("head")).distinct(), "rest")
-    if not rest.isEmpty():
-        found = _verify(rest, read, sets, reps, members, percent)
-        links = found if links is None else links.union(found)
+    reps = cut(sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", F.col("part").alias("mark"))).alias("at"), F.first("n").alias("n"), F.first("map").alias("map")), "classes")
+    small = reps.select("cls", "n", "map")
+
+    # First order: the groups of classes that share a prefix token.
+    postings = cut(read.select("text").mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
+    shared = postings.groupBy("tok").agg(F.min("cls").alias("lead"), F.max("cls").alias("hi")).where("lead < hi").select("tok", "lead")
+    groups = cut(postings.join(shared, "tok").select("lead", "cls").distinct(), "groups")
+    discard(postings)
+
+    # Each class with its leaders; then what could still join two components.
+    sides = _sides(words, percent, level)
+    led = groups.where("cls != lead").join(small, "cls").join(small.toDF("lead", "m", "lead_map"), "lead")
+    tested = cut(led.select("cls", "lead", "n", "m", "map", "lead_map").mapInArrow(_leader_rows(percent), "x long, y long").distinct(), "pairs")
+    links = _verify(tested, read, reps, sides, percent)
+    known = connected_components(links, "x", "y")
+    nearest = rounds
+    while True:
+        fresh = cut(_across(groups, known, small, percent, nearest > 0, block).join(_either_way(tested), ["x", "y"], "left_anti"), "pairs")
+        if fresh.isEmpty():
+            if not nearest:
+                break
+            nearest = 0  # what is nearest is tested: on to all pairs
+            continue
+        found = _verify(fresh, read, reps, sides, percent)
+        tested, links = tested.union(fresh), links.union(found)
         known = connected_components(links, "x", "y")
-    final = known if known is not None else spark.createDataFrame([], "node long, label long")
+        if not nearest:
+            break
+        nearest = 0 if found.isEmpty() else nearest - 1
 
-    least = cut(reps.select("cls", F.col("doc_id").alias("rep")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labels")
+    least = cut(reps.select("cls", "rep").join(known.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labels")
     comp = least.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = least.join(comp, "label").select("cls", "component_id")
-    return sets.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+    discard(groups)
+    return sets.select("doc_id", "n", "cls").join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _either_way(pairs: DataFrame) -> DataFrame:
+    return pairs.union(pairs.select("y", "x"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
