@@ -153,6 +153,25 @@ def test_sentencepiece_equals_library():
         assert t.decode(odd) == lib.decode(odd)
 
 
+def test_sentencepiece_long_runs_of_spaces():
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece_bpe.default_model())
+    t = sentencepiece_bpe.Tokenizer(sentencepiece_bpe.default_model())
+    for x in (" " * 100_000, "a" + " " * 33_333 + "the end" + " " * 7 + "\n" + " " * 50, "é☃" * 3000 + "z" * 5000):
+        ids = lib.encode(x)
+        assert t.encode_decode(x) == (len(ids), ",".join(map(str, ids)).encode(), lib.decode(ids))
+    assert max(map(len, t.words)) <= sentencepiece_bpe.LONGEST
+
+
+def test_sentencepiece_forgets_odd_words(monkeypatch):
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece_bpe.default_model())
+    t = sentencepiece_bpe.Tokenizer(sentencepiece_bpe.default_model())
+    monkeypatch.setattr(sentencepiece_bpe, "ODD", 20)
+    for k in range(200):
+        x = f"a{k}▁b word ▁▁{k} " * 3
+        ids = lib.encode(x)
+        assert t.encode_decode(x) == (len(ids), ",".join(map(str, ids)).encode(), lib.decode(ids)) and t.odd_size < 80
+
+
 def test_sharding_law_and_least_bytes(spark, make):
     rng = random.Random(4)
     rows = [(k, "x" * rng.randrange(60)) for k in range(301)]

@@ -8,7 +8,7 @@ recovered backwards from the whole word.  A character that no piece covers becom
 The text is first written the way the model's normaliser does (a space as U+2581, one more in front of a text that
 isn't empty).  No normal piece holds U+2581 after another character (checked on loading), so no merge crosses the place
 before a run of U+2581 and words are encoded on their own.  Pieces made of U+2581 alone share one score, so runs of two
-and more of them, where order of merging is by place, are merged directly; a word of any other kind uses the table.
+and more of them, where order of merging is by place, are merged with a heap; a word of any other kind uses the table.
 
 Defined results: a null text is the empty text, which has no ids; extra columns pass through.
 """
@@ -16,6 +16,7 @@ Defined results: a null text is the empty text, which has no ids; extra columns
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterable
 
@@ -28,23 +29,41 @@ from tickloom.llm.common import P
 
 SPACE = "▁"
 #: Words kept encoded in a Python worker: two generations of so many, the older of which goes when the younger is full.
-CACHE = 300_000
-PAIRS = 1_000_000
+CACHE = 80_000
+#: Longer words are encoded each time; pairs tested; characters of words whose ids decode to something else.  All bound a worker's memory.
+LONGEST, PAIRS, ODD = 48, 200_000, 1_000_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
 
 def _merge(parts: list[str], score: dict[str, float]) -> list[str]:
-    """BPE: the adjacent pair whose joined piece scores highest is joined, the leftmost of equals first."""
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            s = score.get(parts[i] + parts[i + 1])
-            if s is not None and (best is None or s > best):
-                best, at = s, i
-        if best is None:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return parts
+    """BPE: the adjacent pair whose joined piece scores highest is joined, the leftmost of equals first.
+
+    Pairs wait in a heap and neighbours are linked, so a run of n characters takes n log n steps.
+    """
+    n = len(parts)
+    parts, after, before = list(parts), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list[tuple[float, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < n and (s := score.get(parts[i] + parts[j])) is not None:
+            heapq.heappush(heap, (-s, i, len(parts[i]) + len(parts[j])))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i]
+        if not parts[i] or j >= n or len(parts[i]) + len(parts[j]) != size:  # one of the two has been joined meanwhile
+            continue
+        parts[i], parts[j] = parts[i] + parts[j], ""
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        if before[i] >= 0:
+            offer(before[i])
+        offer(i)
+    return [p for p in parts if p]
 
 
 class Tokenizer:
@@ -82,6 +101,7 @@ class Tokenizer:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
+        self.odd_size = 0
         # Marks that follow a letter in no piece: no merge crosses the place between, so the letters stand alone.
         marks = {c for p in self.id_of for c in p if not c.isalnum() and c != SPACE and c != "_"}
         marks -= {b for p in self.id_of for a, b in zip(p, p[1:], strict=False) if a.isalpha()}
@@ -151,11 +171,18 @@ class Tokenizer:
             got = b",".join([self.decimal[i] for i in ids])
             if (back := self._bytes(ids)) != word.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
                 self.odd[word] = back
-        if len(self.words) >= CACHE:
-            self.older, self.words = self.words, {}
-        self.words[word] = got
+                self.odd_size += len(word)
+        if len(word) <= LONGEST:
+            if len(self.words) >= CACHE:
+                self.older, self.words = self.words, {}
+            self.words[word] = got
         return got
 
+    def _trim(self) -> None:
+        """Between texts: forget all when the odd words have grown, since cached words rely on them."""
+        if self.odd_size > ODD:
+            self.words, self.older, self.odd, self.odd_size = {}, {}, {}, 0
+
     def encode(self, text: str) -> list[int]:
         return [int(x) for w in self.word.findall(self._normal(text)) for x in self._known(w).split(b",")]
 
@@ -195,6 +222,7 @@ class Tokenizer:
         parts = self.word.findall(self._normal(text))
         if not parts:
             return 0, b"", ""
+        self._trim()
         words = self.words
         ids = b",".join([words[w] if w in words else self._known(w) for w in parts])
         if self.odd and not self.odd.keys().isdisjoint(parts):
