@@ -1,11 +1,11 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.  DataFrame functions only.
 
 A test item is the set of its distinct five-word shingles; a document holds it when at least 80 % of them occur in the
-document.  The search is one of containment, so the sketch belongs to the item: its bottom-k shingles under a hash, with
-k from the size partition that the item falls in.  If q shingles and at least c = ceil(0.8 q) must occur, at most q - c of
-any s of them are missing, so a document that holds the item has at least s - (q - c) of a sketch of s.  With
-s = q - c + 1 + slack no document that holds an item is lost, however long it is.  Documents are partitioned by size
-too (powers of two of their shingle count); a partition is asked only about items that fit into it.
+document.  Both are sketched by the shingles of least hash.  Of an item of q shingles of which c = ceil(0.8 q) must occur,
+the sketch takes the s = q - c + 1 + slack least hashes; at most q - c of them can be missing, so a document that holds the
+item has at least s - (q - c) of them, and none is lost, however long the document is.  Documents are dealt by size
+(powers of two of their shingle count).  An item can only be held from the partition of its c on; the sketch of a document
+is its hashes up to the greatest that any item open to its partition asks for, which cuts most of a document away.
 
 Candidates are then verified on the shingles' text, not on hashes.
 
@@ -32,6 +32,8 @@ SKETCH_ROWS = 500_000
 CANDIDATE_ROWS = 500_000
 #: Bytes of item shingles broadcast at most.
 ITEM_BYTES = 64_000_000
+#: Size partitions (powers of two of a shingle count).
+PARTS = 32
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LEAST = -(2**63)
 
@@ -40,19 +42,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def _windows(w: Column, width: int) -> Column:
-    """Each run of ``width`` neighbours as a struct; slices are zipped, since a lambda over places would evaluate ``w`` for each of them."""
-    n = F.greatest(F.size(w) - (width - 1), F.lit(0))
-    return F.arrays_zip(*[F.slice(w, F.lit(k + 1), n) for k in range(width)])
+def _places(w: Column, width: int) -> Column:
+    """Places where a run of ``width`` words starts."""
+    return F.when(F.size(w) >= width, F.sequence(F.lit(0), F.size(w) - width)).otherwise(F.array().cast("array<int>"))
 
 
 def shingle_hashes(w: Column, width: int = WORDS) -> Column:
-    """Distinct hashes of the shingles of an array of word hashes."""
-    return F.array_distinct(F.transform(_windows(w, width), lambda s: F.xxhash64(*[s[str(k)] for k in range(width)])))
+    """Distinct hashes of the shingles of a column of word hashes (a column, so that a place reads it and doesn't make it anew)."""
+    return F.array_distinct(F.transform(_places(w, width), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)])))
 
 
 def shingle_texts(w: Column, width: int = WORDS) -> Column:
-    return F.array_distinct(F.transform(_windows(w, width), lambda s: F.concat_ws(" ", *[s[str(k)] for k in range(width)])))
+    return F.array_distinct(F.transform(_places(w, width), lambda i: F.concat_ws(" ", F.slice(w, i + 1, F.lit(width)))))
 
 
 def _hashed(text: Column, width: int) -> Column:
@@ -69,11 +70,12 @@ def item_table(items: DataFrame, item_col: str = "item_id", text_col: str = "tex
 
 
 def sketches(table: DataFrame, slack: int = SLACK) -> DataFrame:
-    """Rows (h, item, asked, part): bottom-k shingle hashes of each item, hits asked for, and the least size partition."""
+    """Rows (h, item, asked, part, tau): bottom-k shingle hashes of each item, hits asked for, least size partition, greatest hash."""
     width_of = lambda g: F.split(g, " ")
     hashes = F.array_sort(F.transform("grams", lambda g: F.xxhash64(*[F.xxhash64(F.get(width_of(g), k)) for k in range(WORDS)])))
     s = F.least(F.col("q"), F.col("q") - F.col("need") + 1 + slack)
-    return table.select("item", F.explode(F.slice(hashes, F.lit(1), s)).alias("h"), (s - (F.col("q") - F.col("need"))).alias("asked"), F.floor(F.log2(F.col("need"))).cast("int").alias("part"))
+    least = table.select("item", F.slice(hashes, F.lit(1), s).alias("hs"), (s - (F.col("q") - F.col("need"))).alias("asked"), F.floor(F.log2(F.col("need"))).cast("int").alias("part"))
+    return least.select("item", F.explode("hs").alias("h"), "asked", "part", F.element_at("hs", -1).alias("tau"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", percent: int = PERCENT, slack: int = SLACK) -> DataFrame:
@@ -81,18 +83,23 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     table = cut(item_table(items, item_col, "text", WORDS, percent), "items")
     sketch = cut(sketches(table, slack), "sketches")
     n_sketch, item_bytes = sketch.count(), table.agg(F.coalesce(F.sum(F.octet_length(F.array_join("grams", " "))), F.lit(0))).first()[0]
+    most = {r[0]: r[1] for r in sketch.groupBy("part").agg(F.max("tau")).collect()}  # one row a size partition: 31 at most
+    # The sketch of a document: its hashes up to the greatest that an item which fits into its size partition asks for.
+    tops = [max((t for q, t in most.items() if q <= p), default=None) for p in range(PARTS)]
+    top = F.element_at(F.array(*[F.lit(t).cast("long") for t in tops]), F.col("size_part") + 1)
     read = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("doc"), F.col(text_col).alias("text"))
     grams = read.select("doc", _hashed(F.col("text"), WORDS).alias("w")).select("doc", shingle_hashes(F.col("w")).alias("hs"))
-    seen = grams.select("doc", F.coalesce(F.floor(F.log2(F.greatest(F.size("hs"), F.lit(1)))).cast("int"), F.lit(0)).alias("size_part"), F.explode_outer("hs").alias("h"))  # outer and coalesce: no filter on the array, which would be evaluated again
-    hits = seen.join(broadcast_within(sketch, n_sketch, SKETCH_ROWS), "h").where("size_part >= part")
-    candidates = cut(hits.groupBy("doc", "item").agg(F.count_distinct("h").alias("hits"), F.first("asked").alias("asked")).where("hits >= asked").select("doc", "item"), "candidates")
-    asked = cut(candidates.groupBy("doc").agg(F.collect_set("item").alias("items")), "asked")  # of one document: as many as items at most
-    found = read.join(broadcast_within(asked, asked.count(), CANDIDATE_ROWS), "doc")
-    split = found.select("doc", "items", words(F.col("text")).alias("w"))  # on its own: within a lambda it would be evaluated for each shingle
-    pairs = split.select("doc", shingle_texts(F.col("w")).alias("held"), "items").select("doc", "held", F.explode("items").alias("item"))
-    table = F.broadcast(table) if item_bytes <= ITEM_BYTES else table
-    exact = pairs.join(table, "item").select("doc", "item", F.col("q").alias("n_item"), "need", F.size(F.array_intersect("held", "grams")).alias("n_shared")).where("n_shared >= need")
-    best = exact.groupBy("doc", "item", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    grams = grams.select("doc", "hs", F.coalesce(F.floor(F.log2(F.greatest(F.size("hs"), F.lit(1)))).cast("int"), F.lit(0)).alias("size_part"))
+    seen = grams.select("doc", "size_part", F.explode_outer(F.filter("hs", lambda h: h <= top)).alias("h"))  # outer and coalesce: no filter on the array, which would be evaluated again
+    hits = seen.join(broadcast_within(sketch.drop("tau"), n_sketch, SKETCH_ROWS), "h").where("size_part >= part")
+    candidates = hits.groupBy("doc", "item").agg(F.count_distinct("h").alias("hits"), F.first("asked").alias("asked")).where("hits >= asked")
+    asked = cut(candidates.select("doc").distinct(), "asked")
+    # Exact: the shingles' texts of candidate rows meet those of the items; a row is verified on its own.
+    found = read.withColumn("row", F.monotonically_increasing_id()).join(broadcast_within(asked, asked.count(), CANDIDATE_ROWS), "doc", "left_semi")
+    held = found.select("row", "doc", words(F.col("text")).alias("w")).select("row", "doc", F.explode(shingle_texts(F.col("w"))).alias("gram"))
+    parts = table.select("item", "q", "need", F.explode("grams").alias("gram"))
+    exact = held.join(F.broadcast(parts) if item_bytes <= ITEM_BYTES else parts, "gram").groupBy("row", "doc", "item", "q", "need").agg(F.count(F.lit(1)).alias("n_shared")).where("n_shared >= need")
+    best = exact.groupBy("doc", "item", F.col("q").alias("n_item")).agg(F.max("n_shared").alias("n_shared"))
     return best.withColumn("doc", F.when(F.col("doc") != F.lit(_LEAST), F.col("doc")))
 
 
