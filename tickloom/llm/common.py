@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -48,6 +49,19 @@ def discard(*cuts: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 4 MB and 2,000 rows, so that a Python worker's memory doesn't grow with the length of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing holds any more: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

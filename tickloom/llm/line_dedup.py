@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import P, cut
+from tickloom.llm.common import P, bound_batches, cut
 
 MIN_POINTS = 20
 MIN_DOCS = 3
@@ -153,6 +153,7 @@ def _drop_lines(points: int):
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``docs`` with ``__tl_kept`` (text without its frequent lines), ``__tl_n_lines`` and ``__tl_n_dropped``."""
+    bound_batches(docs.sparkSession)
     rid = F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST))
     hashes = cut(docs.select(rid.alias("rid"), F.col(text_col).alias("text")).mapInArrow(_hashes(min_points), "rid long, h1 long, h2 long"), "line-hashes")
     index, shards = build_index(hashes, min_docs, shard_keys)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import cut
+from tickloom.llm.common import bound_batches, cut
 
 FOLDS, FOLD = 7, 2
 #: Words of the model; words whose counts go to every task (about 100 bytes each); both bound memory.
@@ -307,6 +307,7 @@ def _scorer(shared):
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = LIST, head: int = HEAD) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one for each row of ``docs``."""
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == FOLD, F.lit(False))
     seen = docs.where(~out).select(text_col)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import broadcast_within, cut, discard, join_null_safe
+from tickloom.llm.common import bound_batches, broadcast_within, cut, discard, join_null_safe, release
 from tickloom.llm.components import connected_components
 from tickloom.llm.hashing import mix, shingle_sets
 
@@ -292,6 +292,7 @@ def _verify(pairs: DataFrame, read: DataFrame, reps: DataFrame, sides, percent:
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """Rows (doc_id, n_shingles, cls, component_id): one for each row of ``docs``."""
+    bound_batches(docs.sparkSession)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64("text"))
     both = cut(read.mapInArrow(_sets(words), "doc_id long, cls long, n long, piece long, part long, map binary, counts binary"), "sets")
     sets = both.where("piece is null")
@@ -302,8 +303,11 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # First order: the groups of classes that share a prefix token.
     postings = cut(read.select("text").mapInArrow(_postings(words, percent, level), "tok long, cls long"), "postings")
     shared = postings.groupBy("tok").agg(F.min("cls").alias("lead"), F.max("cls").alias("hi")).where("lead < hi").select("tok", "lead")
+    shared = cut(shared, "shared")
+    release(docs.sparkSession)  # the counted postings' shuffle goes before they are shuffled again
     groups = cut(postings.join(shared, "tok").select("lead", "cls").distinct(), "groups")
-    discard(postings)
+    discard(postings, shared)
+    release(docs.sparkSession)
 
     # Each class with its leaders; then what could still join two components.
     sides = _sides(words, percent, level)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import P
+from tickloom.llm.common import P, bound_batches
 
 SPACE = "▁"
 #: Words kept encoded in a Python worker: two generations of so many, the older of which goes when the younger is full.
@@ -276,6 +276,7 @@ def default_model() -> str:
 
 def encode_documents(docs: DataFrame, text_col: str = "text", model_file: str | None = None, with_ids: bool = True) -> DataFrame:
     """``docs`` with ``__tl_ids`` (left out on request), ``__tl_n_tokens``, ``__tl_ids_sha256`` and ``__tl_decoded``."""
+    bound_batches(docs.sparkSession)
     path = model_file or default_model()
     fields = ["n_tokens long", "ids_sha256 string", "decoded string", *["ids array<int>"] * with_ids]
 
