@@ -3,13 +3,15 @@
 Word counts over all training documents (each word once a task, then summed by Spark) give the vocabulary, a unigram
 base score, and the model's word list: the ``LIST`` most frequent words, dealt into classes of about equal weight.  The
 model is a GRU whose output is factored: class given state, then word given class and state.  A word off the list is the
-list's unknown word times its share of the remaining unigram mass, so probabilities over all words sum to one.
+list's unknown word times its share of the remaining unigram mass, so probabilities over all words sum to one.  Words
+are known by 64 bits of hash (``hashing``).
 
-Training starts from the unigram distribution.  Each task trains on its documents by truncated backpropagation
-(every window of ``STEPS`` tokens of each training document, with the state carried from one window to the next; a
-lane whose document ends takes the next one with a fresh state); the tasks' weights are averaged in Spark by the tokens that each has seen, so
-what is sent grows with the tasks and what reaches the driver is one model.  Scoring runs through whole documents in
-windows and carries the state, so a score is the log-likelihood of the complete document.
+Training starts from the unigram distribution.  The training documents are dealt into ``ROUNDS`` parts.  In each round
+every task trains on its documents of that part by truncated backpropagation (every window of ``STEPS`` tokens of each
+document, with the state carried from one window to the next; a lane whose document ends takes the next one with a fresh
+state); then the tasks' weights are averaged in Spark by the tokens that each has seen, so what is sent grows with the
+tasks and what reaches the driver is one model.  Scoring runs through whole documents in windows and carries the state,
+so a score is the log-likelihood of the complete document.
 
 Counts of the most frequent words, ``HEAD`` at most, go to the tasks; the others are joined in Spark.
 
@@ -21,8 +23,7 @@ its one word; an empty table gives no row; extra columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -32,15 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import bound_batches, cut
+from tickloom.llm.hashing import word_hashes
 
 FOLDS, FOLD = 7, 2
-#: Words of the model; words whose counts go to every task (about 100 bytes each); both bound memory.
+#: Words of the model; words whose counts go to every task (some 30 bytes each); both bound memory.
 LIST, HEAD = 1024, 200_000
 EMBED, STATE, CLASSES = 16, 24, 32
-STEPS, LANES, RATE = 16, 64, 0.08
+STEPS, LANES, RATE = 16, 256, 0.2
+#: Parts of the training documents; the tasks' models are averaged after each.
+ROUNDS = 2
 #: Weights in one row while models are averaged.
 PIECE = 4096
+#: Distinct words that a task counts before it hands them on.
+COUNTED = 400_000
 END = b""
+_END = 0x2545F4914F6CDD1D
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -48,12 +55,53 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
+def word_id(word: bytes) -> int:
+    """The 64 bits by which a word, or the end token, is known."""
+    return _END if word == END else int(next(word_hashes([word]))[0][0])
+
+
+class Index:
+    """Places of hashes in a list, by open addressing in two arrays."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.bits = max(4, int(4 * len(hashes)).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.at = np.full(1 << self.bits, -1, dtype=np.int32)
+        left = np.arange(len(hashes), dtype=np.int32)
+        where = self._home(hashes)
+        while len(left):
+            free = self.at[where] < 0
+            first = np.unique(where[free], return_index=True)[1]
+            take = np.flatnonzero(free)[first]
+            self.keys[where[take]], self.at[where[take]] = hashes[left[take]], left[take]
+            stay = np.ones(len(left), dtype=bool)
+            stay[take] = False
+            left, where = left[stay], (where[stay] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray, none: int) -> np.ndarray:
+        out = np.full(len(hashes), none, dtype=np.int64)
+        left, where = np.arange(len(hashes)), self._home(hashes)
+        while len(left):
+            at = self.at[where]
+            same = (self.keys[where] == hashes[left]) & (at >= 0)
+            out[left[same]] = at[same]
+            more = ~same & (at >= 0)
+            left, where = left[more], (where[more] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.find(np.array([word_id(word)], dtype=np.uint64), -1)[0])
+
+
 class Vocabulary:
     """Head words with counts, of which the first ``size`` are the model's list, grouped by class."""
 
-    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int, size: int = LIST, classes: int = CLASSES) -> None:
+    def __init__(self, head: list[tuple[bytes | int, int]], total: int, distinct: int, size: int = LIST, classes: int = CLASSES) -> None:
         self.total, self.distinct = total, distinct
-        self.index = {w: k for k, (w, _) in enumerate(head)}
+        self.index = Index(np.array([w & (1 << 64) - 1 if isinstance(w, int) else word_id(w) for w, _ in head], dtype=np.uint64))
         self.counts = np.array([*[c for _, c in head], 0], dtype=np.float64)
         self.size = min(size, len(head))
         listed = np.sqrt(self.counts[: self.size])
@@ -66,33 +114,39 @@ class Vocabulary:
         self.whole = total + distinct + 1
         self.rest = self.whole - (self.counts[: self.size] + 1).sum()
 
+    def places(self, texts: Iterable[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text the hashes of its tokens and their places in the head (``len(counts) - 1``: none)."""
+        end = np.array([_END], dtype=np.uint64)
+        last, none = self.index.find(end, len(self.counts) - 1), len(self.counts) - 1
+        for h, edges in word_hashes(texts):
+            at = self.index.find(h, none)
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                yield np.append(h[a:b], end), np.append(at[a:b], last)
+
     def model_ids(self, at: np.ndarray) -> np.ndarray:
         return np.minimum(at, self.size)
 
 
 def start(v: Vocabulary, seed: int = 3) -> dict[str, np.ndarray]:
-    """Weights that give the unigram distribution at any state."""
+    """Weights that give about the unigram distribution at any state; small ones on the output, so that the first window moves all others."""
     rng = np.random.default_rng(seed)
     mass = np.append(v.counts[: v.size] + 1, max(v.rest, 1.0)) / max(v.whole, 1)
     by_class = np.add.reduceat(mass, v.first[:-1])
     small = lambda *s: (rng.standard_normal(s) * 0.15).astype(np.float32)
     return {
         "embed": small(v.size + 1, EMBED), "wx": small(EMBED, 3 * STATE), "wh": small(STATE, 3 * STATE), "b": np.zeros(3 * STATE, np.float32),
-        "wc": np.zeros((STATE, v.classes), np.float32), "bc": np.log(by_class).astype(np.float32),
-        "wo": np.zeros((v.size + 1, STATE), np.float32), "bo": np.log(mass).astype(np.float32),
+        "wc": small(STATE, v.classes) / 10, "bc": np.log(by_class).astype(np.float32),
+        "wo": small(v.size + 1, STATE) / 10, "bo": np.log(mass).astype(np.float32),
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def _step(table: np.ndarray, m: dict, h: np.ndarray, ids: np.ndarray):
-    x, r = table[ids], h @ m["wh"]
-    zr = _sigmoid(x[:, : 2 * STATE] + r[:, : 2 * STATE])
-    z, g = zr[:, :STATE], zr[:, STATE:]
-    n = np.tanh(x[:, 2 * STATE :] + g * r[:, 2 * STATE :])
-    return z * h + (1 - z) * n, z, g, n, r
+def _step(x: np.ndarray, m: dict, h: np.ndarray):
+    """One step of the GRU from input rows ``x``: the new state and what the way back needs."""
+    r = h @ m["wh"]
+    zr = 0.5 * np.tanh(0.5 * (x[:, : 2 * STATE] + r[:, : 2 * STATE])) + 0.5
+    z, g, rn = zr[:, :STATE], zr[:, STATE:], r[:, 2 * STATE :]
+    n = np.tanh(x[:, 2 * STATE :] + g * rn)
+    return n + z * (h - n), z, g, n, rn
 
 
 def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -143,100 +197,150 @@ def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory:
     ``real`` is false after a lane's end: what lies there has no loss.
     """
     table = m["embed"] @ m["wx"] + m["b"]
-    states, saved = [h], []
-    for t in range(len(ids) - 1):
-        nh, z, g, n, r = _step(table, m, states[-1], ids[t])
-        saved.append((z, g, n, r))
-        states.append(nh)
+    steps, lanes = ids.shape
+    x = table[ids]
+    states = np.empty((steps, lanes, STATE), h.dtype)
+    saved = []
+    for t in range(steps):
+        states[t] = h
+        h, *kept = _step(x[t], m, h)
+        saved.append(kept)
     grads = {k: np.zeros_like(w) for k, w in m.items()}
-    flat = np.concatenate(states)
-    at = slice(None) if real is None else real.reshape(-1)
-    back = np.zeros_like(flat)
-    back[at] = _output(m, v, flat[at], ids.reshape(-1)[at], grads)[1]
-    back = back.reshape(len(ids), -1, STATE)
-    dh = back[len(ids) - 1]
-    for t in range(len(ids) - 2, -1, -1):
-        z, g, n, r = saved[t]
-        prev = states[t]
-        dz, dn = dh * (prev - n) * z * (1 - z), dh * (1 - z) * (1 - n * n)
-        dg = dn * r[:, 2 * STATE :] * g * (1 - g)
-        dx = np.concatenate([dz, dg, dn], axis=1)
-        dr = np.concatenate([dz, dg, dn * g], axis=1)
-        grads["wh"] += prev.T @ dr
-        e = m["embed"][ids[t]]
-        grads["wx"] += e.T @ dx
-        grads["b"] += dx.sum(axis=0)
-        np.add.at(grads["embed"], ids[t], dx @ m["wx"].T)
-        dh = dh * z + dr @ m["wh"].T + back[t]
+    flat, wanted = states.reshape(-1, STATE), ids.reshape(-1)
+    if real is None or real.all():
+        back = _output(m, v, flat, wanted, grads)[1].reshape(steps, lanes, STATE)
+    else:
+        back = np.zeros_like(flat)
+        at = real.reshape(-1)
+        back[at] = _output(m, v, flat[at], wanted[at], grads)[1]
+        back = back.reshape(steps, lanes, STATE)
+    if steps > 1:
+        dx = np.empty((steps - 1, lanes, 3 * STATE), states.dtype)
+        dr = np.empty_like(dx)
+        dh, wt = back[steps - 1], np.ascontiguousarray(m["wh"].T)
+        for t in range(steps - 2, -1, -1):
+            z, g, n, rn = saved[t]
+            left = dh * (1 - z)
+            dn = left * (1 - n * n)
+            dx[t, :, :STATE] = left * z * (states[t] - n)
+            dx[t, :, STATE : 2 * STATE] = dn * rn * g * (1 - g)
+            dx[t, :, 2 * STATE :] = dn
+            dr[t] = dx[t]
+            dr[t, :, 2 * STATE :] *= g
+            dh = dh * z + dr[t] @ wt + back[t]
+        fed, by_row = ids[:-1].reshape(-1), dx.reshape(-1, 3 * STATE)
+        grads["wh"] += flat[: len(fed)].T @ dr.reshape(-1, 3 * STATE)
+        grads["b"] += by_row.sum(axis=0)
+        order = np.argsort(fed, kind="stable")  # rows of one word are summed before the embedding
+        words, first = np.unique(fed[order], return_index=True)
+        summed = np.add.reduceat(by_row[order], first)
+        grads["wx"] += m["embed"][words].T @ summed
+        grads["embed"][words] += summed @ m["wx"].T
     size = math.sqrt(sum(float((x * x).sum()) for x in grads.values()))
+    share = 1.0 if real is None else float(real.sum()) / (STEPS * LANES)  # a window with few lanes left weighs as little as its tokens
     for k, x in grads.items():
-        x *= min(1.0, 1.0 / max(size, 1e-9))
+        x *= share * min(1.0, 1.0 / max(size, 1e-9))
         memory[k] += x * x
         m[k] -= RATE * x / (np.sqrt(memory[k]) + 1e-6)
-    return _step(table, m, states[-1], ids[-1])[0]
+    return h
+
+
+def _windows(docs: Iterable[tuple], lanes: int, steps: int):
+    """Windows over id sequences, ``lanes`` side by side; a lane whose document ends takes the next one with a fresh state.
+
+    Yields (keys of the live lanes, ids, which of them are real, whether a lane ends here, states); the receiver puts the states to carry into the last.
+    """
+    docs, live, keys, h = iter(docs), [], [], np.zeros((0, STATE), np.float32)
+    while True:
+        new = list(islice(docs, lanes - len(live)))
+        if not live and not new:
+            return
+        keys += [k for k, _ in new]
+        live += [x for _, x in new]
+        h = np.concatenate([h, np.zeros((len(new), STATE), np.float32)])
+        n = np.array([min(len(x), steps) for x in live])
+        real = np.arange(n.max())[:, None] < n
+        ids = np.zeros(real.shape, dtype=np.int64)
+        for j, x in enumerate(live):
+            ids[: n[j], j] = x[:steps]
+        ends = np.array([len(x) <= steps for x in live])
+        state = [h]
+        yield keys, ids, real, ends, state
+        keep = np.flatnonzero(~ends).tolist()
+        live, keys, h = [live[j][steps:] for j in keep], [keys[j] for j in keep], state[0][keep]
 
 
-def score_lanes(m: dict, v: Vocabulary, lanes: list[np.ndarray], steps: int = 64) -> np.ndarray:
-    """Natural log-likelihood of each id sequence; state is carried from window to window."""
+def score_stream(m: dict, v: Vocabulary, docs: Iterable[tuple], lanes: int = 512, steps: int = 16) -> Iterator[tuple]:
+    """(key, natural log-likelihood) of each (key, id sequence), as they end; state is carried from window to window."""
     table = m["embed"] @ m["wx"] + m["b"]
+    total: dict = {}
+    for keys, ids, real, ends, state in _windows(docs, lanes, steps):
+        h = state[0].astype(table.dtype, copy=False)
+        x = table[ids]
+        states = np.empty((*ids.shape, STATE), table.dtype)
+        for t in range(len(ids)):
+            states[t] = h
+            h = _step(x[t], m, h)[0]
+        state[0] = h
+        at = real.reshape(-1)
+        logs = np.zeros(at.shape)
+        logs[at] = _output(m, v, states.reshape(-1, STATE)[at], ids.reshape(-1)[at])[0]
+        for key, found, end in zip(keys, logs.reshape(ids.shape).sum(axis=0).tolist(), ends.tolist(), strict=True):
+            found += total.pop(key, 0.0)
+            if end:
+                yield key, found
+            else:
+                total[key] = found
+
+
+def score_lanes(m: dict, v: Vocabulary, lanes: list[np.ndarray], steps: int = 16) -> np.ndarray:
+    """Natural log-likelihood of each id sequence."""
     out = np.zeros(len(lanes))
-    order = sorted(range(len(lanes)), key=lambda k: -len(lanes[k]))
-    for block in (order[k : k + 256] for k in range(0, len(order), 256)):
-        length = np.array([len(lanes[k]) for k in block])
-        h = np.zeros((len(block), STATE), np.float32)
-        for lo in range(0, int(length[0]), steps):
-            live = int((length > lo).sum())
-            h = h[:live]
-            hi = min(lo + steps, int(length[0]))
-            ids = np.zeros((hi - lo, live), dtype=np.int64)
-            for j in range(live):
-                part = lanes[block[j]][lo:hi]
-                ids[: len(part), j] = part
-            states = np.empty((hi - lo, live, STATE), np.float32)
-            for t in range(hi - lo):
-                states[t] = h
-                h = _step(table, m, h, ids[t])[0]
-            real = (np.arange(lo, hi)[:, None] < length[None, :live]).reshape(-1)
-            logs = np.zeros(real.shape)
-            logs[real] = _output(m, v, states.reshape(-1, STATE)[real], ids.reshape(-1)[real])[0]
-            out[block[:live]] += logs.reshape(hi - lo, live).sum(axis=0)
+    for k, x in score_stream(m, v, enumerate(lanes), steps=steps):
+        out[k] = x
     return out
 
 
 def _counted(batches):
-    c: Counter = Counter()
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    """Rows (word, n) of the task's tokens; Spark sums them."""
+    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+    words, counts, ends = [], [], 0
 
-    def rows():
-        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], schema=schema)
+    def summed() -> tuple[np.ndarray, np.ndarray]:
+        all_words, all_counts = np.concatenate(words), np.concatenate(counts)
+        got, where = np.unique(all_words, return_inverse=True)
+        return got, np.bincount(where, weights=all_counts, minlength=len(got)).astype(np.int64)
 
+    def rows(w: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], schema=schema)
+
+    held = 0
     for batch in batches:
-        for text in batch.column(0).cast(pa.binary()).to_pylist():
-            c.update(tokens(text))
-        if len(c) > 300_000:  # memory of the task; Spark sums the parts
-            yield rows()
-            c.clear()
-    yield rows()
+        ends += batch.num_rows
+        for h, _ in word_hashes(batch.column(0).cast(pa.binary()).to_pylist()):
+            w, n = np.unique(h, return_counts=True)
+            words.append(w)
+            counts.append(n)
+            held += len(w)
+            if held > 2 * COUNTED:  # memory of the task
+                w, n = summed()
+                words, counts, held = [w], [n], len(w)
+                if held > COUNTED:
+                    yield rows(w, n)
+                    words, counts, held = [], [], 0
+    if ends:
+        words.append(np.array([_END], dtype=np.uint64))
+        counts.append(np.array([ends]))
+        yield rows(*summed())
 
 
 def learn(m: dict, v: Vocabulary, docs: Iterable[np.ndarray], memory: dict) -> int:
     """Train on all windows of all id sequences, ``LANES`` of them side by side; returns the tokens learnt from."""
-    docs, live, h, used = iter(docs), [], np.zeros((0, STATE), np.float32), 0
-    while True:
-        new = list(islice(docs, LANES - len(live)))
-        live += new
-        if not live:
-            return used
-        h = np.concatenate([h, np.zeros((len(new), STATE), np.float32)])
-        n = np.array([min(len(x), STEPS) for x in live])
-        real = np.arange(n.max())[:, None] < n
-        ids = np.zeros(real.shape, dtype=np.int64)
-        for j, x in enumerate(live):
-            ids[: n[j], j] = x[:STEPS]
-        h = train_window(m, v, h, ids, memory, real)
-        used += int(n.sum())
-        keep = [j for j, x in enumerate(live) if len(x) > STEPS]
-        live, h = [live[j][STEPS:] for j in keep], h[keep]
+    used = 0
+    for _, ids, real, _, state in _windows(((None, x) for x in docs), LANES, STEPS):
+        state[0] = train_window(m, v, state[0], ids, memory, real)
+        used += int(real.sum())
+    return used
 
 
 def _trainer(shared):
@@ -247,7 +351,7 @@ def _trainer(shared):
         m = {k: w.copy() for k, w in m.items()}
         memory = {k: np.full_like(w, 1e-4) for k, w in m.items()}
         texts = (text for batch in batches for text in batch.column(0).cast(pa.binary()).to_pylist())
-        seen = learn(m, v, (v.model_ids(np.array([v.index.get(w, v.size) for w in tokens(text)])) for text in texts), memory)
+        seen = learn(m, v, (v.model_ids(at) for _, at in v.places(texts)), memory)
         if seen:
             from pyspark import TaskContext
 
@@ -265,42 +369,62 @@ def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "part": [pdf["part"].iloc[0]], "w": [w.astype(np.float32).tobytes()], "tokens": [total]})
 
 
-def train(texts: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """The averaged model of one pass over all training texts (column 0)."""
+def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """The model of one pass over all training texts (column 0), dealt into ``rounds`` parts with an average after each."""
     sc = texts.sparkSession.sparkContext
     m = start(v)
     shape = "piece int, part int, w binary, tokens long"
-    local = texts.mapInArrow(_trainer(sc.broadcast((v, m))), shape)
-    some = local.groupBy("piece", "part").applyInPandas(_mean, shape).withColumn("part", F.lit(0))
-    rows = sorted(some.groupBy("piece", "part").applyInPandas(_mean, shape).select("piece", "w").collect())  # one model
-    if rows:
-        flat, at = np.frombuffer(b"".join(bytes(r[1]) for r in rows), np.float32), 0
-        for k, w in m.items():
-            m[k] = flat[at : at + w.size].reshape(w.shape).copy()
-            at += w.size
+    part = F.pmod(F.xxhash64(F.col(texts.columns[0]), F.lit(5)), F.lit(rounds))
+    for r in range(rounds):
+        local = texts.where(part == r).mapInArrow(_trainer(sc.broadcast((v, m))), shape)
+        some = local.groupBy("piece", "part").applyInPandas(_mean, shape).withColumn("part", F.lit(0))
+        rows = sorted(some.groupBy("piece", "part").applyInPandas(_mean, shape).select("piece", "w").collect())  # one model
+        if rows:
+            flat, at = np.frombuffer(b"".join(bytes(r[1]) for r in rows), np.float32), 0
+            for k, w in m.items():
+                m[k] = flat[at : at + w.size].reshape(w.shape).copy()
+                at += w.size
     return m
 
 
+SCORED = [("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
+
+
 def _scorer(shared):
-    schema = pa.schema([("rid", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("tail", pa.list_(pa.binary()))])
+    """Rows (rid, doc_id, held_out, text) to rows with counts, sums over the head, the model's sum, and the words off the head."""
 
     def run(batches):
         v, m = shared.value
         logs = np.log10((v.counts + 1) / max(v.whole, 1))
         off = np.log10((v.counts + 1) / max(v.rest, 1e-9))
         none = len(v.counts) - 1
-        for batch in batches:
-            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
-                rows, lanes = [], []
-                for rid, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    words = tokens(text)
-                    at = np.array([v.index.get(w, none) for w in words])
-                    tail = [words[k] for k in np.flatnonzero(at == none)]
+        kept: dict = {}
+        kind = None
+
+        def docs():
+            nonlocal kind
+            for batch in batches:
+                kind = batch.column(1).type
+                rids, ids, held = (batch.column(k).to_pylist() for k in range(3))
+                for rid, i, out, (h, at) in zip(rids, ids, held, v.places(batch.column(3).cast(pa.binary()).to_pylist()), strict=True):
                     head = at[at != none]
-                    lanes.append(v.model_ids(at))
-                    rows.append((rid, len(words), len(head), float(logs[head].sum()), float(off[head[head >= v.size]].sum()), tail))
-                found = score_lanes(m, v, lanes) / math.log(10)
-                yield pa.RecordBatch.from_arrays([*[pa.array([r[k] for r in rows], schema.field(k).type) for k in range(4)], pa.array([r[4] + s for r, s in zip(rows, found, strict=True)], pa.float64()), pa.array([r[5] for r in rows], schema.field(5).type)], schema=schema)
+                    words, times = np.unique(h[at == none].view(np.int64), return_counts=True)
+                    kept[rid] = (i, out, len(at), len(head), float(logs[head].sum()), float(off[head[head >= v.size]].sum()), words, times)
+                    yield rid, v.model_ids(at)
+
+        def rows(done: list[tuple]) -> pa.RecordBatch:
+            schema = pa.schema([("rid", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), *SCORED])
+            full = [(rid, *(k := kept.pop(rid))[:5], k[5] + s / math.log(10), *k[6:]) for rid, s in done]
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in full], f.type) for j, f in enumerate(schema)], schema=schema)
+
+        done = []
+        for got in score_stream(m, v, docs()):
+            done.append(got)
+            if len(done) == 512:
+                yield rows(done)
+                done = []
+        if done:
+            yield rows(done)
 
     return run
 
@@ -311,7 +435,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == FOLD, F.lit(False))
     seen = docs.where(~out).select(text_col)
-    counts = cut(seen.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    counts = cut(seen.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # The words above a level of counts such that they are ``head`` at most; a top-k would send so many rows from each task.
     level, least, held = F.floor(F.log2("n") * 64), 1 << 20, 0
@@ -319,13 +443,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if (held := held + r["words"]) > head:
             break
         least = r["level"]
-    top = sorted(((bytes(r[0]), r[1]) for r in counts.where(level >= least).select("word", "n").collect()), key=lambda x: (-x[1], x[0]))
+    top = sorted(((r[0], r[1]) for r in counts.where(level >= least).select("word", "n").collect()), key=lambda x: (-x[1], x[0]))
     v = Vocabulary(top, total, distinct, size)
     shared = spark.sparkContext.broadcast((v, train(seen, v)))
     named = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), out.alias("held_out"), F.col(text_col).alias("text"))
-    scored = named.select(F.struct("rid", "doc_id", "held_out").alias("key"), "text")
-    done = cut(_with_key(scored, shared), "scored")
-    tail = done.select("rid", F.explode("tail").alias("word")).groupBy("rid", "word").agg(F.count(F.lit(1)).alias("m"))
+    kind = named.schema["doc_id"].dataType.simpleString()
+    done = cut(named.mapInArrow(_scorer(shared), f"rid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, model double, words array<long>, times array<long>"), "scored")
+    tail = done.select("rid", F.explode(F.arrays_zip("words", "times")).alias("t")).select("rid", F.col("t.words").alias("word"), F.col("t.times").alias("m"))
     c = F.coalesce("n", F.lit(0))
     rest = tail.join(counts, "word", "left").groupBy("rid").agg(
         F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("known_tail"), F.sum(F.col("m") * F.log10((c + 1) / F.lit(float(v.whole)))).alias("base_tail"), F.sum(F.col("m") * F.log10((c + 1) / F.lit(float(max(v.rest, 1.0))))).alias("model_tail")
@@ -337,21 +461,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _with_key(scored: DataFrame, shared) -> DataFrame:
-    inner = _scorer(shared)
-
-    def run(batches):
-        for batch in batches:
-            key = batch.column(0)
-            rid, doc, held = key.field(0), key.field(1), key.field(2)
-            plain = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(1)], names=["rid", "text"])
-            for got in inner(iter([plain])):
-                at = got.column(0)
-                yield pa.RecordBatch.from_arrays([rid.take(at), doc.take(at), held.take(at), *got.columns[1:]], names=["rid", "doc_id", "held_out", *got.schema.names[1:]])
-
-    kind = scored.schema["key"].dataType["doc_id"].dataType.simpleString()
-    return scored.mapInArrow(run, f"rid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, model double, tail array<binary>")
-
-
 def query(docs: DataFrame) -> DataFrame:
     return score_documents(docs.select("doc_id", "text"))
