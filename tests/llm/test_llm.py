@@ -286,6 +286,15 @@ def test_secret_candidates_with_blanks_quotes_and_without_digits(make):
     assert got == {k: (w, rows[k][1].index(w)) for k, w in enumerate(want)}
 
 
+def test_secrets_of_a_text_of_many_candidates(make):
+    key = lambda k: hashlib.sha1(str(k).encode()).hexdigest()[: 16 + k % 20]
+    text = "".join(f'{"é" * (k % 5)} token{k} = "{key(k)}" ' for k in range(20_000))
+    got = secrets.candidates(make([(1, text), (2, None), (3, "")])).orderBy("k").collect()
+    want = [(m.group(), m.start()) for m in re.finditer(r"(?<![0-9A-Za-z+/_-])[0-9a-f]{16,}", text)]
+    assert [(r.found, r.start) for r in got] == want and [r.k for r in got] == list(range(len(want))) and len(want) == 20_000
+    assert all(text[: r.start].endswith(r.before) and text[r.start + len(r.found) :].startswith(r.after) for r in got[::97])
+
+
 def test_passages(make):
     rng = random.Random(9)
     passage = prose(rng, 70).split()

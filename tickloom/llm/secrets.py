@@ -25,10 +25,14 @@ TREES, DEPTH, SEED = 40, 7, 11
 _SECRET_WORDS = "token|secret|passwd|password|pwd|api|apikey|key|auth|bearer|credential|private|access"
 PATTERN = (
     r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    r"|(?<=[\s\"'=:])(?=[^\s\"']{6})(?<=[=:]\s{0,4}[\"']{0,1})(?<=(?i:password|passwd|pwd)[\"']{0,1}\s{0,4}[=:]\s{0,4}[\"']{0,1})[^\s\"']{6,}"
+    r"|(?<=[\s\"'=:])(?<![^\s=:]\s)(?=[^\s\"']{6})(?<=[=:]\s{0,4}[\"']{0,1})(?<=(?i:password|passwd|pwd)[\"']{0,1}\s{0,4}[=:]\s{0,4}[\"']{0,1})[^\s\"']{6,}"
     r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
     rf"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{{16}})(?<=(?i:{_SECRET_WORDS})[\"']{{0,1}}\s{{0,4}}[=:]{{0,1}}\s{{0,4}}[\"']{{0,1}})[A-Za-z+/_-]{{16,}}={{0,2}}"
 )
+#: What each candidate holds at least.
+POSSIBLE = r"[A-Za-z0-9+/_-]{16}|(?i:passw|pwd)|PRIVATE KEY"
+#: Candidates of a text whose starts are summed at once.
+CHUNK = 256
 _OTHER_WORDS = "commit|sha|sha1|sha256|md5|hash|checksum|digest|uuid|guid|etag|revision|rev|version|build|integrity|blob|tree|id|serial|isbn|order|invoice|card"
 _DICTIONARY = "example|sample|test|dummy|fake|changeme|placeholder|your|here|insert|foo|bar|abc|xyz|123|token|secret|password|key|value|name|path|file|index|page|user|data|image|version|release|module|class|function|config|the|and|tion|ing|ment"
 _TESTING = "test|spec|fixture|example|sample|doc|mock|demo"
@@ -36,15 +40,35 @@ _SHIFTS = r"(?<=[0-9])(?=[^0-9])|(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[
 NAMES = ["length", "digits", "upper", "lower", "hex", "variety", "shifts", "repeats", "covered", "vowels", "path_test", "path_depth", "near_secret", "near_other", "assigned", "quoted", "next_secret", "next_other"]
 
 
+def _made(df: DataFrame) -> DataFrame:
+    """``df`` as it is, its columns made once: what reads them in a lambda doesn't make them anew for each element."""
+    return df.select(F.explode_outer(F.array(F.struct(*df.columns))).alias("made")).select("made.*")
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """Rows (doc, path, k, start, found, before, after) of the candidates, start in characters from 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    parts = docs.select(F.col(id_col).alias("doc"), path.alias("path"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("all"), text.alias("text"))
-    held = parts.where(F.size("all") > 0).withColumn("gaps", F.split("text", PATTERN, -1))  # gap k lies before candidate k
-    one = held.select("doc", "path", "all", "gaps", F.posexplode("all").alias("k", "found"))
-    start = F.aggregate(F.slice("gaps", F.lit(1), F.col("k") + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice("all", F.lit(1), F.col("k")), F.lit(0), lambda a, x: a + F.length(x))
-    return one.select("doc", "path", "k", start.alias("start"), "found", F.right(F.get("gaps", F.col("k")), F.lit(60)).alias("before"), F.left(F.get("gaps", F.col("k") + 1), F.lit(40)).alias("after"))
+    # Texts without a run of key characters, a word for a password or a key header have no candidate; the long pattern isn't tried on them.
+    parts = docs.select(F.col(id_col).alias("doc"), path.alias("path"), text.alias("text")).where(F.col("text").rlike(POSSIBLE))
+    parts = parts.select("doc", "path", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("all"), F.split("text", PATTERN, -1).alias("gaps"))  # gap k lies before candidate k
+    # Steps from one candidate's start to the next, their sums by chunk, and sums of chunks before a chunk: each start then takes one chunk at most.
+    n, chunk = F.size("all"), F.lit(CHUNK)
+    step = lambda k: F.length(F.get("gaps", k)) + F.when(k > 0, F.length(F.get("all", k - 1))).otherwise(0)
+    sums = lambda steps: F.aggregate(steps, F.lit(0), lambda a, x: a + x)
+    parts = _made(parts)
+    parts = _made(parts.withColumn("steps", F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), step)).otherwise(F.array().cast("array<int>"))))
+    parts = _made(parts.withColumn("chunks", F.transform(F.sequence(F.lit(0), F.floor(F.size("steps") / chunk).cast("int")), lambda c: sums(F.slice("steps", c * chunk + 1, chunk)))))
+    parts = _made(parts.withColumn("sums", F.transform(F.sequence(F.lit(0), F.size("chunks") - 1), lambda c: sums(F.slice("chunks", F.lit(1), c)))))
+
+    def one(k: Column) -> Column:
+        c = F.floor(k / chunk).cast("int")
+        start = F.get("sums", c) + sums(F.slice("steps", c * chunk + 1, k - c * chunk + 1))
+        return F.struct(k.alias("k"), start.alias("start"), F.get("all", k).alias("found"), F.right(F.get("gaps", k), F.lit(60)).alias("before"), F.left(F.get("gaps", k + 1), F.lit(40)).alias("after"))
+
+    # One small struct for each candidate before rows are made, so that no row holds the arrays of its text.
+    each = F.when(F.size("steps") > 0, F.transform(F.sequence(F.lit(0), F.size("steps") - 1), one))
+    return parts.select("doc", "path", each.alias("each")).select("doc", "path", F.inline("each"))
 
 
 def _share(text: Column, kind: str) -> Column:
