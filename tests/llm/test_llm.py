@@ -199,6 +199,24 @@ def test_shard_rewrite(spark, make, tmp_path):
     assert spark.read.parquet(root).select("doc_id").distinct().count() == 40
 
 
+def test_shard_rewrite_of_an_empty_folder(spark, make, tmp_path):
+    root = str(tmp_path / "shards")
+    make([]).withColumn("shard", F.lit(0)).write.parquet(root)
+    assert sharding.rewrite(spark, root, 3) == {"affected": [], "moved": 0}
+
+
+@pytest.mark.parametrize(("old", "new"), [(12, 8), (3, 5)])
+def test_shard_rewrite_keeps_all_rows(spark, make, tmp_path, old, new):
+    root = str(tmp_path / "shards")
+    rows = [(k if k % 3 else None, "t" * (k % 17)) for k in range(90)]
+    make(rows).withColumn("shard", (F.length("text") % old).cast("int")).write.partitionBy("shard").parquet(root)
+    sharding.rewrite(spark, root, new)
+    got = spark.read.parquet(root).select("doc_id", "text", "shard").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    counts = Counter(r.shard for r in got)
+    assert len(counts) == new and max(counts.values()) - min(counts.values()) <= 1
+
+
 def test_shard_rewrite_shrinks(spark, make, tmp_path):
     root = str(tmp_path / "shards")
     make([(k, "t" * k) for k in range(40)]).withColumn("shard", (F.col("doc_id") % 4).cast("int")).write.partitionBy("shard").parquet(root)

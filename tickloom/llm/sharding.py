@@ -7,7 +7,7 @@ moved one the mean bytes of its block, so the fewest bytes move.  Within a block
 plan has a bounded size (``BLOCKS`` blocks at any input), so it is solved on the driver; the rows are placed by one
 window over block and size, and each row's slot follows from the plan's offsets without a global sort.
 
-Defined results: a null text has size 1; a null identifier is hashed like any value; rows that share an identifier are
+Defined results: a null text has size 1; a row is dealt by identifier and size, so that null identifiers spread too; rows that share an identifier are
 placed on their own (equal rows are interchangeable); equal texts form groups that this law doesn't keep together; an
 empty table gives no row; extra columns pass through.
 """
@@ -120,7 +120,7 @@ def reshard(docs: DataFrame, shard: Column, size: Column, new_shards: int = NEW_
     spark = docs.sparkSession
     each = max(1, blocks // old_shards)
     placed = docs.withColumn(f"{P}size", size).withColumn(f"{P}old", shard)
-    placed = placed.withColumn(f"{P}block", F.pmod(F.hash(F.col(id_col), F.lit(1)), F.lit(each)).cast("int"))
+    placed = placed.withColumn(f"{P}block", F.pmod(F.hash(F.col(id_col), F.col(f"{P}size"), F.lit(1)), F.lit(each)).cast("int"))
     sizes = sorted(tuple(r) for r in placed.groupBy(f"{P}old", f"{P}block").agg(F.count(F.lit(1)), F.sum(f"{P}size")).collect())  # ``blocks`` rows at most
     moves = plan_transfers(sizes, capacities(sum(s[2] for s in sizes), new_shards))
     segments, offset, rank, last = [], [0] * new_shards, 0, None
@@ -148,7 +148,10 @@ def rewrite(spark: SparkSession, root: str, new_shards: int, id_col: str = "doc_
     partition overwrite); folders of shards that receive no rows are deleted after that, so a job that fails midway can run again.  Returns the affected shards and the rows moved.
     """
     table = spark.read.option("basePath", root).parquet(root)
-    old_shards = table.agg(F.max("shard")).first()[0] + 1
+    last = table.agg(F.max("shard")).first()[0]
+    if last is None:  # no rows: nothing to move
+        return {"affected": [], "moved": 0}
+    old_shards = last + 1
     columns = [c for c in table.columns if c != "shard"]
     done = reshard(table, F.col("shard").cast("int"), size_of(text_col), new_shards, id_col, blocks, old_shards)
     path = fresh_path(spark, "reshard")
