@@ -6,6 +6,7 @@ import gc
 import os
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +59,10 @@ def bound_batches(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing holds any more: it does so when the driver collects its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first lets go of what Python held, the second of what that held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
