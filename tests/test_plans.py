@@ -56,7 +56,7 @@ def test_stage_runner(tmp_path):
 def test_run_selection(tmp_path):
     for name, a, b in (("r1", "2026-01-05T10:00:00Z", "2026-01-05T11:00:00Z"), ("r2", "2026-01-05T20:00:00Z", "2026-01-06T03:00:00Z")):
         (tmp_path / name).mkdir()
-        (tmp_path / name / "summary.json").write_text(json.dumps({"started_at_utc": a, "ended_at_utc": b, "verified_offset_min": 120, "metadata_verified_for_normalization": True, "timestamp_semantics_status": "OFFSET_VERIFIED"}))
+        (tmp_path / name / "summary.json").write_text(json.dumps({"started_at_utc": a, "ended_at_utc": b, "verified_offset_min": 120, "metadata_verified_for_normalization": True, "timestamp_semantics_status": "OFFSET_VERIFIED_FOR_SESSION"}))
     runs = lineage.read_runs(tmp_path)
     assert lineage.select_run(runs, "2026-01-05", "longest").run_id == "r2" and lineage.select_run(runs, "2026-01-05", "explicit", "r1").run_id == "r1"
     with pytest.raises(LookupError):

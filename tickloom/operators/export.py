@@ -41,11 +41,10 @@ def write_dataset(rows: DataFrame, path: str) -> None:
 
 
 def summarize_dataset(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    rows.createOrReplaceTempView("tickloom_dataset")
     return spark.sql("""
         SELECT symbol_pair, bucket_size, count(*) AS n_rows, min(feature_timestamp_utc_ns) AS first_ts, max(feature_timestamp_utc_ns) AS last_ts,
                round(avg(mt5_join_safe_tick_ratio), 6) AS mean_join_safe_ratio
-        FROM tickloom_dataset GROUP BY symbol_pair, bucket_size""")
+        FROM {rows} GROUP BY symbol_pair, bucket_size""", rows=rows)
 
 
 def compact(spark: SparkSession, source: str, target: str, order: Sequence[str], chunk_files: int = CHUNK_FILES) -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState
@@ -16,6 +16,12 @@ STATE = "value string, at long, count long, first_ms long, last_ms long"
 OUT = "symbol string, time_msc long, value string, suppressed_count long, first_suppressed_ms long, last_suppressed_ms long"
 
 
+def _packed(values: list[str]) -> Column:
+    """One string for the values: each with its length, nulls apart from every string."""
+    text = lambda v: F.col(v).cast("string")
+    return F.concat(*[F.coalesce(F.concat(F.length(text(v)).cast("string"), F.lit(":"), text(v)), F.lit("~")) for v in values])
+
+
 def dedup_stream(ticks: DataFrame, values: list[str], heartbeat_ms: int = HEARTBEAT_MS) -> DataFrame:
     """Emitted ticks of a stream (symbol, time_msc, recv_ms, values); one state a symbol, kept between batches."""
 
@@ -32,7 +38,7 @@ def dedup_stream(ticks: DataFrame, values: list[str], heartbeat_ms: int = HEARTB
             state.update((s.last[0], s.at, s.count, -1 if s.first_ms is None else s.first_ms, -1 if s.last_ms is None else s.last_ms))
         yield pd.DataFrame(rows, columns=["symbol", "time_msc", "value", "suppressed_count", "first_suppressed_ms", "last_suppressed_ms"]).astype({"first_suppressed_ms": "Int64", "last_suppressed_ms": "Int64"})
 
-    packed = ticks.select("symbol", "time_msc", "recv_ms", F.concat_ws("|", *[F.col(v).cast("string") for v in values]).alias("value"))
+    packed = ticks.select("symbol", "time_msc", "recv_ms", _packed(values).alias("value"))
     return packed.groupBy("symbol").applyInPandasWithState(run, OUT, STATE, "append", "NoTimeout")
 
 
