@@ -1,4 +1,7 @@
-"""Command line: ``python -m tickloom.cli demo|inspect|bars``; 0 for PASS, 2 for anything else, 1 for a failed check."""
+"""Command line: one command for each stage.
+
+0: PASS, 1: PARTIAL or FAIL of a quality stage, 2: input that can't be used, 3: the output is there already.
+"""
 
 from __future__ import annotations
 
@@ -51,6 +54,215 @@ def bars(args: argparse.Namespace) -> int:
     return 0
 
 
+def _graded(status: str) -> int:
+    return 0 if status == "PASS" else 1
+
+
+def _guarded(run):
+    def call(args: argparse.Namespace) -> int:
+        try:
+            return run(args)
+        except FileExistsError as e:
+            print(e, file=sys.stderr)
+            return 3
+        except (OSError, ValueError, LookupError) as e:
+            print(e, file=sys.stderr)
+            return 2
+
+    return call
+
+
+def _map(text: str) -> dict[str, str]:
+    from tickloom.plans.lineage import parse_map
+
+    return parse_map(text, "--map")
+
+
+def _quotes(args: argparse.Namespace):
+    from pyspark.sql import functions as F
+
+    q = _session().read.parquet(args.quotes)
+    return q if "quote_ms" in q.columns else q.withColumn("quote_ms", F.col("time_msc_utc_ms"))
+
+
+def _trades(args: argparse.Namespace):
+    """Trades under the quotes' symbols, where a map is given."""
+    from pyspark.sql import functions as F
+
+    t = _session().read.parquet(args.trades).withColumn("event_ms", F.floor(F.col("event_time_utc_ns") / 1_000_000).cast("long"))
+    pairs = [x for k, v in _map(args.map).items() for x in (F.lit(k), F.lit(v))]
+    return t.withColumn("symbol", F.coalesce(F.element_at(F.create_map(*pairs), F.col("symbol")), F.col("symbol"))) if pairs else t
+
+
+@_guarded
+def normalize_quotes(args: argparse.Namespace) -> int:
+    """Raw quotes of a date under the verified offset of their run, into the silver tree."""
+    from pyspark.sql import functions as F
+
+    from tickloom.operators.normalize import in_run_window, iso_to_ms, normalize_quotes
+    from tickloom.plans.lineage import resolve_metadata
+    from tickloom.sources.trees import write_tree
+
+    found = resolve_metadata(Path(args.runs), args.date, run_id=args.run_id)
+    raw = _session().read.parquet(args.source)
+    ends = [iso_to_ms(found[k]) if found[k] else None for k in ("started", "ended")]
+    out = normalize_quotes(in_run_window(raw, *ends), found["offset_min"]).withColumn("date", F.lit(args.date))
+    print(json.dumps(write_tree(out, args.out, "silver", args.force) | {"rows_before": raw.count(), "rows": out.count()}))
+    return 0
+
+
+@_guarded
+def ingest_trades(args: argparse.Namespace) -> int:
+    """Vendor files of a date as canonical trades, into the reference tree with a manifest."""
+    from pyspark.sql import functions as F
+
+    from tickloom.operators.normalize import normalize_trades
+    from tickloom.plans.lineage import publish_json
+    from tickloom.sources.selection import vendor_files
+    from tickloom.sources.trees import concat_files, write_reference
+
+    files = vendor_files(args.source, args.date)
+    out = normalize_trades(concat_files(_session(), files, []), args.symbols.split(",")).withColumn("date", F.lit(args.date))
+    publish_json(Path(args.manifest), write_reference(out, args.out, args.source, args.force))
+    return 0
+
+
+@_guarded
+def telemetry_quality(args: argparse.Namespace) -> int:
+    from tickloom.operators import metrics, quality
+    from tickloom.plans.reports import table, write_report
+
+    q = _quotes(args)
+    rows = table(quality.telemetry_metrics(q).join(metrics.telemetry_summary(q).drop("rows"), "symbol"))
+    status = quality.decide_telemetry({r["symbol"]: r for r in rows}, args.symbols.split(","))
+    write_report(Path(args.report), "telemetry_quality", status, {"symbols": rows, "hours": table(metrics.rows_by_hour(q, "quote_ms"))})
+    return _graded(status)
+
+
+@_guarded
+def reference_quality(args: argparse.Namespace) -> int:
+    from tickloom.operators import metrics, quality
+    from tickloom.plans.reports import table, write_report
+
+    t = _trades(args)
+    rows = table(quality.reference_metrics(t).join(metrics.reference_summary(t).drop("rows"), "symbol"))
+    total, missing = sum(r["rows"] for r in rows), sum(r["missing_bbo"] or 0 for r in rows)
+    status = quality.decide_reference(total, sum(r["valid"] for r in rows), {r["symbol"]: r for r in rows}, args.symbols.split(","), missing_bbo=missing)
+    write_report(Path(args.report), "reference_quality", status, {"symbols": rows, "sides": table(quality.value_counts(t, "aggressor_side"))})
+    return _graded(status)
+
+
+@_guarded
+def tick_alignment(args: argparse.Namespace) -> int:
+    from tickloom.operators import metrics, quality
+    from tickloom.plans.reports import table, write_report
+
+    matched = metrics.align(_trades(args), _quotes(args), args.tolerance_ms)
+    rows = table(metrics.alignment_summary(matched))
+    n, hit, volume, lost = (sum(r[c] for r in rows) for c in ("total", "aligned", "total_volume", "aligned_volume"))
+    status = quality.decide_alignment({r["symbol"]: "OK" if r["aligned"] else "overlap" for r in rows}, hit / n if n else None, 1 - lost / volume if volume else None)
+    write_report(Path(args.report), "tick_alignment", status, {"symbols": rows, "hours": table(metrics.alignment_by_hour(matched))}, tolerance_ms=args.tolerance_ms)
+    return _graded(status)
+
+
+def _bars(args: argparse.Namespace):
+    from tickloom.functions.exprs import bucket_sizes
+    from tickloom.operators import bars as b
+
+    sizes = bucket_sizes(args.buckets)
+    return b.join_bars(b.trade_bars(_trades(args), sizes), b.quote_bars(_quotes(args), sizes), ["symbol"]), sizes
+
+
+@_guarded
+def bar_alignment(args: argparse.Namespace) -> int:
+    from tickloom.operators import features, metrics, quality
+    from tickloom.plans.reports import table, write_report
+
+    joined, sizes = _bars(args)
+    keys, classified = ["symbol", "bucket_size"], features.classify_bars(joined)
+    rows = table(features.alignment_metrics(classified, keys))
+    status = quality.decide_bars({(r["symbol"], r["bucket_size"]): r for r in rows}, sorted({r["symbol"] for r in rows}), dict(sizes))
+    write_report(Path(args.report), "bar_alignment", status, {"bars": rows, "reasons": table(metrics.bar_reasons(classified, keys)), "aligned": table(metrics.bar_summary(classified, keys))})
+    return _graded(status)
+
+
+@_guarded
+def build_features(args: argparse.Namespace) -> int:
+    """Feature rows of a date, within the window that both streams cover, into the gold tree."""
+    from pyspark.sql import functions as F
+
+    from tickloom.operators import features
+    from tickloom.sources.trees import write_tree
+
+    joined, _ = _bars(args)
+    back = {v: k for k, v in _map(args.map).items()}
+    pairs = [x for k, v in back.items() for x in (F.lit(k), F.lit(v))]
+    cme = F.coalesce(F.element_at(F.create_map(*pairs), F.col("symbol")), F.col("symbol")) if pairs else F.col("symbol")
+    d = joined.withColumns({"date": F.lit(args.date), "mt5_symbol": F.col("symbol"), "cme_symbol": cme}).withColumn("symbol_pair", F.concat_ws("_", "cme_symbol", "mt5_symbol"))
+    print(json.dumps(write_tree(features.build_features(d), args.out, "gold", args.force)))
+    return 0
+
+
+@_guarded
+def feature_quality(args: argparse.Namespace) -> int:
+    from tickloom.operators import metrics, quality
+    from tickloom.plans.contract import ALL, CANDIDATES, FORBIDDEN
+    from tickloom.plans.reports import table, write_report
+
+    f = _session().read.parquet(args.features)
+    errors = metrics.contract_errors(f, ALL, FORBIDDEN)
+    if errors:
+        write_report(Path(args.report), "feature_quality", "FAIL", {}, errors=errors)
+        return 1
+    from pyspark.sql import functions as F
+
+    rows = table(f.groupBy("symbol_pair", "bucket_size").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_model_eligible_candidate").cast("long")).alias("eligible")))
+    status = quality.decide_features(errors, {(r["symbol_pair"], r["bucket_size"]): r for r in rows}, sorted({r["symbol_pair"] for r in rows}), sorted({r["bucket_size"] for r in rows}))
+    write_report(Path(args.report), "feature_quality", status, {"groups": rows, "flags": table(metrics.feature_flags(f)), "candidates": table(metrics.candidate_rates(f, CANDIDATES)), "summary": table(metrics.feature_summary(f))})
+    return _graded(status)
+
+
+@_guarded
+def eda(args: argparse.Namespace) -> int:
+    from tickloom.operators.metrics import most_null
+    from tickloom.plans.contract import CANDIDATES
+    from tickloom.plans.reports import table, write_eda
+
+    f = _session().read.parquet(args.features).where("is_model_eligible_candidate")
+    names = args.candidates.split(",") if args.candidates else CANDIDATES
+    write_eda(f, args.out, ["symbol_pair", "bucket_size"], names)
+    print(json.dumps({"most_null": table(most_null(f, names))}))
+    return 0
+
+
+@_guarded
+def plan(args: argparse.Namespace) -> int:
+    """What a range of dates would need, nothing done: quotes by runs, trades by vendor files."""
+    from tickloom.plans.lineage import dry_run_report, plan_days, read_runs, runs_by_date
+
+    runs = read_runs(Path(args.runs))
+    has = lambda d: runs_by_date(runs, [d])[d] is not None
+    days = plan_days(args.first, args.last, has, lambda d: any((Path(args.vendor) / f"date={d}").glob("*.parquet")), lambda d, s: False, args.stages.split(","))
+    report = dry_run_report(days, lambda d: (args.day_cost, args.day_records), args.max_cost, args.max_records)
+    print(json.dumps(report))
+    return _graded(report["status"])
+
+
+#: Commands with their options: (name, default) with None for one that must be given.
+COMMANDS = {
+    "normalize-quotes": (normalize_quotes, {"source": None, "runs": None, "date": None, "out": None, "run-id": "", "force": False}),
+    "ingest-trades": (ingest_trades, {"source": None, "date": None, "symbols": None, "out": None, "manifest": None, "force": False}),
+    "telemetry-quality": (telemetry_quality, {"quotes": None, "symbols": None, "report": None}),
+    "reference-quality": (reference_quality, {"trades": None, "symbols": None, "report": None, "map": ""}),
+    "tick-alignment": (tick_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "tolerance-ms": 250}),
+    "bar-alignment": (bar_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "buckets": "15s,60s"}),
+    "build-features": (build_features, {"trades": None, "quotes": None, "date": None, "out": None, "map": "", "buckets": "15s,60s", "force": False}),
+    "feature-quality": (feature_quality, {"features": None, "report": None}),
+    "eda": (eda, {"features": None, "out": None, "candidates": ""}),
+    "plan": (plan, {"first": None, "last": None, "runs": None, "vendor": None, "stages": "normalize,quality,align,features", "day-cost": 0.0, "day-records": 0, "max-cost": 10.0, "max-records": 100_000_000}),
+}
+
+
 def main(argv: list[str] | None = None) -> int:
     top = argparse.ArgumentParser(prog="tickloom")
     sub = top.add_subparsers(dest="command", required=True)
@@ -69,7 +281,16 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("out")
     b.add_argument("--buckets", default="15s,60s")
     b.set_defaults(run=bars)
+    for name, (run, options) in COMMANDS.items():
+        c = sub.add_parser(name)
+        for option, value in options.items():
+            if isinstance(value, bool):
+                c.add_argument(f"--{option}", action="store_true")
+            else:
+                c.add_argument(f"--{option}", default=value, required=value is None, type=str if value is None else type(value))
+        c.set_defaults(run=run)
     args = top.parse_args(argv)
+    args.run_id = getattr(args, "run_id", None) or None
     return args.run(args)
 
 

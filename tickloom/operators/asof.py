@@ -54,6 +54,8 @@ def tolerance_table(matched: DataFrame, tolerances: Sequence[int], keys: Sequenc
 
 
 def unmatched_sample(matched: DataFrame, n: int, key: str = "symbol", order: Sequence[str] = ("event_ms",)) -> DataFrame:
-    """The first ``n`` unmatched trades of each symbol by time."""
+    """The first ``n`` unmatched trades of each symbol by time, valid ones only where trades are marked."""
     w = Window.partitionBy(key).orderBy(*order)
+    if "is_reference_trade_valid" in matched.columns:
+        matched = matched.where("is_reference_trade_valid")
     return matched.where("not is_matched").withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= n)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import ieee_div, uuid5_url
+from tickloom.functions.exprs import ieee_div, require, uuid5_url
 from tickloom.plans.contract import ALL
 
 BUILDER_VERSION, DATA_LAYER, DIAGNOSTIC_BUCKET = "0.2.0", "gold_candidate_features", "5s"
@@ -106,7 +106,8 @@ def build_features(joined: DataFrame, max_spread: float | None = None, min_join_
         "return_diff_close_to_close": F.col("mt5_mid_return_close_to_close") - F.col("cme_return_close_to_close"),
         "is_bar_aligned": F.col("bar_reject_reason").isNull(), "is_model_eligible_candidate": (flag == "OK") & (F.col("bucket_size") != DIAGNOSTIC_BUCKET),
     })
-    return d.select(*[F.col(c) if c in d.columns else F.lit(None).cast("double").alias(c) for c in ALL])
+    require(d, ALL, "joined bars")
+    return d.select(*ALL)
 
 
 def classify_bars(joined: DataFrame, max_spread: float | None = None, min_join_safe: float = MIN_JOIN_SAFE) -> DataFrame:

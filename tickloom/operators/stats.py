@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 import pandas as pd
@@ -62,12 +63,21 @@ def stability(df: DataFrame, keys: Sequence[str], features: Sequence[str], order
     return out.withColumns({"abs_shift": F.abs(shift), "relative_shift": F.when(F.col("mean_first") != 0, shift / F.abs(F.when(F.col("mean_first") != 0, F.col("mean_first"))))})
 
 
+#: Pairs of one aggregate; more would make its generated code too long to compile.
+PAIRS = 40
+
+
 def correlation(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Pairwise Pearson of all pairs in one wide aggregate: (keys, feature_a, feature_b, n, r)."""
+    """Pairwise Pearson of all pairs, ``PAIRS`` to a wide aggregate: (keys, feature_a, feature_b, n, r)."""
     both = lambda a, b: F.sum(F.when(is_finite(F.col(a)) & is_finite(F.col(b)), 1).otherwise(0))
     pairs = list(combinations(features, 2))
-    wide = df.groupBy(*keys).agg(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), both(a, b).alias("n"), safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
-    return wide.select(*keys, F.explode(F.array(*[f"p{k}" for k in range(len(pairs))])).alias("p")).select(*keys, "p.feature_a", "p.feature_b", "p.n", "p.r")
+
+    def part(some: Sequence[tuple[str, str]]) -> DataFrame:
+        each = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), both(a, b).alias("n"), safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")).alias(f"p{k}") for k, (a, b) in enumerate(some)]
+        wide = df.groupBy(*keys).agg(*each)
+        return wide.select(*keys, F.explode(F.array(*[f"p{k}" for k in range(len(some))])).alias("p")).select(*keys, "p.feature_a", "p.feature_b", "p.n", "p.r")
+
+    return reduce(DataFrame.unionByName, [part(pairs[k : k + PAIRS]) for k in range(0, len(pairs), PAIRS)])
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:

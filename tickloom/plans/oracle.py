@@ -95,7 +95,7 @@ SQL: dict[str, str] = {
     "asof_reasons": _with(_M, select="SELECT symbol, coalesce(reason, 'matched') AS reason, count(*) AS n, CAST(sum(size) AS BIGINT) AS volume FROM m GROUP BY 1, 2"),
     "asof_tolerance_table": _with(_M, select="SELECT symbol, tolerance_ms, count(*) AS total, count(*) FILTER (WHERE age <= tolerance_ms) AS aligned, CAST(coalesce(sum(size) FILTER (WHERE age <= tolerance_ms), 0) AS BIGINT) AS aligned_volume FROM m, (VALUES (600000), (1800000), (7200000)) v(tolerance_ms) GROUP BY 1, 2"),
     "match_rate_by_hour": _with(_M, select="SELECT symbol, CAST(ms // 3600000 % 24 AS INT) AS hour, count(*) AS total, count(*) FILTER (WHERE hit) AS aligned, round(count(*) FILTER (WHERE hit) / count(*), 6) AS rate FROM m GROUP BY 1, 2"),
-    "unmatched_sample": _with(_M, select="SELECT symbol, event_id, ms AS event_ms, reason, row_number() OVER (PARTITION BY symbol ORDER BY ms, event_id) AS sample_rank FROM m WHERE NOT hit QUALIFY sample_rank <= 50"),
+    "unmatched_sample": _with(_M, select="SELECT symbol, event_id, ms AS event_ms, reason, row_number() OVER (PARTITION BY symbol ORDER BY ms, event_id) AS sample_rank FROM m WHERE NOT hit AND valid QUALIFY sample_rank <= 50"),
     "normalize_ticks": _with(select="SELECT event_id AS monotonic_ns, symbol, ms AS time_msc_utc_ms, r AS residual_ms, round(((value - value * 0.0005) + (value + value * 0.0005)) / 2, 6) AS mid, round((value + value * 0.0005) - (value - value * 0.0005), 6) AS spread_price, (value + value * 0.0005) >= (value - value * 0.0005) AS is_bid_ask_valid, outlier AS is_latency_outlier, safe AS is_join_safe, CAST(ms // 3600000 % 24 AS INT) AS session_hour_utc FROM q"),
     "run_window": _with(select="SELECT symbol, count(*) AS n, min(ms + r) AS first_ms, max(ms + r) AS last_ms FROM q WHERE ms + r BETWEEN 1704499200000 AND 1704931200000 GROUP BY symbol"),
     "canonical_symbols": "SELECT event_id, CASE WHEN starts_with(event_type, 'view') THEN 'view' WHEN starts_with(event_type, 'pu') THEN 'pu' WHEN starts_with(event_type, 's') THEN 's' WHEN starts_with(event_type, 'p') THEN 'p' END AS ticker FROM events",
@@ -127,3 +127,37 @@ SQL: dict[str, str] = {
     "scaled_prices": "SELECT event_id, CAST(round_even(value * 10, 0) AS BIGINT) AS scaled, substr(sha256(user_id::VARCHAR), 1, 16) AS login_hash FROM events",
     "union_all": _with(select="SELECT symbol, count(*) AS n, min(ms) AS first_ms, max(ms) AS last_ms FROM (SELECT symbol, ms FROM t UNION ALL SELECT symbol, ms FROM q) GROUP BY 1"),
 }
+
+
+def _spread(x: str, name: str, kinds: tuple[str, ...]) -> str:
+    f = {"min": f"min({x})", "mean": f"avg({x})", "max": f"max({x})", **{f"p{k}": f"quantile_cont({x}, {k / 100})" for k in (50, 95, 99)}}
+    return ", ".join(f"round({f[k]}, 6) AS {name}_{k}" for k in kinds)
+
+
+_FIVE, _SIX = ("min", "mean", "p50", "p95", "max"), ("min", "mean", "p50", "p95", "p99", "max")
+_REASONS = ("no_overlap_window", "missing_required_columns", "no_mt5_rows_for_symbol", "no_prior_quote", "mt5_not_join_safe", "outside_tolerance")
+_BAR_REASONS = ("no_cme_data", "no_mt5_data", "zero_cme_volume", "zero_mt5_ticks", "low_join_safe_tick_ratio", "invalid_price", "spread_too_wide")
+_BAR = "CASE WHEN NOT has_cme THEN 'no_cme_data' WHEN NOT has_mt5 THEN 'no_mt5_data' WHEN total_volume = 0 THEN 'zero_cme_volume' WHEN tick_count = 0 THEN 'zero_mt5_ticks' WHEN safe_ratio < 0.1 THEN 'low_join_safe_tick_ratio' WHEN vwap IS NULL OR twap IS NULL OR vwap <= 0 THEN 'invalid_price' END"
+SQL |= {
+    "alignment_totals": _with(_M, select="SELECT symbol, count(*) AS total, count(*) FILTER (WHERE hit) AS aligned, CAST(sum(size) AS BIGINT) AS total_volume, CAST(coalesce(sum(size) FILTER (WHERE hit), 0) AS BIGINT) AS aligned_volume, "
+        "count(*) FILTER (WHERE valid AND side = 'UNKNOWN') AS unknown_count, CAST(coalesce(sum(size) FILTER (WHERE valid AND side = 'UNKNOWN'), 0) AS BIGINT) AS unknown_volume, round(count(*) FILTER (WHERE hit) / count(*), 6) AS match_rate, round(1 - coalesce(sum(size) FILTER (WHERE hit), 0) / sum(size), 6) AS unmatched_volume_ratio, "
+        + ", ".join([_spread("CASE WHEN hit THEN age END", "delta_ms", _FIVE), _spread("CASE WHEN hit THEN safe_mid END", "quote_mid", _FIVE), _spread("size", "size", _FIVE), _spread("value", "price", _FIVE)])
+        + "".join(f", count(*) FILTER (WHERE reason = '{r}') AS n_{r}, CAST(coalesce(sum(size) FILTER (WHERE reason = '{r}'), 0) AS BIGINT) AS volume_{r}" for r in _REASONS) + " FROM m GROUP BY symbol"),
+    "alignment_by_hour": _with(_M, select="SELECT symbol, CAST(ms // 3600000 % 24 AS INT) AS hour, count(*) AS total, count(*) FILTER (WHERE hit) AS aligned, round(count(*) FILTER (WHERE hit) / count(*), 6) AS rate FROM m WHERE valid GROUP BY 1, 2"),
+    "bar_reason_counts": _with(_TB, _QB, _J, select=f"SELECT symbol, bucket_size, r.reason, count(*) FILTER (WHERE b.reason = r.reason) AS bars, CAST(coalesce(sum(v) FILTER (WHERE b.reason = r.reason), 0) AS BIGINT) AS volume FROM (SELECT symbol, bucket_size, coalesce(total_volume, 0) AS v, {_BAR} AS reason FROM j) b, (VALUES {', '.join(f"('{r}')" for r in _BAR_REASONS)}) r(reason) GROUP BY ALL"),
+    "quotes_by_hour": _with(select="SELECT symbol, CAST(ms // 3600000 % 24 AS INT) AS hour, count(*) AS rows FROM q GROUP BY 1, 2"),
+    "reference_bounds": _with(select="SELECT symbol, count(*) AS rows, count(*) FILTER (WHERE size = 1) AS missing_bbo, min(ns) AS first_event, max(ns) AS last_event, min(ns + size * 1000000) AS first_receive, max(ns + size * 1000000) AS last_receive, " + _spread("CAST(size AS DOUBLE)", "latency_ms", _SIX) + ", " + _spread("CASE WHEN size > 1 THEN (value + size) - (value - 1) END", "bbo_spread", _SIX) + " FROM t GROUP BY symbol"),
+    "feature_flag_counts": _gold("SELECT symbol_pair, bucket_size, kind, value, count(*) AS rows FROM (SELECT symbol_pair, bucket_size, 'flag' AS kind, flag AS value FROM g UNION ALL SELECT symbol_pair, bucket_size, 'reason', nullif(reason, '') FROM g) WHERE value IS NOT NULL GROUP BY ALL"),
+    "candidate_rates": _gold_long("m AS (SELECT symbol_pair, bucket_size, feature, count(*) AS rows, round(1 - count(v) / count(*), 6) AS null_rate, round(count(*) FILTER (WHERE isfinite(v)) / count(*), 6) AS finite_rate FROM l GROUP BY ALL) SELECT * FROM m"),
+    "most_null": _gold_long("m AS (SELECT feature, count(*) AS rows, round(1 - count(v) / count(*), 6) AS null_rate FROM l GROUP BY ALL) SELECT * FROM m ORDER BY null_rate DESC, feature LIMIT 3"),
+    "offset_candidates": _with(select="SELECT symbol, offset_min, count(*) AS fresh_ticks, count(DISTINCT raw) AS raw_times, round(quantile_cont(CASE WHEN k <= 1024 THEN age END, 0.5), 6) AS age_p50, round(quantile_cont(CASE WHEN k <= 1024 THEN age END, 0.95), 6) AS age_p95 FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY symbol, offset_min ORDER BY recv DESC, raw DESC) AS k FROM (SELECT symbol, offset_min, ms + 7200000 AS raw, ms + r AS recv, CAST(r - 7200000 + offset_min * 60000 AS DOUBLE) AS age FROM q, (VALUES (-60), (0), (60), (120)) o(offset_min)) WHERE age BETWEEN -250 AND 5000) GROUP BY 1, 2"),
+    "tick_dedup": "WITH RECURSIVE " + _E.strip() + """,
+s AS (SELECT symbol, ms, event_id, CAST(floor(value / 40) AS BIGINT) AS step, row_number() OVER (PARTITION BY symbol ORDER BY ms, event_id) AS i FROM q),
+f(symbol, i, since, step, held, a, b, emit) AS (
+  SELECT symbol, i, ms, step, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT) FROM s WHERE i = 1
+  UNION ALL SELECT s.symbol, s.i, CASE WHEN x THEN s.ms ELSE f.since END, s.step, CASE WHEN x THEN 0 ELSE f.held + 1 END, CASE WHEN x THEN NULL ELSE coalesce(f.a, s.event_id) END, CASE WHEN x THEN NULL ELSE s.event_id END, CASE WHEN x THEN f.held ELSE -1 END
+  FROM f JOIN (SELECT * FROM s) s ON s.symbol = f.symbol AND s.i = f.i + 1, LATERAL (SELECT s.step <> f.step OR s.ms - f.since >= 3600000 AS x))
+SELECT s.symbol, s.ms AS time_msc_utc_ms, s.event_id AS monotonic_ns, s.step, f.emit AS suppressed_count, p.a AS first_suppressed_ms, p.b AS last_suppressed_ms
+FROM f JOIN s ON s.symbol = f.symbol AND s.i = f.i LEFT JOIN f p ON p.symbol = f.symbol AND p.i = f.i - 1 WHERE f.emit >= 0""",
+}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import exprs as X
-from tickloom.operators import asof, bars, export, features, normalize, quality, stats, ticks
+from tickloom.operators import asof, bars, export, features, metrics, normalize, quality, stats, ticks
 from tickloom.sources.adapters import quotes, trades
 
 HOUR = 3_600_000_000_000
@@ -254,15 +254,63 @@ def union_all(s: SparkSession, d: str) -> DataFrame:
 
 
 def tick_dedup(s: SparkSession, d: str) -> DataFrame:
-    q = quotes(s, d).withColumns({"step": F.floor("mid").cast("long"), "day": F.floor(F.col("time_msc_utc_ms") / 86_400_000).cast("long")})
-    t = q.select("symbol", "day", "time_msc_utc_ms", "monotonic_ns", "step")
-    return ticks.dedup_ticks(t, ["symbol", "day"], "time_msc_utc_ms", ["step"], "monotonic_ns", 3_600_000)
+    q = quotes(s, d).withColumn("step", F.floor(F.col("mid") / 40).cast("long"))
+    t = q.select("symbol", "time_msc_utc_ms", "monotonic_ns", "step")
+    return ticks.dedup_ticks(t, ["symbol"], "time_msc_utc_ms", ["step"], "monotonic_ns", 3_600_000)
+
+
+def _aligned(s: SparkSession, d: str) -> DataFrame:
+    return metrics.align(trades(s, d), quotes(s, d), TOLERANCE, tie=["monotonic_ns"])
+
+
+def alignment_totals(s: SparkSession, d: str) -> DataFrame:
+    m = metrics.alignment_summary(_aligned(s, d))
+    reasons = [f"{k}_{r}" for r in asof.REASONS for k in ("n", "volume")]
+    found = [f"{c}_{k}" for c in ("delta_ms", "quote_mid", "size", "price") for k in ("min", "mean", "p50", "p95", "max")]
+    return m.select("symbol", "total", "aligned", "total_volume", "aligned_volume", "unknown_count", "unknown_volume", *[_r(c).alias(c) for c in ("match_rate", "unmatched_volume_ratio", *found)], *[F.col(c).cast("long").alias(c) for c in reasons])
+
+
+def alignment_by_hour(s: SparkSession, d: str) -> DataFrame:
+    return metrics.alignment_by_hour(_aligned(s, d)).withColumn("rate", _r("rate"))
+
+
+def bar_reason_counts(s: SparkSession, d: str) -> DataFrame:
+    return metrics.bar_reasons(features.classify_bars(_joined(s, d), min_join_safe=0.1), ["symbol", "bucket_size"])
+
+
+def quotes_by_hour(s: SparkSession, d: str) -> DataFrame:
+    return metrics.rows_by_hour(quotes(s, d), "time_msc_utc_ms")
+
+
+def reference_bounds(s: SparkSession, d: str) -> DataFrame:
+    t = trades(s, d).withColumns({"receive_ns": F.col("event_time_utc_ns") + F.col("size") * 1_000_000, "bid": F.when(F.col("size") > 1, F.col("price") - 1), "ask": F.col("price") + F.col("size")})
+    m = metrics.reference_summary(t, receive="receive_ns")
+    return m.select("symbol", "rows", "missing_bbo", "first_event", "last_event", "first_receive", "last_receive", *[_r(f"{c}_{k}").alias(f"{c}_{k}") for c in ("latency_ms", "bbo_spread") for k in ("min", "mean", "p50", "p95", "p99", "max")])
+
+
+def feature_flag_counts(s: SparkSession, d: str) -> DataFrame:
+    return metrics.feature_flags(_gold(s, d))
+
+
+def candidate_rates(s: SparkSession, d: str) -> DataFrame:
+    m = metrics.candidate_rates(_gold(s, d), FEATURE_SUBSET)
+    return m.withColumns({"null_rate": _r("null_rate"), "finite_rate": _r("finite_rate")})
+
+
+def most_null(s: SparkSession, d: str) -> DataFrame:
+    return metrics.most_null(_gold(s, d), FEATURE_SUBSET, 3).select("rows", "feature", _r("null_rate").alias("null_rate"))
+
+
+def offset_candidates(s: SparkSession, d: str) -> DataFrame:
+    q = _raw_quotes(s, d)
+    return ticks.offset_candidates(q, (-60, 0, 60, 120), ["symbol"]).withColumns({"age_p50": _r("age_p50"), "age_p95": _r("age_p95")})
 
 
 QUERIES: dict[str, Q] = {f.__name__: f for f in (
     trade_bars, trade_size_stats, quote_bars, quote_twap, quantile_nearest, bar_full_join, bar_reject_reason, bar_alignment_metrics, asof_match, asof_reasons, asof_tolerance_table, match_rate_by_hour, unmatched_sample,
     normalize_ticks, run_window, canonical_symbols, signed_size, trade_validity, telemetry_quality, reference_quality, value_counts, close_returns, basis_change, range_bps, volume_ratios, trailing_zscore, quality_flag, feature_row_ids,
     feature_table, missingness, distribution, stability, correlation, correlation_p_values, top_missing, top_abs_corr, watermark_export, dataset_summary, overlap_window, symbol_pairs, eda_row_accounting, scaled_prices, union_all, tick_dedup,
+    alignment_totals, alignment_by_hour, bar_reason_counts, quotes_by_hour, reference_bounds, feature_flag_counts, candidate_rates, most_null, offset_candidates,
 )}
 
 from tickloom.plans.oracle import SQL  # noqa: E402,F401
