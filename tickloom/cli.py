@@ -29,7 +29,7 @@ def inspect(args: argparse.Namespace) -> int:
     from tickloom.plans.demo import inspect_run
 
     try:
-        print(json.dumps(inspect_run(_session(), args.run)))
+        print(json.dumps(inspect_run(_session(), args.folder)))
     except (OSError, ValueError) as e:
         print(e, file=sys.stderr)
         return 2
@@ -274,7 +274,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--scenario", default="normal", choices=("normal", "invalid-timestamps", "crossed-quotes"))
     d.set_defaults(run=demo)
     i = sub.add_parser("inspect")
-    i.add_argument("run")
+    i.add_argument("folder")
     i.set_defaults(run=inspect)
     b = sub.add_parser("bars")
     b.add_argument("trades")
