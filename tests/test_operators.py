@@ -80,7 +80,14 @@ def _joined(spark, closes, mids):
     d = d.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumns({"has_cme_data": F.lit(True), "has_mt5_data": F.lit(True), "mt5_join_safe_tick_ratio": F.lit(1.0), "mt5_tick_count": F.lit(4).cast("long"), "cme_trade_count": F.lit(3).cast("long")})
     zero = ["cme_total_volume", "cme_buy_volume", "cme_sell_volume", "cme_unknown_aggressor_volume"]
     prices = ["cme_vwap", "mt5_mid_twap", "cme_first_trade_price", "cme_high_trade_price", "cme_low_trade_price", "mt5_mid_first", "mt5_mid_max", "mt5_mid_min", "mt5_spread_price_p95", "mt5_spread_price_max"]
-    return d.withColumns({c: F.lit(10).cast("long") for c in zero}).withColumns({c: F.lit(100.0) for c in prices})
+    unused = ["mt5_mid_mean", "cme_net_signed_volume", "cme_signed_volume_ratio", "cme_max_single_trade_volume", "cme_trade_size_p99", "cme_trade_size_mean", "cme_trade_size_std", "mt5_spread_price_mean", "mt5_spread_price_p50"]
+    unused += ["mt5_spread_points_mean", "mt5_spread_points_p95", "mt5_spread_points_max", "mt5_residual_ms_p50", "mt5_residual_ms_p95", "mt5_residual_ms_max"]
+    return d.withColumns({c: F.lit(10).cast("long") for c in zero}).withColumns({c: F.lit(100.0) for c in prices}).withColumns({c: F.lit(None).cast("double") for c in unused})
+
+
+def test_features_need_all_columns(spark):
+    with pytest.raises(ValueError, match="mt5_mid_mean"):
+        features.build_features(_joined(spark, [100.0], [95.0]).drop("mt5_mid_mean"))
 
 
 def test_features(spark):
