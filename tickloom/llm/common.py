@@ -32,11 +32,16 @@ def fresh_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/tickloom-{what}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later stages survive a lost executor."""
+def cut(df: DataFrame, what: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder, in folders ``by`` columns of few values, and read it back: later stages survive a lost executor."""
     spark = df.sparkSession
-    path = fresh_path(spark, what)
-    df.write.parquet(path)
+    path, writers = fresh_path(spark, what), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "16" if by else before)  # as many files of a task are open at a time; its rows are sorted only beyond that
+    try:
+        df.write.parquet(path, partitionBy=by)
+    finally:
+        spark.conf.set(writers, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,7 +50,7 @@ def discard(*cuts: DataFrame) -> None:
     for df in cuts:
         spark = df.sparkSession
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        for folder in {re.match(r".*?/tickloom-[^/]*-[0-9a-f]{32}(?=/)", f)[0] for f in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
 
