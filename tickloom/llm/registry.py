@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, quality, secrets, sentencepiece_bpe, sharding, substring_dedup
+from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, prefix_trie, quality, secrets, sentencepiece_bpe, sharding, substring_dedup
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": lambda spark, d: sharding.query(documents(spark, d)),
     "op9_lm_score": lambda spark, d: lm_score.query(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_dedup.query(documents(spark, d)),
+    "op11_prefix_trie": lambda spark, d: prefix_trie.query(spark.read.parquet(f"{d}/conversations.parquet")),
 }
 
 SQL: dict[str, str] = {
@@ -27,4 +28,5 @@ SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op7_ngram_join": ngram_join.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
