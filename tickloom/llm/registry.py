@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, exact_dedup, line_dedup, lm_score, ngram_join, prefix_trie, quality, secrets, sentencepiece_bpe, sharding, substring_dedup
+from tickloom.llm import circulant_minhash, decontamination, exact_dedup, importance, line_dedup, lm_score, ngram_join, prefix_trie, quality, secrets, sentencepiece_bpe, sharding, substring_dedup
 from tickloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_score": lambda spark, d: lm_score.query(documents(spark, d)),
     "op10_line_dedup": lambda spark, d: line_dedup.query(documents(spark, d)),
     "op11_prefix_trie": lambda spark, d: prefix_trie.query(spark.read.parquet(f"{d}/conversations.parquet")),
+    "op12_circulant_minhash": lambda spark, d: circulant_minhash.query(documents(spark, d)),
+    "op13_importance": lambda spark, d: importance.query(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
 }
 
 SQL: dict[str, str] = {
@@ -29,4 +31,6 @@ SQL: dict[str, str] = {
     "op7_ngram_join": ngram_join.SQL,
     "op10_line_dedup": line_dedup.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op12_circulant_minhash": circulant_minhash.SQL,
+    "op13_importance": importance.SQL,
 }
