@@ -29,6 +29,11 @@ def test_commands_of_all_stages(spark, run, tmp_path, monkeypatch, capsys):
     assert call("build-features", **both, date="2026-01-05", out=tmp_path / "gold", map=pairs) == 0
     assert call("build-features", **both, date="2026-01-05", out=tmp_path / "gold", map=pairs) == 3
     assert call("feature-quality", features=tmp_path / "gold", report=at["report"]) == 0
+    assert call("feature-quality", features=tmp_path / "gold", report=tmp_path / "other", pairs="NQ_NDX100,ES_SPX500,YM_US30") == 1
+    assert call("feature-quality", features=tmp_path / "gold", report=tmp_path / "third", buckets="15s,60s,5m") == 0  # one of the required sizes is enough
+    assert call("bar-alignment", **both, report=tmp_path / "other", map=pairs, symbols=f"{mt5},US30") == 1
+    assert call("tick-alignment", **both, report=tmp_path / "other", map=pairs, symbols=f"{mt5},US30") == 1
+    assert json.loads((tmp_path / "other" / "tick_alignment.json").read_text())["statuses"]["US30"] == "cme"
     assert call("eda", features=tmp_path / "gold", out=tmp_path / "eda", candidates="cme_trade_count,mt5_tick_count,basis_close_bps") == 0
     assert spark.read.parquet(str(tmp_path / "eda" / "missingness")).count() == 3 * 4
     assert sorted(p.stem for p in (tmp_path / "reports").glob("*.json")) == ["bar_alignment", "feature_quality", "reference_quality", "telemetry_quality", "tick_alignment"]

@@ -100,10 +100,47 @@ def test_features(spark):
     assert bad[0].feature_quality_flag == "INVALID_PRICE" and bad[1].cme_return_close_to_close == float("inf")
 
 
-def test_contract_rules():
-    assert contract.broken_rules() == []
-    assert contract.broken_rules({**contract.ROLES, "candidate": ("cme_vwap",)})
-    assert contract.broken_rules({**contract.ROLES, "candidate": ()})
+def test_contract_columns():
+    held = [c for names in contract.ROLES.values() for c in names]
+    assert sorted({c for c in held if held.count(c) > 1}) == ["mt5_join_safe_tick_ratio"]  # a quality column that is a candidate too
+    assert {"cme_vwap", "mt5_mid_twap"} <= set(contract.NON_FEATURE) and not set(contract.FORBIDDEN) & set(held)
+
+
+def test_time_in_whole_milliseconds(spark):
+    ns = [1767614400000999900, 1767614400000999999, 1767614400001000000, -1, -1_000_000, 0, None]
+    from tickloom.functions.exprs import ns_to_ms
+
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(ns)], "k long, t long").orderBy("k").select(ns_to_ms(F.col("t"))).collect()]
+    assert got == [None if t is None else t // 1_000_000 for t in ns]
+
+
+def test_invalid_trades_are_never_matched(spark):
+    t = spark.createDataFrame([("A", 100, 1, True), ("A", 101, 2, False), ("A", None, 3, True), ("A", 102, 4, None)], "symbol string, event_ms long, k long, is_reference_trade_valid boolean")
+    q = spark.createDataFrame([("A", 90, True)], "symbol string, quote_ms long, is_join_safe boolean")
+    got = {r.k: (r.is_matched, r.reason, r.newest_safe_age_ms) for r in asof.asof_match(t, q, 50, fields=[]).collect()}
+    lost = (False, "missing_required_columns", None)
+    assert got == {1: (True, None, 10), 2: lost, 3: lost, 4: lost}
+
+
+def test_full_tables(spark):
+    v = spark.createDataFrame([(1, 9, "ESH6", "T", "B", 10.0, 2, 9.5, 10.5), (2, 9, "XX", "T", "A", 1.0, 1, 0.5, 1.0), (3, 9, "ESM6", "A", "A", 1.0, 1, None, 1.0), (4, 9, "ESH6", "T", "N", 0.0, 1, None, 1.0)], "ts_event long, ts_recv long, raw_symbol string, action string, side string, price double, size int, bid_px_00 double, ask_px_00 double")
+    t = normalize.normalize_trades(v, ["ES"], ingest_date="2026-01-05", vendor="v")
+    assert t.dtypes == [(f.name, f.dataType.simpleString()) for f in spark.createDataFrame([], normalize.TRADE_SCHEMA).schema] and len(t.columns) == 34
+    r = t.orderBy("ts_event").collect()
+    assert [(x.receive_time_utc_ns, x.spread, x.mid, x.is_aggressor_known, x.is_bbo_available, x.is_reference_trade_valid, x.vendor, x.bid_sz_00) for x in r] == [(9, 1.0, 10.0, True, True, True, "v", None), (9, None, None, False, True, False, "v", None)]
+    assert normalize.ingest_counts(v, ["ES"]) == {"read": 4, "kept": 2, "rejected": 2, "unknown_side": 1}
+    q = spark.createDataFrame([("Q", 7_200_000, 40, 1.0, 2.0, 3, 10, 20)], "symbol string, time_msc_raw long, recv_time_utc_ms long, bid double, ask double, spread_points int, bid_scaled long, ask_scaled long")
+    s = normalize.quote_table(normalize.normalize_quotes(q, 120), "2026-01-05", {"broker_server": "b", "path": "p"})
+    assert len(s.columns) == 35 and s.first().asDict() | {"mid": 1.5} == s.first().asDict()
+    assert (s.first().source_date, s.first().source_hour, s.first().broker_server, s.first().data_layer, s.first().is_spread_valid, s.first().last) == ("2026-01-05", 0, "b", "silver", True, None)
+
+
+def test_overlap_of_bars_and_ticks(spark):
+    b = spark.createDataFrame([("A", k * 10, k * 10 + 10) for k in range(5)] + [("B", 0, 10)], "symbol string, bucket_start_utc_ns long, bucket_end_utc_ns long")
+    a = spark.createDataFrame([("A", 10), ("A", 35), ("B", 1)], "symbol string, t long")
+    w = features.overlap_window(a, "t", spark.createDataFrame([("A", 5), ("A", 30)], "symbol string, t long"), "t", ["symbol"])
+    assert sorted((r.symbol, r.bucket_start_utc_ns) for r in features.in_overlap(b, w, ["symbol"]).collect()) == [("A", 10), ("A", 20), ("A", 30), ("B", 0)]
+    assert sorted((r.symbol, r.t) for r in features.ticks_in_overlap(a, "t", w, ["symbol"]).collect()) == [("A", 10), ("B", 1)]
 
 
 def test_normalize(spark):

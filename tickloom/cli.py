@@ -89,7 +89,9 @@ def _trades(args: argparse.Namespace):
     """Trades under the quotes' symbols, where a map is given."""
     from pyspark.sql import functions as F
 
-    t = _session().read.parquet(args.trades).withColumn("event_ms", F.floor(F.col("event_time_utc_ns") / 1_000_000).cast("long"))
+    from tickloom.functions.exprs import ns_to_ms
+
+    t = _session().read.parquet(args.trades).withColumn("event_ms", ns_to_ms(F.col("event_time_utc_ns")))
     pairs = [x for k, v in _map(args.map).items() for x in (F.lit(k), F.lit(v))]
     return t.withColumn("symbol", F.coalesce(F.element_at(F.create_map(*pairs), F.col("symbol")), F.col("symbol"))) if pairs else t
 
@@ -99,15 +101,18 @@ def normalize_quotes(args: argparse.Namespace) -> int:
     """Raw quotes of a date under the verified offset of their run, into the silver tree."""
     from pyspark.sql import functions as F
 
-    from tickloom.operators.normalize import in_run_window, iso_to_ms, normalize_quotes
+    from tickloom.operators.normalize import in_run_window, iso_to_ms, normalize_quotes, quote_table
     from tickloom.plans.lineage import resolve_metadata
     from tickloom.sources.trees import write_tree
 
     found = resolve_metadata(Path(args.runs), args.date, run_id=args.run_id)
     raw = _session().read.parquet(args.source)
     ends = [iso_to_ms(found[k]) if found[k] else None for k in ("started", "ended")]
-    out = normalize_quotes(in_run_window(raw, *ends), found["offset_min"]).withColumn("date", F.lit(args.date))
-    print(json.dumps(write_tree(out, args.out, "silver", args.force) | {"rows_before": raw.count(), "rows": out.count()}))
+    layer = {"run_silver": {"run_id": F.lit(args.run_id)}, "silver": {}}["run_silver" if args.run_id else "silver"]
+    out = quote_table(normalize_quotes(in_run_window(raw, *ends), found["offset_min"]), args.date, found).withColumns({"date": F.lit(args.date), **layer})
+    done = write_tree(out, args.out, "run_silver" if args.run_id else "silver", args.force)
+    before, rows = raw.count(), out.count()
+    print(json.dumps(done | {"rows_before": before, "rows": rows, "excluded": before - rows}))
     return 0
 
 
@@ -116,14 +121,15 @@ def ingest_trades(args: argparse.Namespace) -> int:
     """Vendor files of a date as canonical trades, into the reference tree with a manifest."""
     from pyspark.sql import functions as F
 
-    from tickloom.operators.normalize import normalize_trades
+    from tickloom.operators.normalize import ingest_counts, normalize_trades
     from tickloom.plans.lineage import publish_json
     from tickloom.sources.selection import vendor_files
     from tickloom.sources.trees import concat_files, write_reference
 
     files = vendor_files(args.source, args.date)
-    out = normalize_trades(concat_files(_session(), files, []), args.symbols.split(",")).withColumn("date", F.lit(args.date))
-    publish_json(Path(args.manifest), write_reference(out, args.out, args.source, args.force))
+    raw, symbols = concat_files(_session(), files, [], source="source_file"), args.symbols.split(",")
+    out = normalize_trades(raw, symbols, ingest_date=args.date, source=args.vendor, vendor=args.vendor, dataset=args.dataset, schema=args.schema).withColumn("date", F.lit(args.date))
+    publish_json(Path(args.manifest), write_reference(out, args.out, args.source, args.force) | {"counts": ingest_counts(raw, symbols)})
     return 0
 
 
@@ -131,11 +137,15 @@ def ingest_trades(args: argparse.Namespace) -> int:
 def telemetry_quality(args: argparse.Namespace) -> int:
     from tickloom.operators import metrics, quality
     from tickloom.plans.reports import table, write_report
+    from tickloom.sources.trees import data_files, unreadable
 
     q = _quotes(args)
     rows = table(quality.telemetry_metrics(q).join(metrics.telemetry_summary(q).drop("rows"), "symbol"))
-    status = quality.decide_telemetry({r["symbol"]: r for r in rows}, args.symbols.split(","))
-    write_report(Path(args.report), "telemetry_quality", status, {"symbols": rows, "hours": table(metrics.rows_by_hour(q, "quote_ms"))})
+    limits = {k: float(v) for k, v in _map(args.spread_limits).items()}
+    bad = unreadable(_session(), data_files(_session(), args.quotes))
+    offsets = quality.value_counts(q, "verified_offset_min").count() if "verified_offset_min" in q.columns else 1
+    status = quality.decide_telemetry({r["symbol"]: r for r in rows}, args.symbols.split(","), limits, len(bad), offsets > 1)
+    write_report(Path(args.report), "telemetry_quality", status, {"symbols": rows, "hours": table(metrics.rows_by_hour(q, "quote_ms"))}, unreadable=bad, offsets=offsets)
     return _graded(status)
 
 
@@ -147,7 +157,7 @@ def reference_quality(args: argparse.Namespace) -> int:
     t = _trades(args)
     rows = table(quality.reference_metrics(t).join(metrics.reference_summary(t).drop("rows"), "symbol"))
     total, missing = sum(r["rows"] for r in rows), sum(r["missing_bbo"] or 0 for r in rows)
-    status = quality.decide_reference(total, sum(r["valid"] for r in rows), {r["symbol"]: r for r in rows}, args.symbols.split(","), missing_bbo=missing)
+    status = quality.decide_reference(total, sum(r["valid"] for r in rows), {r["symbol"]: r for r in rows}, args.symbols.split(","), truncated=args.limit > 0 and total >= args.limit, missing_bbo=missing)
     write_report(Path(args.report), "reference_quality", status, {"symbols": rows, "sides": table(quality.value_counts(t, "aggressor_side"))})
     return _graded(status)
 
@@ -157,11 +167,13 @@ def tick_alignment(args: argparse.Namespace) -> int:
     from tickloom.operators import metrics, quality
     from tickloom.plans.reports import table, write_report
 
-    matched = metrics.align(_trades(args), _quotes(args), args.tolerance_ms)
+    trades, quotes = _trades(args), _quotes(args)
+    matched = metrics.align(trades, quotes, args.tolerance_ms)
     rows = table(metrics.alignment_summary(matched))
     n, hit, volume, lost = (sum(r[c] for r in rows) for c in ("total", "aligned", "total_volume", "aligned_volume"))
-    status = quality.decide_alignment({r["symbol"]: "OK" if r["aligned"] else "overlap" for r in rows}, hit / n if n else None, 1 - lost / volume if volume else None)
-    write_report(Path(args.report), "tick_alignment", status, {"symbols": rows, "hours": table(metrics.alignment_by_hour(matched))}, tolerance_ms=args.tolerance_ms)
+    statuses = metrics.alignment_statuses(trades, quotes, args.symbols.split(",") if args.symbols else sorted(r["symbol"] for r in rows), args.tolerance_ms)
+    status = quality.decide_alignment(statuses, hit / n if n else None, 1 - lost / volume if volume else None)
+    write_report(Path(args.report), "tick_alignment", status, {"symbols": rows, "hours": table(metrics.alignment_by_hour(matched))}, tolerance_ms=args.tolerance_ms, statuses=statuses)
     return _graded(status)
 
 
@@ -181,7 +193,7 @@ def bar_alignment(args: argparse.Namespace) -> int:
     joined, sizes = _bars(args)
     keys, classified = ["symbol", "bucket_size"], features.classify_bars(joined)
     rows = table(features.alignment_metrics(classified, keys))
-    status = quality.decide_bars({(r["symbol"], r["bucket_size"]): r for r in rows}, sorted({r["symbol"] for r in rows}), dict(sizes))
+    status = quality.decide_bars({(r["symbol"], r["bucket_size"]): r for r in rows}, args.symbols.split(",") if args.symbols else sorted({r["symbol"] for r in rows}), dict(sizes))
     write_report(Path(args.report), "bar_alignment", status, {"bars": rows, "reasons": table(metrics.bar_reasons(classified, keys)), "aligned": table(metrics.bar_summary(classified, keys))})
     return _graded(status)
 
@@ -195,6 +207,8 @@ def build_features(args: argparse.Namespace) -> int:
     from tickloom.sources.trees import write_tree
 
     joined, _ = _bars(args)
+    covered = features.overlap_window(_trades(args), "event_time_utc_ns", _quotes(args).withColumn("quote_ns", F.col("quote_ms") * 1_000_000), "quote_ns", ["symbol"])
+    joined = features.in_overlap(joined, covered, ["symbol"])
     back = {v: k for k, v in _map(args.map).items()}
     pairs = [x for k, v in back.items() for x in (F.lit(k), F.lit(v))]
     cme = F.coalesce(F.element_at(F.create_map(*pairs), F.col("symbol")), F.col("symbol")) if pairs else F.col("symbol")
@@ -217,7 +231,7 @@ def feature_quality(args: argparse.Namespace) -> int:
     from pyspark.sql import functions as F
 
     rows = table(f.groupBy("symbol_pair", "bucket_size").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_model_eligible_candidate").cast("long")).alias("eligible")))
-    status = quality.decide_features(errors, {(r["symbol_pair"], r["bucket_size"]): r for r in rows}, sorted({r["symbol_pair"] for r in rows}), sorted({r["bucket_size"] for r in rows}))
+    status = quality.decide_features(errors, {(r["symbol_pair"], r["bucket_size"]): r for r in rows}, args.pairs.split(",") if args.pairs else sorted({r["symbol_pair"] for r in rows}), args.buckets.split(","))
     write_report(Path(args.report), "feature_quality", status, {"groups": rows, "flags": table(metrics.feature_flags(f)), "candidates": table(metrics.candidate_rates(f, CANDIDATES)), "summary": table(metrics.feature_summary(f))})
     return _graded(status)
 
@@ -251,13 +265,13 @@ def plan(args: argparse.Namespace) -> int:
 #: Commands with their options: (name, default) with None for one that must be given.
 COMMANDS = {
     "normalize-quotes": (normalize_quotes, {"source": None, "runs": None, "date": None, "out": None, "run-id": "", "force": False}),
-    "ingest-trades": (ingest_trades, {"source": None, "date": None, "symbols": None, "out": None, "manifest": None, "force": False}),
-    "telemetry-quality": (telemetry_quality, {"quotes": None, "symbols": None, "report": None}),
-    "reference-quality": (reference_quality, {"trades": None, "symbols": None, "report": None, "map": ""}),
-    "tick-alignment": (tick_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "tolerance-ms": 250}),
-    "bar-alignment": (bar_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "buckets": "15s,60s"}),
+    "ingest-trades": (ingest_trades, {"source": None, "date": None, "symbols": None, "out": None, "manifest": None, "vendor": "vendor", "dataset": "", "schema": "trades", "force": False}),
+    "telemetry-quality": (telemetry_quality, {"quotes": None, "symbols": None, "report": None, "spread-limits": ""}),
+    "reference-quality": (reference_quality, {"trades": None, "symbols": None, "report": None, "map": "", "limit": 0}),
+    "tick-alignment": (tick_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "symbols": "", "tolerance-ms": 250}),
+    "bar-alignment": (bar_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "symbols": "", "buckets": "15s,60s"}),
     "build-features": (build_features, {"trades": None, "quotes": None, "date": None, "out": None, "map": "", "buckets": "15s,60s", "force": False}),
-    "feature-quality": (feature_quality, {"features": None, "report": None}),
+    "feature-quality": (feature_quality, {"features": None, "report": None, "pairs": "", "buckets": "15s,60s"}),
     "eda": (eda, {"features": None, "out": None, "candidates": ""}),
     "plan": (plan, {"first": None, "last": None, "runs": None, "vendor": None, "stages": "normalize,quality,align,features", "day-cost": 0.0, "day-records": 0, "max-cost": 10.0, "max-records": 100_000_000}),
 }

@@ -17,6 +17,12 @@ def bucket_floor(t: Column, size: Column | int) -> Column:
     return t - F.pmod(t, size)
 
 
+def ns_to_ms(ns: Column) -> Column:
+    """The millisecond that holds a time in nanoseconds: in whole numbers, since a double rounds the last nanoseconds up."""
+    ns, step = ns.cast("long"), F.lit(1_000_000).cast("long")
+    return F.call_function("div", ns - F.pmod(ns, step), step)
+
+
 def bucket_size_ns(label: str) -> int:
     """Nanoseconds of a label such as 250ms, 15s or 1m."""
     text = label.strip()

@@ -20,7 +20,7 @@ def asof_match(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str
     """``trades`` with quote_ms, delta_ms, the quote's fields, is_matched and reason.
 
     Trades need ``event_ms`` and quotes ``quote_ms``, ``is_join_safe``; a quote of the trade's own millisecond counts.
-    Of quotes of one time the last by ``tie`` wins.
+    Of quotes of one time the last by ``tie`` wins.  A trade that is marked as invalid, or without a time, is never matched.
     """
     if tolerance_ms <= 0:
         raise ValueError("the tolerance must be positive")
@@ -40,10 +40,11 @@ def asof_match(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str
     done = seen.join(carried, ["__k", "__s"], "left")
     newest, quote = F.coalesce("__any", "any0"), F.coalesce("__last", "safe0.q")
     done = done.withColumns({"__n": newest, "__m": quote}).withColumn("__delta", F.col("__t") - F.col("__m.quote_ms"))
-    hit = F.coalesce(F.col("__delta") <= tolerance_ms, F.lit(False))
-    reason = F.when(hit, None).when(~F.coalesce("has_quotes", F.lit(False)), "no_mt5_rows_for_symbol").when(F.col("__n").isNull(), "no_prior_quote").when(F.col("__t") - F.col("__n") <= tolerance_ms, "mt5_not_join_safe").otherwise("outside_tolerance")
+    usable = F.col("__t").isNotNull() & (F.coalesce("__row.is_reference_trade_valid", F.lit(False)) if "is_reference_trade_valid" in trades.columns else F.lit(True))
+    hit = usable & F.coalesce(F.col("__delta") <= tolerance_ms, F.lit(False))
+    reason = F.when(hit, None).when(~usable, "missing_required_columns").when(~F.coalesce("has_quotes", F.lit(False)), "no_mt5_rows_for_symbol").when(F.col("__n").isNull(), "no_prior_quote").when(F.col("__t") - F.col("__n") <= tolerance_ms, "mt5_not_join_safe").otherwise("outside_tolerance")
     at = lambda c: F.when(hit, F.col(f"__m.{c}"))
-    return done.select("__row.*", at("quote_ms").alias("quote_ms"), F.when(hit, F.col("__delta")).alias("delta_ms"), *[at(c).alias(f"quote_{c}") for c in kept], hit.alias("is_matched"), reason.alias("reason"), F.col("__delta").alias("newest_safe_age_ms"))
+    return done.select("__row.*", at("quote_ms").alias("quote_ms"), F.when(hit, F.col("__delta")).alias("delta_ms"), *[at(c).alias(f"quote_{c}") for c in kept], hit.alias("is_matched"), reason.alias("reason"), F.when(usable, F.col("__delta")).alias("newest_safe_age_ms"))
 
 
 def tolerance_table(matched: DataFrame, tolerances: Sequence[int], keys: Sequence[str], size: Column) -> DataFrame:

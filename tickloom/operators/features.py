@@ -18,21 +18,26 @@ RENAMED = {
 }
 
 
-def overlap_window(cme: DataFrame, cme_col: str, mt5: DataFrame, mt5_col: str, keys: Sequence[str] = ()) -> DataFrame:
+def overlap_window(cme: DataFrame, cme_col: str, mt5: DataFrame, mt5_col: str, keys: Sequence[str]) -> DataFrame:
     """lo and hi of the time both sides cover, by key; null where they don't overlap."""
     a = cme.groupBy(*keys).agg(F.min(cme_col).alias("a0"), F.max(cme_col).alias("a1"))
     b = mt5.groupBy(*keys).agg(F.min(mt5_col).alias("b0"), F.max(mt5_col).alias("b1"))
-    both = a.join(b, list(keys), "full") if keys else a.crossJoin(b)  # one row each without keys
+    both = a.join(b, list(keys), "full")
     lo, hi = F.greatest("a0", "b0"), F.least("a1", "b1")
     known = F.col("a0").isNotNull() & F.col("b0").isNotNull() & (lo <= hi)
     return both.select(*keys, F.when(known, lo).alias("lo"), F.when(known, hi).alias("hi"))
 
 
 def in_overlap(bars: DataFrame, windows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bars that touch the overlap; where there is none, all stay."""
-    joined = bars.join(F.broadcast(windows) if not keys else windows, list(keys), "left") if keys else bars.crossJoin(F.broadcast(windows))
-    keep = F.col("lo").isNull() | ((F.col("bucket_end_utc_ns") > F.col("lo")) & (F.col("bucket_start_utc_ns") <= F.col("hi")))
-    return joined.where(keep).drop("lo", "hi")
+    """Bars that touch the time which both sides of their key cover (bounds in nanoseconds); where there is none, all stay."""
+    keep = F.col("__lo").isNull() | ((F.col("bucket_end_utc_ns") > F.col("__lo")) & (F.col("bucket_start_utc_ns") <= F.col("__hi")))
+    return bars.join(windows.withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), list(keys), "left").where(keep).drop("__lo", "__hi")
+
+
+def ticks_in_overlap(ticks: DataFrame, time: str, windows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ticks within the time which both sides of their key cover, both ends included; where there is none, all stay."""
+    keep = F.col("__lo").isNull() | F.col(time).between(F.col("__lo"), F.col("__hi"))
+    return ticks.join(windows.withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), list(keys), "left").where(keep).drop("__lo", "__hi")
 
 
 def _over(top: Column, below: Column, factor: float = 1.0) -> Column:

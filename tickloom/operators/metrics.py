@@ -34,7 +34,17 @@ def align(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "s
     apart = a.join(b, key).where(~met).select(F.col(key).alias("__apart"))
     matched = asof_match(trades, quotes, tolerance_ms, key, tie)
     done = matched.join(apart, matched[key] == F.col("__apart"), "left")
-    return done.withColumn("reason", F.when(F.col("__apart").isNotNull() & ~F.col("is_matched"), F.lit("no_overlap_window")).otherwise(F.col("reason"))).drop("__apart")
+    return done.withColumn("reason", F.when(F.col("__apart").isNotNull() & ~F.col("is_matched") & (F.col("reason") != "missing_required_columns"), F.lit("no_overlap_window")).otherwise(F.col("reason"))).drop("__apart")
+
+
+def alignment_statuses(trades: DataFrame, quotes: DataFrame, symbols: Sequence[str], tolerance_ms: int, key: str = "symbol") -> dict[str, str]:
+    """For each required symbol OK, or what is missing: cme, mt5, columns or overlap.  A row a symbol is read."""
+    if not {key, "quote_ms", "is_join_safe"} <= set(quotes.columns):
+        return dict.fromkeys(symbols, "columns")
+    span = lambda rows, c: {r[0]: (r[1], r[2]) for r in rows.where(F.col(key).isin(*symbols)).groupBy(key).agg(F.min(c), F.max(c)).collect()}
+    a, b = span(trades, "event_ms"), span(quotes, "quote_ms")
+    met = lambda s: max(a[s][0], b[s][0]) <= min(a[s][1], b[s][1] + tolerance_ms)
+    return {s: "cme" if s not in a else "mt5" if s not in b else "OK" if met(s) else "overlap" for s in symbols}
 
 
 def alignment_summary(matched: DataFrame, keys: Sequence[str] = ("symbol",), valid: str = "is_reference_trade_valid") -> DataFrame:
@@ -84,14 +94,15 @@ def rows_by_hour(rows: DataFrame, time_ms: str, keys: Sequence[str] = ("symbol",
     return rows.groupBy(*keys, session_hour(F.col(time_ms)).alias("hour")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def reference_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",), event: str = "event_time_utc_ns", receive: str | None = None) -> DataFrame:
-    """Bounds of event and receive time, latency, rows without a best bid or offer, and the spread."""
+def reference_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",), event: str = "event_time_utc_ns", receive: str = "receive_time_utc_ns") -> DataFrame:
+    """Bounds of event and receive time, latency, rows without a best bid or offer (``bid_px_00``, ``ask_px_00`` or ``bid``, ``ask``), and the spread."""
     has = set(trades.columns)
     null = F.lit(None).cast("double")
     late = (F.col(receive) - F.col(event)) / 1e6 if receive in has else null
-    both = {"bid", "ask"} <= has
-    rows = trades.withColumns({"latency_ms": late, "bbo_spread": F.col("ask") - F.col("bid") if both else null})
-    missing = _count(F.col("bid").isNull() | F.col("ask").isNull()) if both else F.lit(None).cast("long")
+    sides = next((p for p in (("bid_px_00", "ask_px_00"), ("bid", "ask")) if set(p) <= has), None)
+    bid, ask = map(F.col, sides) if sides else (null, null)
+    rows = trades.withColumns({"latency_ms": late, "bbo_spread": ask - bid})
+    missing = _count(bid.isNull() | ask.isNull()) if sides else F.lit(None).cast("long")
     when = lambda f, c, n: (f(c) if c in has else F.lit(None).cast("long")).alias(n)
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), missing.alias("missing_bbo"), when(F.min, event, "first_event"), when(F.max, event, "last_event"), when(F.min, receive, "first_receive"), when(F.max, receive, "last_receive"), *summary("latency_ms"), *summary("bbo_spread"))
 

@@ -17,8 +17,20 @@ RESIDUAL_LOW, RESIDUAL_HIGH, JOIN_SAFE_HIGH = -250, 1000, 50
 VENDOR_NAMES: dict[str, tuple[str, ...]] = {
     "event": ("ts_event", "event_ts", "timestamp"), "receive": ("ts_recv", "recv_ts"), "symbol": ("raw_symbol", "symbol"),
     "action": ("action",), "side": ("side",), "price": ("price",), "size": ("size",),
-    "bid": ("bid_px_00", "best_bid_price"), "ask": ("ask_px_00", "best_ask_price"), "instrument": ("instrument_id",),
+    "bid": ("bid_px_00", "best_bid_price"), "ask": ("ask_px_00", "best_ask_price"), "bid_size": ("bid_sz_00",), "ask_size": ("ask_sz_00",), "instrument": ("instrument_id",),
 }
+#: Columns and types of the normalised tables (fixed values: other programs read them).
+QUOTE_SCHEMA = """
+    symbol string, broker_server string, broker_company string, account_login_hash string, source_date string, source_hour int, time_msc_raw long, verified_offset_min int, verified_offset_ms long,
+    time_msc_utc_ms long, recv_time_utc_ms long, residual_ms long, monotonic_ns long, bid double, ask double, mid double, spread_price double, spread_points long, bid_scaled long, ask_scaled long,
+    last double, last_scaled long, volume long, flags long, suppressed_count long, suppressed_reason string, is_bid_ask_valid boolean, is_scaled_bid_ask_valid boolean, is_latency_outlier boolean,
+    is_join_safe boolean, is_spread_valid boolean, session_hour_utc int, data_layer string, normalizer_version string, metadata_source_path string"""
+TRADE_SCHEMA = """
+    source string, vendor string, dataset string, schema string, symbol string, raw_symbol string, instrument_id long, ts_event long, ts_recv long, ts_event_ns long, ts_recv_ns long,
+    event_time_utc_ns long, receive_time_utc_ns long, action string, side_raw string, aggressor_side string, signed_size double, price double, size long, bid_px_00 double, ask_px_00 double,
+    bid_sz_00 long, ask_sz_00 long, spread double, mid double, is_trade boolean, is_aggressor_known boolean, is_bbo_available boolean, is_price_valid boolean, is_size_valid boolean,
+    is_reference_trade_valid boolean, ingest_date string, ingest_version string, source_file string"""
+NORMALIZER_VERSION, INGEST_VERSION, SILVER = "0.1.0", "0.1.0", "silver"
 REQUIRED_ROLES = ("event", "action", "side", "price", "size")
 
 
@@ -113,19 +125,59 @@ def canonical_symbol(symbol: Column, requested: Sequence[str]) -> Column:
     return out
 
 
-def normalize_trades(df: DataFrame, requested: Sequence[str], instruments: Mapping[int, str] | None = None) -> DataFrame:
-    """Canonical trades of a vendor table; rows of other symbols or actions are left out."""
+def under_schema(df: DataFrame, schema: str, **constants: object) -> DataFrame:
+    """``df`` as a table of exactly these columns and types; constants fill or replace columns, what is still missing is null."""
+    fields = T.StructType.fromDDL(schema)
+    held = {c: F.col(f"`{c}`") for c in df.columns} | {k: F.lit(v) for k, v in constants.items()}
+    return df.select(*[held.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def quote_table(quotes: DataFrame, date: str, metadata: Mapping[str, object]) -> DataFrame:
+    """Normalised quotes in the full layout, with what the run's metadata says of their origin."""
+    known = {k: metadata.get(k) for k in ("broker_server", "broker_company", "account_login_hash")}
+    hour = {} if "source_hour" in quotes.columns else {"source_hour": F.col("hour").cast("int") if "hour" in quotes.columns else session_hour(F.col("recv_time_utc_ms"))}
+    return under_schema(quotes.withColumns(hour) if hour else quotes, QUOTE_SCHEMA, **known, source_date=date, data_layer=SILVER, normalizer_version=NORMALIZER_VERSION, metadata_source_path=str(metadata.get("path", "")))
+
+
+def vendor_symbol(df: DataFrame, instruments: Mapping[int, str] | None = None) -> tuple[dict[str, str], Column]:
+    """The column of each role, and the vendor's symbol: from its column, else through the map of instruments."""
     names = bind_vendor_columns(df.columns, bool(instruments))
     if "symbol" in names:
-        symbol = F.col(names["symbol"])
-    else:
-        pairs = [x for k, v in instruments.items() for x in (F.lit(k), F.lit(v))]
-        symbol = F.element_at(F.create_map(*pairs), F.col(names["instrument"]))
-    side, price, size = aggressor(F.col(names["side"])), F.col(names["price"]).cast("double"), F.col(names["size"]).cast("long")
+        return names, F.col(names["symbol"])
+    pairs = [x for k, v in instruments.items() for x in (F.lit(k), F.lit(v))]
+    return names, F.element_at(F.create_map(*pairs), F.col(names["instrument"]))
+
+
+def normalize_trades(df: DataFrame, requested: Sequence[str], instruments: Mapping[int, str] | None = None, **constants: object) -> DataFrame:
+    """Canonical trades of a vendor table in the full layout; rows of other symbols or actions are left out.
+
+    ``constants`` are the columns that tell the origin: source, vendor, dataset, schema, ingest_date, source_file.
+    """
+    names, symbol = vendor_symbol(df, instruments)
+    of = lambda role: F.col(names[role]) if role in names else F.lit(None)
+    raw_side, price, size = of("side"), of("price").cast("double"), of("size").cast("long")
+    side, event = aggressor(raw_side), to_ns(df, names["event"])
+    receive = to_ns(df, names["receive"]) if "receive" in names else F.lit(None).cast("long")
+    bbo = {"bid", "ask"} <= names.keys()
+    bid, ask = (of(r).cast("double") if bbo else F.lit(None).cast("double") for r in ("bid", "ask"))
+    flags = trade_validity(of("action"), price, size)
     out = df.select(
-        canonical_symbol(symbol, requested).alias("symbol"), to_ns(df, names["event"]).alias("event_time_utc_ns"), F.col(names["action"]).alias("action"),
-        price.alias("price"), size.alias("size"), side.alias("aggressor_side"), signed_size(side, size).alias("signed_size"),
-        *[v.alias(k) for k, v in trade_validity(F.col(names["action"]), price, size).items()],
-        *([((F.col(names["bid"]) + F.col(names["ask"])) / 2).alias("bbo_mid")] if {"bid", "ask"} <= names.keys() else []),
+        canonical_symbol(symbol, requested).alias("symbol"), symbol.alias("raw_symbol"), of("instrument").cast("long").alias("instrument_id"),
+        *[event.alias(c) for c in ("ts_event", "ts_event_ns", "event_time_utc_ns")], *[receive.alias(c) for c in ("ts_recv", "ts_recv_ns", "receive_time_utc_ns")],
+        of("action").alias("action"), raw_side.alias("side_raw"), side.alias("aggressor_side"), signed_size(side, size).alias("signed_size"), price.alias("price"), size.alias("size"),
+        bid.alias("bid_px_00"), ask.alias("ask_px_00"), of("bid_size").alias("bid_sz_00"), of("ask_size").alias("ask_sz_00"), (ask - bid).alias("spread"), ((bid + ask) / 2).alias("mid"),
+        flags.pop("is_trade_action").alias("is_trade"), F.coalesce(raw_side.isin("A", "B"), F.lit(False)).alias("is_aggressor_known"), F.lit(bbo).alias("is_bbo_available"), *[v.alias(k) for k, v in flags.items()],
+        *([F.col("source_file")] if "source_file" in df.columns else []),
     )
-    return out.where(F.col("symbol").isNotNull() & (F.col("action") == "T"))
+    kept = out.where(F.col("symbol").isNotNull() & (F.col("action") == "T"))
+    return under_schema(kept, TRADE_SCHEMA, ingest_version=INGEST_VERSION, **constants)
+
+
+def ingest_counts(df: DataFrame, requested: Sequence[str], instruments: Mapping[int, str] | None = None) -> dict:
+    """Rows read, kept and rejected (another symbol, or no trade), and kept rows of unknown side: one aggregate over three columns."""
+    names, symbol = vendor_symbol(df, instruments)
+    kept = F.coalesce(canonical_symbol(symbol, requested).isNotNull() & (F.col(names["action"]) == "T"), F.lit(False))
+    unknown = kept & (aggressor(F.col(names["side"])) == "UNKNOWN")
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("read"), n(kept).alias("kept"), n(unknown).alias("unknown_side")).first()
+    return {"read": r["read"], "kept": r["kept"], "rejected": r["read"] - r["kept"], "unknown_side": r["unknown_side"]}

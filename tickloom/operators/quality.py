@@ -79,10 +79,11 @@ def decide_bars(metrics: Mapping[tuple[str, str], Mapping], symbols: Sequence[st
 
 
 def decide_features(errors: Sequence[str], rows: Mapping[tuple[str, str], Mapping], pairs: Sequence[str], buckets: Sequence[str] = ("15s", "60s")) -> str:
-    if errors or not any(m["rows"] for m in rows.values()):
+    """FAIL with errors or without rows of a required pair; PASS if each required pair has eligible rows in one of the required sizes."""
+    of = lambda p, what, among=None: sum(m[what] or 0 for (q, b), m in rows.items() if q == p and (among is None or b in among))
+    if errors or not any(of(p, "rows") for p in pairs):
         return FAIL
-    short = any(not rows.get((p, b), {}).get("eligible") for p in pairs for b in buckets) or any(not any(m["rows"] for (q, _), m in rows.items() if q == p) for p in pairs)
-    return PARTIAL if short else PASS
+    return PASS if all(of(p, "rows") and of(p, "eligible", buckets) for p in pairs) else PARTIAL
 
 
 def decide_eda(contract_ok: bool, rows: int, eligible: int, by_pair: Mapping[str, int], least: int = 5000) -> str:

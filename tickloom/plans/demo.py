@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import bucket_sizes
+from tickloom.functions.exprs import bucket_sizes, ns_to_ms
 from tickloom.operators import asof, bars, export, features, normalize, quality
 from tickloom.plans.lineage import FAIL, PASS, Stage, new_run, publish_json, run_stages, verify
 from tickloom.sources import fixtures
@@ -65,7 +65,7 @@ def run_demo(spark: SparkSession, root: str, run_id: str, seconds: int = 120, se
 
     def alignment():
         mapped = F.create_map(*[F.lit(x) for a, (b, _) in fixtures.PAIRS.items() for x in (a, b)])
-        t = read("silver_trades").withColumns({"event_ms": F.floor(F.col("event_time_utc_ns") / 1_000_000).cast("long"), "symbol": F.element_at(mapped, F.col("symbol"))})
+        t = read("silver_trades").withColumns({"event_ms": ns_to_ms(F.col("event_time_utc_ns")), "symbol": F.element_at(mapped, F.col("symbol"))})
         q = read("silver_quotes").withColumn("quote_ms", F.col("time_msc_utc_ms"))
         r = asof.asof_match(t, q, 250, tie=["monotonic_ns"]).agg(F.avg(F.col("is_matched").cast("double")), F.sum(F.when(~F.col("is_matched"), F.col("size")).otherwise(0)) / F.sum("size")).first()
         _need(quality.decide_alignment({"ES": "OK", "NQ": "OK"}, r[0], r[1]), "alignment")
