@@ -69,14 +69,18 @@ def test_dictionary_in_pieces_that_starts_anew(monkeypatch, low, high):
     """Very long texts are read in pieces; neither these nor a dictionary that forgets change a feature."""
     monkeypatch.setattr(importance, "KEPT", 50)
     monkeypatch.setattr(importance, "PIECE", 100)
+    monkeypatch.setattr(importance, "RUN", 40)
     rng = random.Random(low + high)
     known = importance.Dictionary(low, high, 1000)
     for _ in range(5):
-        text = " ".join(rng.choices([f"w{k}" for k in range(60)] + ["É" * 90, "x" * 300], k=500))
-        found = list(known.features(text.encode()))
-        want = grams(text, low, high)
-        assert sum(n for _, n in found) == want[0] and len(found) > 10
-        assert np.array_equal(np.sort(np.concatenate([f for f, _ in found])), np.sort([zlib.crc32(g.encode()) % 1000 for g in want[1]]))
+        texts = [" ".join(rng.choices([f"w{k}" for k in range(60)] + ["É" * 90, "x" * 300], k=rng.choice([0, 1, 2, 3, 500]))) for _ in range(30)]
+        found = list(known.features([t.encode() for t in texts]))
+        buckets, whose, words = (np.concatenate([f[k] for f in found]) for k in range(3))
+        assert len(found) > 5
+        for k, text in enumerate(texts):
+            n, want = grams(text, low, high)
+            assert (words == k).sum() == n
+            assert np.array_equal(np.sort(buckets[whose == k]), np.sort([zlib.crc32(g.encode()) % 1000 for g in want]))
 
 
 def test_global_order(spark):

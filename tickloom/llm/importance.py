@@ -20,10 +20,11 @@ scores; an empty table gives no row; with an empty target all buckets have the s
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ BUCKETS = 10_000
 LEAST_WORDS, PERCENT, SEED = 20, 10, "2024"
 #: Entries at which a task's dictionary starts anew.
 KEPT = 500_000
-#: Bytes of a text that become words at once.
-PIECE = 1 << 20
+#: Bytes of a text that become words at once, and words of a run of texts.
+PIECE, RUN = 1 << 20, 1 << 18
 
 #: Bytes of words: digits, letters (A-Z lower-cased) and all of characters beyond ASCII; every other byte is a blank.
 _BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -46,62 +47,91 @@ _BLANK = re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
 
 
 class _Ids(dict):
-    """Integers of keys, in the order in which they are met."""
+    """Integers of keys, in the order in which they are met; ``keys_met`` lists the keys by their integers."""
+
+    def __init__(self):
+        self.keys_met: list = []
 
     def __missing__(self, key) -> int:
         self[key] = n = len(self)
+        self.keys_met.append(key)
         return n
 
 
 class Dictionary:
-    """Words and n-grams of a task as integers; ``bucket`` holds the bucket of each n-gram."""
+    """Words and n-grams of a task as integers.  For each length of n-grams ``buckets_of`` holds the buckets of the distinct tuples; that of a single word is its integer's."""
 
     def __init__(self, low: int, high: int, buckets: int):
-        self.low, self.high, self.buckets = low, high, buckets
+        self.lengths, self.buckets = range(low, high + 1), buckets
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.grams = _Ids(), _Ids()
-        self.spelt: list[bytes] = []
-        self.bucket = np.zeros(1024, dtype=np.int32)
-        self.hashed = 0
-
-    def _hash_new(self) -> None:
-        """Buckets of the n-grams met since the last call, from their words' bytes."""
-        self.spelt += list(self.words)[len(self.spelt) :]
-        if len(self.grams) > len(self.bucket):
-            self.bucket = np.resize(self.bucket, 2 * len(self.grams))
-        for gram in list(self.grams)[self.hashed :]:
-            self.bucket[self.hashed] = zlib.crc32(b" ".join([self.spelt[w] for w in gram])) % self.buckets
-            self.hashed += 1
-
-    def features(self, text: bytes) -> Iterator[tuple[np.ndarray, int]]:
-        """For pieces of a text: the buckets of its n-grams, and its number of words."""
-        before: list[int] = []
-        at = 0
-        while at < len(text):
-            end = at + PIECE
-            if end < len(text):
-                blank = _BLANK.search(text, end)
+        self.words = _Ids()
+        self.grams = {n: _Ids() for n in self.lengths if n > 1}
+        self.buckets_of = {n: np.zeros(0, dtype=np.int32) for n in self.lengths}
+
+    def _hashed(self, n: int) -> np.ndarray:
+        """Buckets of all tuples of a length; those met since the last call are hashed from their words' bytes, once."""
+        spelt, known = self.words.keys_met, self.buckets_of[n]
+        met = spelt if n == 1 else self.grams[n].keys_met
+        if len(met) > len(known):
+            new = met[len(known) :]
+            crcs = map(zlib.crc32, new if n == 1 else (b" ".join([spelt[w] for w in gram]) for gram in new))
+            known = self.buckets_of[n] = np.concatenate([known, np.fromiter(crcs, np.int64, len(new)) % self.buckets]).astype(np.int32)
+        return known
+
+    def _pieces(self, texts: Iterable[bytes]) -> Iterator[tuple[int, bytes, bool]]:
+        """Pieces of texts, cut at blanks: (text number, piece, whether it begins the text)."""
+        for k, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                blank = _BLANK.search(text, at + PIECE) if at + PIECE < len(text) else None
                 end = blank.start() if blank else len(text)
-            if len(self.words) + len(self.grams) > KEPT:
-                kept = [self.spelt[w] for w in before]
-                self._forget()
-                before = [self.words[w] for w in kept]
-            ids = list(map(self.words.__getitem__, text[at:end].translate(_BYTES).split()))
-            grams: list[int] = []
-            for n in range(self.low, self.high + 1):
-                run = [*before[len(before) - n + 1 :], *ids] if n > 1 else ids
-                grams += map(self.grams.__getitem__, zip(*(run[k:] for k in range(n)), strict=False))
-            if self.hashed < len(self.grams):
-                self._hash_new()
-            yield self.bucket[np.array(grams, dtype=np.int64)], len(ids)
-            before = [*before, *ids][max(0, len(before) + len(ids) - self.high + 1) :] if self.high > 1 else []
-            at = end
-
-
-def _texts(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.binary()).to_pylist()
+                yield k, text[at:end], not at
+                at = end
+
+    def features(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For runs of texts: the buckets of their n-grams, the number of the text of each, and those of each word's text."""
+        ids: list[int] = []
+        of: list[tuple[int, int]] = []  # (text, words) of each piece
+        before: list[int] = []
+
+        def done() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            word, owner = np.array(ids, dtype=np.int64), np.repeat(*np.array(of, dtype=np.int64).reshape(-1, 2).T)
+            found, owners = [], []
+            for n in self.lengths:
+                if n == 1:
+                    gram, whose = word[len(before) :], owner[len(before) :]
+                else:
+                    tuples = zip(*(ids[k:] for k in range(n)), strict=False)
+                    same = owner[n - 1 :] == owner[: max(0, len(owner) - n + 1)]
+                    same[: max(0, len(before) - n + 1)] = False  # counted with the run before
+                    gram = np.fromiter(map(self.grams[n].__getitem__, itertools.compress(tuples, same.tolist())), np.int64)
+                    whose = owner[n - 1 :][same]
+                found.append(self._hashed(n)[gram])
+                owners.append(whose)
+            return np.concatenate(found), np.concatenate(owners), owner[len(before) :]
+
+        for k, piece, _ in self._pieces(texts):
+            some = list(map(self.words.__getitem__, piece.translate(_BYTES).split()))
+            ids += some
+            of.append((k, len(some)))
+            if len(ids) > RUN:
+                yield done()
+                held, owner = ids[max(0, len(ids) - self.lengths[-1] + 1) :] if self.lengths[-1] > 1 else [], k
+                short = min(len(held), len(some))  # only this text's words can go on
+                held = held[len(held) - short :]
+                if len(self.words) + sum(map(len, self.grams.values())) > KEPT:
+                    spelt = [self.words.keys_met[w] for w in held]
+                    self._forget()
+                    held = [self.words[w] for w in spelt]
+                before[:], ids[:], of[:] = held, held, [(owner, len(held))]
+        if len(ids) > len(before):
+            yield done()
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 def _counts(low: int, high: int, buckets: int) -> Callable:
@@ -110,9 +140,8 @@ def _counts(low: int, high: int, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = Dictionary(low, high, buckets), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for text in _texts(batch.column(0)):
-                for found, _ in known.features(text or b""):
-                    total += np.bincount(found, minlength=buckets)
+            for found, _, _ in known.features(_texts(batch.column(0))):
+                total += np.bincount(found, minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
@@ -141,9 +170,10 @@ def _weigh(low: int, high: int, gain: np.ndarray) -> Callable:
         known = Dictionary(low, high, len(gain))
         for batch in batches:
             rows = np.zeros((3, batch.num_rows), dtype=np.int64)
-            for k, text in enumerate(_texts(batch.column(1))):
-                for found, words in known.features(text or b""):
-                    rows[:, k] += words, len(found), gain[found].sum()
+            for found, whose, words in known.features(_texts(batch.column(1))):
+                np.add.at(rows[2], whose, gain[found])
+                for row, of in zip(rows, (words, whose), strict=False):
+                    row += np.bincount(of, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, rows)], names=["doc_id", "n_words", "n_features", "weight"])
 
     return run
