@@ -15,11 +15,13 @@ empty table gives no row; extra columns pass through.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import P, fresh_path
+from tickloom.llm.common import P, cut, discard
+from tickloom.sources import publish
 
 OLD_SHARDS, NEW_SHARDS = 12, 16
 #: Blocks over all old shards at most; bounds the plan.
@@ -141,33 +143,33 @@ def reshard(docs: DataFrame, shard: Column, size: Column, new_shards: int = NEW_
     return at.select(*docs.columns, f"{P}size", f"{P}old", f"{P}block", F.col(f"{P}at.new").alias(f"{P}shard"), (F.col(f"{P}rank") + F.col(f"{P}at.shift")).alias(f"{P}slot"))
 
 
-def rewrite(spark: SparkSession, root: str, new_shards: int, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> dict:
+def rewrite(spark: SparkSession, root: str, new_shards: int, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS, step: Callable[[str], None] = lambda _: None) -> dict:
     """Reshard a folder of ``shard=K`` Parquet folders in place; only shards that lose or gain rows are written anew.
 
-    The new files of an affected shard are written whole to the shared folder before its folder is replaced (dynamic
-    partition overwrite); folders of shards that receive no rows are deleted after that, so a job that fails midway can run again.  Returns the affected shards and the rows moved.
+    The new files of all affected shards are written beside the old ones and published by one switch, so a job that is
+    interrupted at any point leaves the old rows or the new ones, and can run again (``publish.read_tree`` reads the
+    right ones even in between).  Returns the affected shards and the rows moved.
     """
-    table = spark.read.option("basePath", root).parquet(root)
+    store = publish.Store(spark, root, step)
+    draft = publish.begin(store)
+    table = publish.read_tree(spark, root)
     last = table.agg(F.max("shard")).first()[0]
     if last is None:  # no rows: nothing to move
         return {"affected": [], "moved": 0}
-    old_shards = last + 1
+    old_shards = int(last) + 1
     columns = [c for c in table.columns if c != "shard"]
     done = reshard(table, F.col("shard").cast("int"), size_of(text_col), new_shards, id_col, blocks, old_shards)
-    path = fresh_path(spark, "reshard")
-    done.select(*columns, f"{P}old", f"{P}shard", f"{P}slot").write.parquet(path)
-    done = spark.read.parquet(path)
-    moved = done.where(F.col(f"{P}old") != F.col(f"{P}shard"))
-    pairs = moved.groupBy(f"{P}old", f"{P}shard").count().collect()  # shards squared at most
-    affected = sorted({r[0] for r in pairs} | {r[1] for r in pairs})
-    new = done.where(F.col(f"{P}shard").isin(affected)).select(*columns, F.col(f"{P}shard").alias("shard"))
-    new.repartition(max(1, len(affected)), "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(root)
-    kept = {r[0] for r in done.select(f"{P}shard").distinct().collect()}  # shards at most
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for shard in set(affected) - kept:  # no row goes there, so the write left its old files
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/shard={shard}")
-        folder.getFileSystem(conf).delete(folder, True)
-    return {"affected": affected, "moved": sum(r[2] for r in pairs)}
+    done = cut(done.select(*[F.col(f"`{c}`") for c in columns], f"{P}old", f"{P}shard", f"{P}slot"), "reshard")
+    pairs = done.groupBy(f"{P}old", f"{P}shard").count().collect()  # shards squared at most
+    moved = [r for r in pairs if r[0] != r[1]]
+    affected = sorted({r[0] for r in moved} | {r[1] for r in moved})
+    if affected:
+        new = done.where(F.col(f"{P}shard").isin(affected)).select(*[F.col(f"`{c}`") for c in columns], F.col(f"{P}shard").alias("shard"))
+        new.repartition(max(1, len(affected)), "shard").write.partitionBy("shard").parquet(f"{store.root}/{draft}")
+        kept = {r[1] for r in pairs}
+        publish.commit(store, draft, [f"shard={k}" for k in set(affected) - kept])
+    discard(done)
+    return {"affected": affected, "moved": sum(r[2] for r in moved)}
 
 
 def query(docs: DataFrame) -> DataFrame:
