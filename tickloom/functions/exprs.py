@@ -109,6 +109,13 @@ def session_hour(ms: Column) -> Column:
     return (hours - days * 24).cast("int")
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the right side's keys are left out."""
+    keys = list(keys)
+    other = right.withColumnsRenamed({k: f"__on_{k}" for k in keys})
+    return left.join(other, [F.col(k).eqNullSafe(F.col(f"__on_{k}")) for k in keys], how).drop(*[f"__on_{k}" for k in keys])
+
+
 def require(df: DataFrame, names: Iterable[str], what: str) -> None:
     """Raise with all missing columns."""
     missing = [n for n in names if n not in df.columns]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.exprs import finite, is_finite, percentiles, safe_corr
+from tickloom.functions.exprs import finite, is_finite, join_on
+from tickloom.operators.gram import correlations
+from tickloom.operators.ranks import at_ranks
 
 POINTS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 HEAVY, OUTLIER, SMALL_SAMPLE, FEW = 5.0, 1.5, 5000, 2
@@ -38,18 +38,28 @@ def missingness(df: DataFrame, keys: Sequence[str], features: Sequence[str]) ->
 
 
 def distribution(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Moments and linear percentiles of finite values; the outlier rate comes from a second aggregate on the group's fences."""
+    """Moments and linear percentiles of finite values, and the share outside the fences of the quartiles.
+
+    One aggregate makes the moments; percentiles and outliers come from the counts of distinct values, which a shuffle
+    carries once (``ranks``), so no group's values are held together.
+    """
     rows = long_form(df, keys, features).withColumn("value", finite(F.col("value")))
     v, by = F.col("value"), [*keys, "feature"]
-    d = rows.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), percentiles(v, POINTS).alias("p"), F.var_pop(v).alias("m2"), F.skewness(v).alias("sk"), F.kurtosis(v).alias("ku"))
-    d = d.select(*by, "n", "mean", "std", "min", "max", "m2", "sk", "ku", *[F.get("p", F.lit(k)).alias(f"p{round(100 * q):02d}") for k, q in enumerate(POINTS)]).withColumn("iqr", F.col("p75") - F.col("p25"))
+    d = rows.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.var_pop(v).alias("m2"), F.skewness(v).alias("sk"), F.kurtosis(v).alias("ku"))
+    points = {f"p{round(100 * q):02d}": q for q in POINTS}
+    places = {k: f((F.col("__n") - 1) * F.lit(q)) for name, q in points.items() for k, f in ((f"lo_{name}", F.floor), (f"hi_{name}", F.ceil))}
+    found = at_ranks(rows, by, "value", places)
+    d = join_on(d, found, by, "left")
+    share = lambda q: (F.col("n") - 1) * F.lit(q) - F.floor((F.col("n") - 1) * F.lit(q))
+    d = d.select(*by, "n", "mean", "std", "min", "max", "m2", "sk", "ku", *[(F.col(f"lo_{name}") + (F.col(f"hi_{name}") - F.col(f"lo_{name}")) * share(q)).alias(name) for name, q in points.items()]).withColumn("iqr", F.col("p75") - F.col("p25"))
     shaped = (F.col("n") >= 4) & (F.col("m2") > 0)
     wide = F.abs("iqr") > 1e-12
     d = d.withColumns({"robust_scale": F.col("iqr"), "skew": F.when(shaped, F.col("sk")), "excess_kurtosis": F.when(shaped, F.col("ku")), "heavy_tail_score": F.when(wide, F.abs(F.col("p99") - F.col("p50")) / F.when(wide, F.abs("iqr"))), "sample_size_warning": F.col("n") < SMALL_SAMPLE})
     d = d.withColumn("is_heavy_tailed", F.coalesce(F.col("heavy_tail_score") >= HEAVY, F.lit(False))).drop("m2", "sk", "ku")
+    counted = rows.where(v.isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("__c"))
     fences = d.where("iqr > 0").select(*by, (F.col("p25") - OUTLIER * F.col("iqr")).alias("lo"), (F.col("p75") + OUTLIER * F.col("iqr")).alias("hi"))
-    out = rows.where(v.isNotNull()).join(fences, by).groupBy(*by).agg(F.avg(F.when((v < F.col("lo")) | (v > F.col("hi")), 1.0).otherwise(0.0)).alias("outlier_rate"))
-    return d.join(out, by, "left")
+    out = join_on(counted, fences, by).groupBy(*by).agg((F.sum(F.when((v < F.col("lo")) | (v > F.col("hi")), F.col("__c")).otherwise(0)) / F.sum("__c")).alias("outlier_rate"))
+    return join_on(d, out, by, "left")
 
 
 def stability(df: DataFrame, keys: Sequence[str], features: Sequence[str], order: str) -> DataFrame:
@@ -63,21 +73,13 @@ def stability(df: DataFrame, keys: Sequence[str], features: Sequence[str], order
     return out.withColumns({"abs_shift": F.abs(shift), "relative_shift": F.when(F.col("mean_first") != 0, shift / F.abs(F.when(F.col("mean_first") != 0, F.col("mean_first"))))})
 
 
-#: Pairs of one aggregate; more would make its generated code too long to compile.
-PAIRS = 40
-
-
 def correlation(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Pairwise Pearson of all pairs, ``PAIRS`` to a wide aggregate: (keys, feature_a, feature_b, n, r)."""
-    both = lambda a, b: F.sum(F.when(is_finite(F.col(a)) & is_finite(F.col(b)), 1).otherwise(0))
-    pairs = list(combinations(features, 2))
+    """Pairwise Pearson of all pairs over rows where both are finite, in one scan: (keys, feature_a, feature_b, n, r)."""
+    return correlations(df, keys, features)
 
-    def part(some: Sequence[tuple[str, str]]) -> DataFrame:
-        each = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), both(a, b).alias("n"), safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")).alias(f"p{k}") for k, (a, b) in enumerate(some)]
-        wide = df.groupBy(*keys).agg(*each)
-        return wide.select(*keys, F.explode(F.array(*[f"p{k}" for k in range(len(some))])).alias("p")).select(*keys, "p.feature_a", "p.feature_b", "p.n", "p.r")
 
-    return reduce(DataFrame.unionByName, [part(pairs[k : k + PAIRS]) for k in range(0, len(pairs), PAIRS)])
+#: Level of significance, and rows below which a correlation is marked as of a small sample.
+LEVEL, FEW_ROWS = 0.05, 5000
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -118,5 +120,11 @@ def with_p_value(corr: DataFrame, r: str = "r", n: str = "n") -> DataFrame:
     return corr.withColumn("p_value", run(r, n)).withColumn("p_value", F.when(~F.isnan("p_value"), F.col("p_value")))
 
 
+def correlation_summary(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Correlations with strength, p-value, and two flags: significant at ``LEVEL``, and of a small sample."""
+    out = with_p_value(correlations(df, keys, features))
+    return out.withColumns({"abs_correlation": F.abs("r"), "pvalue_available": F.col("p_value").isNotNull(), "is_statistically_significant": F.coalesce(F.col("p_value") < LEVEL, F.lit(False)), "is_small_sample_warning": F.col("n") < FEW_ROWS})
+
+
 def top_n(df: DataFrame, by: Column, ties: Sequence[str], n: int = 15) -> DataFrame:
     return df.orderBy(by.desc_nulls_last(), *ties).limit(n)
