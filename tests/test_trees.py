@@ -83,6 +83,21 @@ def test_dedup_against_the_state_machine(spark):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("values", [[1.0], [1.0] * 30 + [2.0], [1.0, 1.0, None, float("nan"), -0.0, 0.0]])
+def test_dedup_in_slices_equals_groups(spark, values):
+    """Long chains over many slices, gaps, ties, bursts, quiet slices, null keys and changes of value."""
+    rng = random.Random(len(values))
+    rows, t = [], 0
+    for k in range(5000):
+        t += rng.choice([0, 1, 40, 90, 90, 130] + ([2500, 30_000] if k % 97 == 0 else []))
+        rows.append((rng.choice(["A", "A", "A", None]), t - 100_000, k, rng.choice(values), "x"))
+    rows += [("lone", 5, 1, 1.0, "x"), ("lone", None, 2, 1.0, "x")]
+    d = spark.createDataFrame(rows, "symbol string, t long, r long, v double, extra string").repartition(4)
+    run = lambda n: sorted(map(str, ticks.dedup_ticks(d, ["symbol"], "t", ["v"], "r", 100, n).collect()))
+    whole = run(10**9)
+    assert run(10) == whole and len(whole) > 500
+
+
 def test_metadata_trust_and_days(tmp_path):
     good = {"started_at_utc": "2026-01-05T10:00:00Z", "ended_at_utc": "2026-01-05T11:00:00Z", "verified_offset_min": 120, "metadata_verified_for_normalization": True, "timestamp_semantics_status": "OFFSET_VERIFIED_FOR_SESSION"}
     for name, more in (("r1", {}), ("r2", {"timestamp_semantics_status": "TIMESTAMP_SEMANTICS_PENDING"}), ("r3", {"verified_offset_min": True})):
