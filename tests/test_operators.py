@@ -197,12 +197,12 @@ def test_offset_calibration():
     for k in range(20):
         s.observe(120 * 60_000 + 1000 * k, 1000 * k + 40)
     assert s.status == ticks.OFFSET_VERIFIED and s.verified == 120
-    assert s.tick_clock(19_040 + 30_000) == "DOWNGRADED" and s.cached == 120
-    assert s.tick_clock(19_040 + 300_000) == "MARKED_UNSAFE" and s.status == ticks.UNSAFE
+    assert s.tick_clock(19_040 + 30_000) == ticks.DOWNGRADED and s.cached == 120
+    assert s.tick_clock(19_040 + 300_000) == ticks.MARKED_UNSAFE and s.status == ticks.UNSAFE
     s.observe(180 * 60_000 + 400_000, 400_040)
     assert s.status == ticks.PENDING
     events = [s.observe(180 * 60_000 + 400_000 + 1000 * k, 400_040 + 1000 * k) for k in range(1, 20)]
-    assert events[-1] == "DST_SHIFT" and s.verified == 180
+    assert events[-1] == "DST_SHIFT_DETECTED" and s.verified == 180
 
 
 def test_export_refuses(spark):

@@ -1,29 +1,25 @@
-"""Streaming forms: tick de-duplication as keyed state, and a partitioned sink for raw quotes."""
+"""Streaming form of tick de-duplication: keyed state, one tick of memory a symbol."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState
 
-from tickloom.operators.ticks import HEARTBEAT_MS, TickState
+from tickloom.operators.ticks import HEARTBEAT_MS, TickState, packed
 
 STATE = "value string, at long, count long, first_ms long, last_ms long"
 OUT = "symbol string, time_msc long, value string, suppressed_count long, first_suppressed_ms long, last_suppressed_ms long"
 
 
-def _packed(values: list[str]) -> Column:
-    """One string for the values: each with its length, nulls apart from every string."""
-    text = lambda v: F.col(v).cast("string")
-    return F.concat(*[F.coalesce(F.concat(F.length(text(v)).cast("string"), F.lit(":"), text(v)), F.lit("~")) for v in values])
-
-
 def dedup_stream(ticks: DataFrame, values: list[str], heartbeat_ms: int = HEARTBEAT_MS) -> DataFrame:
-    """Emitted ticks of a stream (symbol, time_msc, recv_ms, values); one state a symbol, kept between batches."""
+    """Emitted ticks of a stream (symbol, time_msc, recv_ms, values); one state a symbol, kept between batches.
+
+    A tick without a time is left out, as in the batch form.  Within a batch ticks are taken in order of time.
+    """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         s = TickState(heartbeat_ms)
@@ -38,12 +34,5 @@ def dedup_stream(ticks: DataFrame, values: list[str], heartbeat_ms: int = HEARTB
             state.update((s.last[0], s.at, s.count, -1 if s.first_ms is None else s.first_ms, -1 if s.last_ms is None else s.last_ms))
         yield pd.DataFrame(rows, columns=["symbol", "time_msc", "value", "suppressed_count", "first_suppressed_ms", "last_suppressed_ms"]).astype({"first_suppressed_ms": "Int64", "last_suppressed_ms": "Int64"})
 
-    packed = ticks.select("symbol", "time_msc", "recv_ms", _packed(values).alias("value"))
-    return packed.groupBy("symbol").applyInPandasWithState(run, OUT, STATE, "append", "NoTimeout")
-
-
-def quote_sink(quotes: DataFrame, path: str, checkpoint: str, interval: str = "10 seconds") -> DataStreamWriter:
-    """Raw quotes by symbol, date and hour of receipt; the trigger interval is the flush age."""
-    at = F.timestamp_millis("recv_time_utc_ms")
-    parts = quotes.withColumns({"date": F.date_format(at, "yyyy-MM-dd"), "hour": F.date_format(at, "HH")})
-    return parts.writeStream.format("parquet").partitionBy("symbol", "date", "hour").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=interval)
+    known = ticks.where("time_msc is not null").select("symbol", "time_msc", "recv_ms", packed(values, ticks).alias("value"))
+    return known.groupBy("symbol").applyInPandasWithState(run, OUT, STATE, "append", "NoTimeout")
