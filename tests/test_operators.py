@@ -1,4 +1,5 @@
 import bisect
+import json
 import random
 
 import pytest
@@ -217,7 +218,13 @@ def test_export_refuses(spark):
         export.export_rows(zero, 10**18)
 
 
-def test_compaction(spark, tmp_path):
-    spark.range(500).repartition(100).write.parquet(str(tmp_path / "many"))
-    r = export.compact(spark, str(tmp_path / "many"), str(tmp_path / "few"), ["id"])
-    assert r["ok"] and r["rows_after"] == 500 and len(spark.read.parquet(str(tmp_path / "few")).inputFiles()) <= 2
+def test_dataset_and_its_contract(spark, tmp_path):
+    f = features.build_features(_joined(spark, [100.0, 101.0], [95.0, 90.0]))
+    made = export.export_dataset(f, str(tmp_path / "d"), 10**18, origin="test")
+    assert made == json.loads((tmp_path / "d" / "dataset_contract.json").read_text()) and made["rows"] == 2
+    assert made["feature_columns"] == list(contract.CANDIDATES) and made["feature_dtypes"]["cme_trade_count"] == "bigint" and made["label_columns"] == []
+    assert spark.read.parquet(str(tmp_path / "d" / "model_features.parquet")).columns == [*contract.IDENTITY, *contract.CANDIDATES, "data_origin"]
+    with pytest.raises(FileExistsError):
+        export.export_dataset(f, str(tmp_path / "d"), 10**18)
+
+

@@ -1,7 +1,8 @@
-"""Export of closed, eligible feature rows, dataset summary and compaction."""
+"""Export of closed, eligible feature rows with their contract, and the summary of a dataset."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import is_finite
 from tickloom.plans.contract import CANDIDATES, IDENTITY
-
-CHUNK_FILES = 80
+from tickloom.sources.publish import Store
 
 
 class ExportError(ValueError):
@@ -40,20 +40,30 @@ def write_dataset(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).sortWithinPartitions("symbol_pair", "bucket_size", "feature_timestamp_utc_ns").write.mode("errorifexists").option("compression", "zstd").parquet(path)
 
 
+def dataset_contract(rows: DataFrame, watermark_ns: int, origin: str) -> dict:
+    """What a reader of an exported dataset may rely on (the names and policies are fixed values)."""
+    kinds = dict(rows.dtypes)
+    return {
+        "schema_version": "1.0", "data_origin": origin, "rows": rows.count(), "identity_columns": list(IDENTITY), "feature_columns": list(CANDIDATES), "provenance_columns": ["data_origin"],
+        "feature_dtypes": {c: kinds[c] for c in CANDIDATES}, "feature_availability": "bucket_end_utc_ns", "watermark_utc_ns": watermark_ns,
+        "null_policy": "retain_warmup_and_undefined_statistics; fit_imputation_on_training_only", "label_columns": [],
+        "split_policy": "chronological; purge_overlapping_label_horizons_after_label_design",
+    }
+
+
+def export_dataset(features: DataFrame, folder: str, watermark_ns: int, buckets: Sequence[str] = ("15s", "60s"), origin: str = "synthetic") -> dict:
+    """The dataset's file and its contract in a new folder; raises where there is nothing to export or a dataset already."""
+    store = Store(features.sparkSession, folder)
+    if store.exists("dataset_contract.json") or store.exists("model_features.parquet"):
+        raise FileExistsError(f"{folder} holds a dataset already")
+    write_dataset(export_rows(features, watermark_ns, buckets, origin), f"{store.root}/model_features.parquet")
+    contract = dataset_contract(features.sparkSession.read.parquet(f"{store.root}/model_features.parquet"), watermark_ns, origin)
+    store.write_text("dataset_contract.json", json.dumps(contract, indent=2, sort_keys=True))
+    return contract
+
+
 def summarize_dataset(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.sql("""
         SELECT symbol_pair, bucket_size, count(*) AS n_rows, min(feature_timestamp_utc_ns) AS first_ts, max(feature_timestamp_utc_ns) AS last_ts,
                round(avg(mt5_join_safe_tick_ratio), 6) AS mean_join_safe_ratio
         FROM {rows} GROUP BY symbol_pair, bucket_size""", rows=rows)
-
-
-def compact(spark: SparkSession, source: str, target: str, order: Sequence[str], chunk_files: int = CHUNK_FILES) -> dict:
-    """Rewrite a closed partition's many files as few, sorted within each; the sources may go only if the counts agree.
-
-    Returns the counts and whether they agree; deleting the sources is the caller's step.
-    """
-    table = spark.read.parquet(source)
-    files = len(table.inputFiles())
-    table.coalesce(max(1, -(-files // chunk_files))).sortWithinPartitions(*order).write.mode("errorifexists").option("compression", "zstd").parquet(target)
-    before, after = table.count(), spark.read.parquet(target).count()
-    return {"files": files, "rows_before": before, "rows_after": after, "ok": before == after}

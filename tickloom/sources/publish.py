@@ -58,10 +58,13 @@ class Store:
                 found.add(folder)
         return sorted(found - {""})
 
+    def sizes(self, leaf: str) -> list[tuple[str, int]]:
+        """Names and bytes of the data files of one folder."""
+        found = [(s.getPath().getName(), s.getLen()) for s in self.fs.listStatus(self._path(leaf)) if s.isFile()]
+        return sorted(x for x in found if not x[0].startswith(("_", ".")))
+
     def files(self, leaf: str) -> list[str]:
-        """Names of the data files of one folder."""
-        found = [s.getPath().getName() for s in self.fs.listStatus(self._path(leaf)) if s.isFile()]
-        return sorted(n for n in found if not n.startswith(("_", ".")))
+        return [name for name, _ in self.sizes(leaf)]
 
     def rename(self, old: str, new: str) -> None:
         """Move a folder to a free place; where the store refuses, again after twice the wait."""
