@@ -7,6 +7,13 @@ from itertools import combinations
 FEATURE_SUBSET = ("cme_trade_count", "cme_total_volume", "cme_buy_volume_ratio", "cme_max_single_trade_volume", "mt5_spread_points_max", "mt5_tick_count")
 LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
+#: Columns derived from ``lineitem`` with nulls, NaN, infinities and one constant, in SQL of both engines.
+WIDE = {
+    f"f{k:02d}": f"CASE WHEN (l_orderkey + {k}) % {5 + k % 7} = 0 THEN NULL WHEN (l_orderkey * 3 + {k}) % 101 = 0 THEN CAST('NaN' AS DOUBLE) WHEN (l_orderkey + l_linenumber) % 97 = {k} THEN CAST('Infinity' AS DOUBLE) "
+    f"ELSE CAST({('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_partkey')[k % 5]} AS DOUBLE) * {1 + k % 3} + (l_partkey * {k + 1}) % 13 END"
+    for k in range(36)
+} | {"f36": "CAST(7 AS DOUBLE)"}
+
 _E = """
 e AS (SELECT event_id, event_type, 'S' || (user_id % 4) AS symbol, epoch_us(ts) AS us, epoch_us(ts) // 1000 AS ms, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events),
 q AS (SELECT *, k * 13 - 200 AS r, (k * 13 - 200) BETWEEN -250 AND 50 AS safe, ((k * 13 - 200) < -250 OR (k * 13 - 200) > 1000) AS outlier FROM e WHERE event_type NOT IN ('purchase', 'click')),
@@ -160,4 +167,19 @@ f(symbol, i, since, step, held, a, b, emit) AS (
   FROM f JOIN (SELECT * FROM s) s ON s.symbol = f.symbol AND s.i = f.i + 1, LATERAL (SELECT s.step <> f.step OR s.ms - f.since >= 3600000 AS x))
 SELECT s.symbol, s.ms AS time_msc_utc_ms, s.event_id AS monotonic_ns, s.step, f.emit AS suppressed_count, p.a AS first_suppressed_ms, p.b AS last_suppressed_ms
 FROM f JOIN s ON s.symbol = f.symbol AND s.i = f.i LEFT JOIN f p ON p.symbol = f.symbol AND p.i = f.i - 1 WHERE f.emit >= 0""",
+    "asof_invalid_trades": _with("tt AS (SELECT event_id, event_id % 7 > 0 AS ok FROM t)", _M, select="SELECT symbol, CASE WHEN NOT ok THEN 'missing_required_columns' ELSE coalesce(reason, 'matched') END AS reason, count(*) AS n, CAST(sum(size) AS BIGINT) AS volume FROM m JOIN tt USING (event_id) GROUP BY ALL"),
+    "bars_in_overlap": _with(_TB, _QB, _J, """
+o AS (SELECT symbol, max(lo) AS lo, min(hi) AS hi FROM (SELECT symbol, min(ns) AS lo, max(ns) - 345600000000000 AS hi FROM t GROUP BY symbol UNION ALL SELECT symbol, min(ms) * 1000000 + 345600000000000, max(ms) * 1000000 FROM q GROUP BY symbol) GROUP BY symbol)""",
+        select="SELECT symbol, bucket_size, count(*) AS bars, min(s) AS first_start, max(f) AS last_end FROM j JOIN o USING (symbol) WHERE f > lo AND s <= hi GROUP BY ALL"),
+    "exact_quantiles": "WITH r AS (SELECT l_returnflag, l_extendedprice AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) "
+        "SELECT l_returnflag, " + ", ".join(f"max(v) FILTER (WHERE k = CAST(floor((n - 1) * {q} + 0.5) AS BIGINT)) AS {name}" for name, q in (("p01", 0.01), ("p50", 0.5), ("p95", 0.95), ("p99", 0.99))) + " FROM r GROUP BY ALL",
+    "footer_bounds": "SELECT count(*) AS n, " + ", ".join(f"{f}({c}) AS {f}_{c}" for c in ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice") for f in ("min", "max", "count")) + " FROM lineitem",
+    "correlation_wide": "WITH w AS (SELECT row_number() OVER () AS id, l_returnflag, " + ", ".join(f"{e} AS {c}" for c, e in WIDE.items()) + " FROM lineitem), "
+        "l AS (SELECT * FROM (UNPIVOT w ON " + ", ".join(WIDE) + " INTO NAME f VALUE v) WHERE isfinite(v)), "
+        "m AS (SELECT a.l_returnflag, a.f AS feature_a, b.f AS feature_b, count(*) AS n, CASE WHEN count(*) >= 3 AND min(a.v) < max(a.v) AND min(b.v) < max(b.v) THEN corr(a.v, b.v) END AS r "
+        "FROM l a JOIN l b ON a.id = b.id AND a.f < b.f GROUP BY ALL) SELECT l_returnflag, feature_a, feature_b, n, round(r, 6) AS r FROM m",
+    "reference_table": _with(select="SELECT symbol, aggressor_side, is_bbo_available, is_reference_trade_valid, count(*) AS n, sum(size) AS volume, round(sum(spread), 4) AS spread, round(avg(mid), 4) AS mid, min(late) AS least_latency FROM ("
+        "SELECT symbol, size, coalesce(nullif(side, 'x'), '') AS aggressor_side, true AS is_bbo_available, value > 0 AS is_reference_trade_valid, CASE WHEN size > 1 THEN (value + size) - (value - 1) END AS spread, CASE WHEN size > 1 THEN ((value - 1) + (value + size)) / 2 END AS mid, size * 1000000 AS late FROM t) GROUP BY ALL"),
 }
+SQL["tick_dedup_slices"] = SQL["tick_dedup"]
+SQL["quantile_large_bars"] = SQL["quantile_nearest"]

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import exprs as X
-from tickloom.operators import asof, bars, export, features, metrics, normalize, quality, stats, ticks
+from tickloom.operators import asof, bars, export, features, metrics, normalize, quality, ranks, stats, ticks
+from tickloom.plans.oracle import WIDE
+from tickloom.sources import trees
 from tickloom.sources.adapters import quotes, trades
 
 HOUR = 3_600_000_000_000
@@ -306,11 +308,64 @@ def offset_candidates(s: SparkSession, d: str) -> DataFrame:
     return ticks.offset_candidates(q, (-60, 0, 60, 120), ["symbol"]).withColumns({"age_p50": _r("age_p50"), "age_p95": _r("age_p95")})
 
 
+def asof_invalid_trades(s: SparkSession, d: str) -> DataFrame:
+    """Reasons where every seventh trade is invalid: these have a reason of their own and never match."""
+    t = trades(s, d).withColumn("is_reference_trade_valid", F.pmod("event_id", F.lit(7)) > 0)
+    m = asof.asof_match(t, quotes(s, d), TOLERANCE, tie=["monotonic_ns"])
+    return m.groupBy("symbol", F.coalesce("reason", F.lit("matched")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume"))
+
+
+def bars_in_overlap(s: SparkSession, d: str) -> DataFrame:
+    """Bars that touch the time both sides cover, the trades taken as four days shorter at their end, the quotes at their beginning."""
+    four = 345_600_000_000_000
+    days = lambda rows, c, lo, hi: rows.groupBy("symbol").agg((F.min(c) + lo).alias("lo"), (F.max(c) - hi).alias("hi")).select("symbol", F.explode(F.array("lo", "hi")).alias("ns"))
+    a, b = days(trades(s, d), "event_time_utc_ns", 0, four), days(quotes(s, d).withColumn("ns", F.col("quote_ms") * 1_000_000), "ns", four, 0)
+    kept = features.in_overlap(_joined(s, d), features.overlap_window(a, "ns", b, "ns", ["symbol"]), ["symbol"])
+    return kept.groupBy("symbol", "bucket_size").agg(F.count(F.lit(1)).alias("bars"), F.min("bucket_start_utc_ns").alias("first_start"), F.max("bucket_end_utc_ns").alias("last_end"))
+
+
+def exact_quantiles(s: SparkSession, d: str) -> DataFrame:
+    return ranks.nearest_quantiles(_lines(s, d), ["l_returnflag"], "l_extendedprice", {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99}, slice_rows=2000)
+
+
+def footer_bounds(s: SparkSession, d: str) -> DataFrame:
+    return trees.footer_statistics(s, f"{d}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
+
+
+def correlation_wide(s: SparkSession, d: str) -> DataFrame:
+    """All 666 pairs of 37 columns with nulls, NaN, infinities and a constant."""
+    w = _lines(s, d).select("l_returnflag", *[F.expr(e).alias(c) for c, e in WIDE.items()])
+    return stats.correlation(w, ["l_returnflag"], list(WIDE)).withColumn("r", _r("r"))
+
+
+def reference_table(s: SparkSession, d: str) -> DataFrame:
+    """The trades as a vendor's table with best bid and offer, normalised into the full layout."""
+    t = trades(s, d)
+    code = F.when(F.col("aggressor_side") == "BUY", "B").when(F.col("aggressor_side") == "SELL", "A").otherwise("N")
+    v = t.select("symbol", F.col("event_time_utc_ns").alias("ts_event"), (F.col("event_time_utc_ns") + F.col("size") * 1_000_000).alias("ts_recv"), F.lit("T").alias("action"), code.alias("side"), "price", "size", F.when(F.col("size") > 1, F.col("price") - 1).alias("bid_px_00"), (F.col("price") + F.col("size")).alias("ask_px_00"))
+    n = normalize.normalize_trades(v, ["S0", "S1", "S2", "S3"])
+    late = F.col("receive_time_utc_ns") - F.col("event_time_utc_ns")
+    return n.groupBy("symbol", "aggressor_side", "is_bbo_available", "is_reference_trade_valid").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume"), _r(F.sum("spread"), 4).alias("spread"), _r(F.avg("mid"), 4).alias("mid"), F.min(late).alias("least_latency"))
+
+
+def tick_dedup_slices(s: SparkSession, d: str) -> DataFrame:
+    """The same de-duplication for keys of any size, in slices of time."""
+    t = quotes(s, d).select("symbol", "time_msc_utc_ms", "monotonic_ns", F.floor(F.col("mid") / 40).cast("long").alias("step"))
+    return ticks.dedup_ticks(t, ["symbol"], "time_msc_utc_ms", ["step"], "monotonic_ns", 3_600_000, group_rows=100)
+
+
+def quantile_large_bars(s: SparkSession, d: str) -> DataFrame:
+    """The same quantiles, with every bar of more than ten quotes taken as a large one."""
+    b = bars.quote_bars(quotes(s, d), SIZES, ["monotonic_ns"], large_bar=10)
+    return b.select("symbol", "bucket_size", "bucket_start_utc_ns", "spread_points_p50", "spread_points_p95", "residual_ms_p50", "residual_ms_p95")
+
+
 QUERIES: dict[str, Q] = {f.__name__: f for f in (
     trade_bars, trade_size_stats, quote_bars, quote_twap, quantile_nearest, bar_full_join, bar_reject_reason, bar_alignment_metrics, asof_match, asof_reasons, asof_tolerance_table, match_rate_by_hour, unmatched_sample,
     normalize_ticks, run_window, canonical_symbols, signed_size, trade_validity, telemetry_quality, reference_quality, value_counts, close_returns, basis_change, range_bps, volume_ratios, trailing_zscore, quality_flag, feature_row_ids,
     feature_table, missingness, distribution, stability, correlation, correlation_p_values, top_missing, top_abs_corr, watermark_export, dataset_summary, overlap_window, symbol_pairs, eda_row_accounting, scaled_prices, union_all, tick_dedup,
     alignment_totals, alignment_by_hour, bar_reason_counts, quotes_by_hour, reference_bounds, feature_flag_counts, candidate_rates, most_null, offset_candidates,
+    asof_invalid_trades, bars_in_overlap, exact_quantiles, footer_bounds, correlation_wide, reference_table, tick_dedup_slices, quantile_large_bars,
 )}
 
 from tickloom.plans.oracle import SQL  # noqa: E402,F401
