@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import components, decontamination, exact_dedup, line_dedup, lm_score, ngram_join, quality, registry, secrets, sentencepiece_bpe, sharding, substring_dedup
+from tickloom.llm import components, decontamination, exact_dedup, hashing, line_dedup, lm_score, ngram_join, quality, registry, secrets, sentencepiece_bpe, sharding, substring_dedup
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, word string"
@@ -385,6 +385,43 @@ def test_equal_runs_with_decoy_leaders_against_brute_force(make):
     assert not missed
 
 
+def _pair_has_passage(a, b):
+    """Whether the chainer finds a passage between two arrays of word hashes, each against the other."""
+    s = substring_dedup
+    (ha, pa_), (hb, pb) = s.seeds(a), s.seeds(b)
+    first = {}
+    for h, p in zip(hb.tolist(), pb.tolist(), strict=True):
+        first.setdefault(h, p)
+    m = [(p, first[h]) for h, p in zip(ha.tolist(), pa_.tolist(), strict=True) if h in first]
+    if len(m) < 2:
+        return False
+    px, py = np.array([x for x, _ in m]), np.array([y for _, y in m])
+    for line in s.chain(px, py):
+        for ends in (True, False):
+            x0, x1, y0, y1, same = s.align(a, b, [int(px[i]) for i in line], [int(py[i]) for i in line], ends=ends)
+            if len(line) >= 2 and min(x1 - x0, y1 - y0) >= 50 and same >= 0.8 * max(x1 - x0, y1 - y0):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("identity", [0.95, 0.9])
+def test_fuzzy_passages_among_strays_against_all_pairs(make, identity):
+    """Texts that hold short pieces of the same passages hide no link that an all-pairs run of the same chainer finds."""
+    rng = random.Random(int(100 * identity))
+    texts, stray = [], []
+    for _ in range(8):
+        p = [f"p{rng.randrange(10**6)}" for _ in range(120)]
+        changed = lambda p=p: [w if rng.random() < identity else f"c{rng.randrange(10**6)}" for w in p]
+        texts += [prose(rng, 40).split() + changed() + prose(rng, 40).split() for _ in range(2)]
+        stray += [prose(rng, 12).split() + p[k : k + 14] + prose(rng, 12).split() for k in range(0, 107, 3) for _ in range(2)]
+    hashes = list(hashing.of_each(" ".join(t).encode() for t in texts))
+    want = {i for i in range(0, len(texts), 2) if _pair_has_passage(hashes[i], hashes[i + 1]) or _pair_has_passage(hashes[i + 1], hashes[i])}
+    want |= {i + 1 for i in want}
+    rows = list(enumerate(" ".join(t) for t in texts + stray))
+    got = {r.doc for r in substring_dedup.repeated_passages(make(rows)).collect()}
+    assert got <= set(range(len(texts))) and len(got & want) >= 0.9 * len(want) and len(want) >= 10
+
+
 def test_chain_against_brute_force():
     rng = random.Random(6)
     for _ in range(40):
