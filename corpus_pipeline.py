@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontamination, line_dedup, ngram_join, quality, sentencepiece_bpe
-from tickloom.llm.common import P, cut, documents
+from tickloom.llm.common import P, cut, discard, documents
 
 
 def rate_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +44,18 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", rate_quality), ("lines", drop_lines), ("near_copies", drop_near_copies), ("leaks", drop_leaks), ("tokens", tokenize)]
 
-#: The quality score and the tokenizer have no SQL; tests hold the pipeline against a brute-force version.
+#: The quality score and the tokenizer have no SQL; a test holds every stage against a brute-force version of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages over the whole table; what a stage wrote is deleted when the next one has been written."""
+    docs, before = documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = cut(docs, f"stage-{name}")
+            if before is not None:
+                discard(before)
+            before = docs
     return docs

@@ -8,7 +8,7 @@ frequent) and reads one slot of them.  No line is joined with another line.
 
 Defined results: a null or empty text is one empty line; each row is a document (rows that share a doc_id count
 separately, and the largest doc_id keeps a line in all its rows); a null doc_id is smaller than any other; extra
-columns pass through.  A line is identified by 128 bits of hash.
+columns pass through.  A line is placed by 128 bits of hash; a probe compares 64 of them, so does the dropping.
 """
 
 from __future__ import annotations

@@ -112,16 +112,17 @@ def held_out(id_col: str, folds: int = 3, fold: int = 1) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> dict:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+    """Fit on at most ``sample`` labelled identifiers outside the held-out fold, with one text each: of documents that share an identifier the one whose text has the least hash."""
     known = labels.select(F.col(id_col).alias(f"{P}id"), F.col(label_col).cast("int").alias(f"{P}y")).where(F.col(f"{P}id").isNotNull() & F.col(f"{P}y").isin(0, 1) & ~held_out(f"{P}id"))
     some = known.orderBy(F.xxhash64(f"{P}id"), f"{P}id", f"{P}y").limit(sample)
-    rows = docs.select(F.col(id_col).alias(f"{P}id"), F.col(text_col).alias("text")).join(F.broadcast(some), f"{P}id")
+    rows = docs.select(F.col(f"`{id_col}`").alias(f"{P}id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(some), f"{P}id")
+    one = rows.groupBy(f"{P}id", f"{P}y").agg(F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text")).alias("t")).select(f"{P}id", f"{P}y", "t.text")
 
     @F.pandas_udf("array<double>")
     def vector(text: pd.Series) -> pd.Series:
         return pd.Series([features(t).tolist() for t in text])
 
-    got = rows.select(f"{P}id", f"{P}y", vector("text").alias("x")).collect()  # at most ``sample`` rows of features
+    got = one.select(f"{P}id", f"{P}y", vector("text").alias("x")).collect()  # at most ``sample`` rows of features
     got.sort(key=lambda r: (r[0], r[1], r[2]))
     return fit(np.array([r[2] for r in got], dtype=np.float64).reshape(len(got), FEATURES), np.array([r[1] for r in got], dtype=np.int64))
 
