@@ -34,9 +34,17 @@ def test_commands_of_all_stages(spark, run, tmp_path, monkeypatch, capsys):
     assert call("bar-alignment", **both, report=tmp_path / "other", map=pairs, symbols=f"{mt5},US30") == 1
     assert call("tick-alignment", **both, report=tmp_path / "other", map=pairs, symbols=f"{mt5},US30") == 1
     assert json.loads((tmp_path / "other" / "tick_alignment.json").read_text())["statuses"]["US30"] == "cme"
-    assert call("eda", features=tmp_path / "gold", out=tmp_path / "eda", candidates="cme_trade_count,mt5_tick_count,basis_close_bps") == 0
+    three = {"features": tmp_path / "gold", "candidates": "cme_trade_count,mt5_tick_count,basis_close_bps"}
+    assert call("eda", **three, out=tmp_path / "eda", report=at["report"], least_rows=5) == 0
     assert spark.read.parquet(str(tmp_path / "eda" / "missingness")).count() == 3 * 4
-    assert sorted(p.stem for p in (tmp_path / "reports").glob("*.json")) == ["bar_alignment", "feature_quality", "reference_quality", "telemetry_quality", "tick_alignment"]
+    found = json.loads((tmp_path / "reports" / "feature_eda.json").read_text())
+    assert found["eligible"] + found["excluded"] == found["rows"] and len(found["metrics"]["strongest"]) > 0
+    assert call("eda", **three, out=tmp_path / "eda", report=tmp_path / "third", least_rows=5) == 3
+    assert call("eda", **three, out=tmp_path / "eda2", report=tmp_path / "third", pairs="YM_US30", least_rows=5) == 1
+    assert call("export", features=tmp_path / "gold", out=tmp_path / "dataset", watermark_ns=2 * 10**18) == 0
+    assert call("export", features=tmp_path / "gold", out=tmp_path / "dataset", watermark_ns=2 * 10**18) == 3
+    assert call("compact", root=tmp_path / "gold", layer="gold", today="2026-01-06", order="bucket_start_utc_ns") == 0
+    assert sorted(p.stem for p in (tmp_path / "reports").glob("*.json")) == ["bar_alignment", "feature_eda", "feature_quality", "reference_quality", "telemetry_quality", "tick_alignment"]
     capsys.readouterr()
     assert call("plan", first="2026-01-05", last="2026-01-06", runs=tmp_path, vendor=tmp_path) == 0
     assert [d["reasons"] for d in json.loads(capsys.readouterr().out)["days"]] == [["no quotes"]] * 2

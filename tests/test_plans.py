@@ -46,9 +46,9 @@ def test_stage_runner(tmp_path):
     assert [x["status"] for x in r] == ["FAIL", "SKIPPED", "PASS"] and r[1]["blocked_by"] == ["a"]
     with pytest.raises(ValueError):
         lineage.run_stages(tmp_path / "x", [lineage.Stage("b", ("a",), boom)])
-    lineage.publish_json(tmp_path / "one.json", {"a": 1})
+    lineage.write_once(tmp_path / "one.json", {"a": 1})
     with pytest.raises(FileExistsError):
-        lineage.publish_json(tmp_path / "one.json", {"a": 2})
+        lineage.write_once(tmp_path / "one.json", {"a": 2})
     with pytest.raises(ValueError):
         lineage.artifact(tmp_path / ".." / "x", tmp_path)
 

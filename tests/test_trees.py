@@ -101,7 +101,7 @@ def test_dedup_in_slices_equals_groups(spark, values):
 def test_metadata_trust_and_days(tmp_path):
     good = {"started_at_utc": "2026-01-05T10:00:00Z", "ended_at_utc": "2026-01-05T11:00:00Z", "verified_offset_min": 120, "metadata_verified_for_normalization": True, "timestamp_semantics_status": "OFFSET_VERIFIED_FOR_SESSION"}
     for name, more in (("r1", {}), ("r2", {"timestamp_semantics_status": "TIMESTAMP_SEMANTICS_PENDING"}), ("r3", {"verified_offset_min": True})):
-        lineage.publish_json(tmp_path / name / "summary.json", good | more)
+        lineage.write_once(tmp_path / name / "summary.json", good | more)
     assert lineage.resolve_metadata(tmp_path, "2026-01-05")["offset_min"] == 120
     for run in ("r2", "r3", "r4"):
         with pytest.raises((ValueError, LookupError)):

@@ -122,14 +122,14 @@ def ingest_trades(args: argparse.Namespace) -> int:
     from pyspark.sql import functions as F
 
     from tickloom.operators.normalize import ingest_counts, normalize_trades
-    from tickloom.plans.lineage import publish_json
+    from tickloom.plans.lineage import write_once
     from tickloom.sources.selection import vendor_files
     from tickloom.sources.trees import concat_files, write_reference
 
     files = vendor_files(args.source, args.date)
     raw, symbols = concat_files(_session(), files, [], source="source_file"), args.symbols.split(",")
     out = normalize_trades(raw, symbols, ingest_date=args.date, source=args.vendor, vendor=args.vendor, dataset=args.dataset, schema=args.schema).withColumn("date", F.lit(args.date))
-    publish_json(Path(args.manifest), write_reference(out, args.out, args.source, args.force) | {"counts": ingest_counts(raw, symbols)})
+    write_once(Path(args.manifest), write_reference(out, args.out, args.source, args.force) | {"counts": ingest_counts(raw, symbols)})
     return 0
 
 
@@ -238,14 +238,38 @@ def feature_quality(args: argparse.Namespace) -> int:
 
 @_guarded
 def eda(args: argparse.Namespace) -> int:
-    from tickloom.operators.metrics import most_null
+    """Tables and a report of the eligible feature rows; 1 where rows or pairs are too few or the contract is broken."""
     from tickloom.plans.contract import CANDIDATES
-    from tickloom.plans.reports import table, write_eda
+    from tickloom.plans.reports import explore, write_report
 
-    f = _session().read.parquet(args.features).where("is_model_eligible_candidate")
     names = args.candidates.split(",") if args.candidates else CANDIDATES
-    write_eda(f, args.out, ["symbol_pair", "bucket_size"], names)
-    print(json.dumps({"most_null": table(most_null(f, names))}))
+    pairs = args.pairs.split(",") if args.pairs else []
+    status, found = explore(_session().read.parquet(args.features), args.out, names, pairs, args.least_rows, args.force)
+    tables = {k: v for k, v in found.items() if isinstance(v, list)}
+    write_report(Path(args.report), "feature_eda", status, tables, **{k: v for k, v in found.items() if k not in tables})
+    print(json.dumps({"status": status} | {k: v for k, v in found.items() if k not in tables}))
+    return _graded(status)
+
+
+@_guarded
+def compact(args: argparse.Namespace) -> int:
+    """Fewer files in the leaves of days before today; a leaf whose content would change is left as it is."""
+    from tickloom.sources.compaction import ContentChanged, compact_closed
+
+    try:
+        print(json.dumps(compact_closed(_session(), args.root, args.layer, args.today, args.order.split(","), args.target_mb << 20)))
+    except ContentChanged as e:
+        print(e, file=sys.stderr)
+        return 1
+    return 0
+
+
+@_guarded
+def export(args: argparse.Namespace) -> int:
+    """The dataset of closed, eligible rows with its contract."""
+    from tickloom.operators.export import export_dataset
+
+    print(json.dumps(export_dataset(_session().read.parquet(args.features), args.out, args.watermark_ns, args.buckets.split(","), args.origin)))
     return 0
 
 
@@ -272,7 +296,9 @@ COMMANDS = {
     "bar-alignment": (bar_alignment, {"trades": None, "quotes": None, "report": None, "map": "", "symbols": "", "buckets": "15s,60s"}),
     "build-features": (build_features, {"trades": None, "quotes": None, "date": None, "out": None, "map": "", "buckets": "15s,60s", "force": False}),
     "feature-quality": (feature_quality, {"features": None, "report": None, "pairs": "", "buckets": "15s,60s"}),
-    "eda": (eda, {"features": None, "out": None, "candidates": ""}),
+    "eda": (eda, {"features": None, "out": None, "report": None, "candidates": "", "pairs": "", "least-rows": 5000, "force": False}),
+    "compact": (compact, {"root": None, "layer": None, "today": None, "order": None, "target-mb": 256}),
+    "export": (export, {"features": None, "out": None, "watermark-ns": 0, "buckets": "15s,60s", "origin": "synthetic"}),
     "plan": (plan, {"first": None, "last": None, "runs": None, "vendor": None, "stages": "normalize,quality,align,features", "day-cost": 0.0, "day-records": 0, "max-cost": 10.0, "max-records": 100_000_000}),
 }
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import bucket_sizes, ns_to_ms
 from tickloom.operators import asof, bars, export, features, normalize, quality
-from tickloom.plans.lineage import FAIL, PASS, Stage, new_run, publish_json, run_stages, verify
+from tickloom.plans.lineage import FAIL, PASS, Stage, new_run, write_once, run_stages, verify
 from tickloom.sources import fixtures
 
 SIZES = "15s,60s"
@@ -90,7 +90,7 @@ def run_demo(spark: SparkSession, root: str, run_id: str, seconds: int = 120, se
     ]
     records = run_stages(folder, stages)
     manifest = {"run_id": run_id, "status": PASS if all(r["status"] == PASS for r in records) else FAIL, "stages": records}
-    publish_json(folder / "manifest.json", manifest)
+    write_once(folder / "manifest.json", manifest)
     return manifest
 
 
