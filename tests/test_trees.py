@@ -98,6 +98,31 @@ def test_dedup_in_slices_equals_groups(spark, values):
     assert run(10) == whole and len(whole) > 500
 
 
+def test_runs_from_manifests(tmp_path):
+    """A run without a summary counts by its logger's manifest; a summary's word comes first."""
+    clock = lambda state, offset: {"timestamp_semantics": {"status": state, "verified_offset_min": offset}}
+    ok, pending = "OFFSET_VERIFIED_FOR_SESSION", "TIMESTAMP_SEMANTICS_PENDING"
+    runs = {
+        "run_20260105_a": (None, clock(ok, 120)), "run_20260105_b": (None, clock(pending, 120)), "run_20260105_c": (None, clock(ok, True)), "run_20260106_d": ({"metadata_verified_for_normalization": False}, clock(ok, 60)),
+        "run_20260107_e": ({"metadata_verified_for_normalization": True, "timestamp_semantics_status": ok, "started_at_utc": "2026-01-07T23:00:00Z"}, clock(pending, 180)), "run_20260108_f": (None, None),
+    }
+    for name, (summary, manifest) in runs.items():
+        folder = tmp_path / "logger_runs" / name
+        folder.mkdir(parents=True)
+        for file, doc in (("summary.json", summary), ("logger_manifest.json", manifest)):
+            if doc is not None:
+                (folder / file).write_text(json.dumps(doc))
+    (tmp_path / "logger_runs" / "run_20260108_f" / "summary.json").write_text("{broken")
+    got = {r.run_id: (r.verified, r.offset_min, r.day) for r in lineage.read_runs(tmp_path)}
+    assert got == {"run_20260105_a": (True, 120, "2026-01-05"), "run_20260105_b": (False, None, "2026-01-05"), "run_20260105_c": (False, None, "2026-01-05"), "run_20260106_d": (False, None, "2026-01-06"), "run_20260107_e": (True, 180, "2026-01-07"), "run_20260108_f": (False, None, "2026-01-08")}
+    assert lineage.resolve_metadata(tmp_path, "2026-01-05")["offset_min"] == 120 and lineage.resolve_metadata(tmp_path, "2026-01-07", run_id="run_20260107_e")["offset_min"] == 180
+    for day in ("2026-01-06", "2026-01-08"):
+        with pytest.raises(LookupError):
+            lineage.resolve_metadata(tmp_path, day)
+    with pytest.raises(ValueError):
+        lineage.resolve_metadata(tmp_path, "2026-01-06", run_id="run_20260106_d")
+
+
 def test_metadata_trust_and_days(tmp_path):
     good = {"started_at_utc": "2026-01-05T10:00:00Z", "ended_at_utc": "2026-01-05T11:00:00Z", "verified_offset_min": 120, "metadata_verified_for_normalization": True, "timestamp_semantics_status": "OFFSET_VERIFIED_FOR_SESSION"}
     for name, more in (("r1", {}), ("r2", {"timestamp_semantics_status": "TIMESTAMP_SEMANTICS_PENDING"}), ("r3", {"verified_offset_min": True})):
