@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.exprs import bucket_sizes, ns_to_ms
-from tickloom.operators import asof, bars, export, features, normalize, quality
+from tickloom.operators import asof, bars, export, features, metrics, normalize, quality
+from tickloom.plans.contract import ALL, FORBIDDEN
 from tickloom.plans.lineage import FAIL, PASS, Stage, new_run, write_once, run_stages, verify
 from tickloom.sources import fixtures
 
@@ -59,16 +60,18 @@ def run_demo(spark: SparkSession, root: str, run_id: str, seconds: int = 120, se
         m = {r["symbol"]: r.asDict() for r in quality.telemetry_metrics(read("silver_quotes")).collect()}
         t = {r["symbol"]: r.asDict() for r in quality.reference_metrics(read("silver_trades")).collect()}
         _need(quality.decide_telemetry(m, [b for b, _ in fixtures.PAIRS.values()], {"NDX100": 50}), "telemetry quality")
-        rows = sum(x["rows"] for x in t.values())
-        _need(quality.decide_reference(rows, rows, t, list(fixtures.PAIRS)), "reference quality")
+        rows, valid = (sum(x[k] for x in t.values()) for k in ("rows", "valid"))
+        missing = sum(r["missing_bbo"] or 0 for r in metrics.reference_summary(read("silver_trades").where("is_bbo_available")).collect())
+        _need(quality.decide_reference(rows, valid, t, list(fixtures.PAIRS), missing_bbo=missing), "reference quality")
         return [], {"quotes": sum(x["rows"] for x in m.values()), "trades": rows}
 
     def alignment():
         mapped = F.create_map(*[F.lit(x) for a, (b, _) in fixtures.PAIRS.items() for x in (a, b)])
         t = read("silver_trades").withColumns({"event_ms": ns_to_ms(F.col("event_time_utc_ns")), "symbol": F.element_at(mapped, F.col("symbol"))})
         q = read("silver_quotes").withColumn("quote_ms", F.col("time_msc_utc_ms"))
+        statuses = metrics.alignment_statuses(t, q, [b for b, _ in fixtures.PAIRS.values()], 250)
         r = asof.asof_match(t, q, 250, tie=["monotonic_ns"]).agg(F.avg(F.col("is_matched").cast("double")), F.sum(F.when(~F.col("is_matched"), F.col("size")).otherwise(0)) / F.sum("size")).first()
-        _need(quality.decide_alignment({"ES": "OK", "NQ": "OK"}, r[0], r[1]), "alignment")
+        _need(quality.decide_alignment(statuses, r[0], r[1]), "alignment")
         return [], {"match_rate": r[0]}
 
     def build():
@@ -76,7 +79,8 @@ def run_demo(spark: SparkSession, root: str, run_id: str, seconds: int = 120, se
 
     def feature_quality():
         g = read("gold").groupBy("symbol_pair", "bucket_size").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_model_eligible_candidate").cast("long")).alias("eligible")).collect()
-        _need(quality.decide_features([], {(r[0], r[1]): {"rows": r[2], "eligible": r[3]} for r in g}, [f"{a}_{b}" for a, (b, _) in fixtures.PAIRS.items()]), "feature quality")
+        errors = metrics.contract_errors(read("gold"), ALL, FORBIDDEN)
+        _need(quality.decide_features(errors, {(r[0], r[1]): {"rows": r[2], "eligible": r[3]} for r in g}, [f"{a}_{b}" for a, (b, _) in fixtures.PAIRS.items()]), "feature quality")
         return [], {}
 
     def publish():
