@@ -102,7 +102,8 @@ def reference_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",), even
     sides = next((p for p in (("bid_px_00", "ask_px_00"), ("bid", "ask")) if set(p) <= has), None)
     bid, ask = map(F.col, sides) if sides else (null, null)
     rows = trades.withColumns({"latency_ms": late, "bbo_spread": ask - bid})
-    missing = _count(bid.isNull() | ask.isNull()) if sides else F.lit(None).cast("long")
+    absent = ~F.col("is_bbo_available") if "is_bbo_available" in has else bid.isNull() | ask.isNull()  # the full layout says it by file
+    missing = _count(absent) if sides else F.lit(None).cast("long")
     when = lambda f, c, n: (f(c) if c in has else F.lit(None).cast("long")).alias(n)
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), missing.alias("missing_bbo"), when(F.min, event, "first_event"), when(F.max, event, "last_event"), when(F.min, receive, "first_receive"), when(F.max, receive, "last_receive"), *summary("latency_ms"), *summary("bbo_spread"))
 
