@@ -16,11 +16,12 @@ QUOTE_FIELDS = ("mid", "spread_price", "spread_points", "residual_ms")
 REASONS = ("no_overlap_window", "missing_required_columns", "no_mt5_rows_for_symbol", "no_prior_quote", "mt5_not_join_safe", "outside_tolerance")
 
 
-def asof_match(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "symbol", tie: Sequence[str] = (), slice_ms: int = 86_400_000, fields: Sequence[str] = QUOTE_FIELDS) -> DataFrame:
+def asof_match(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "symbol", tie: Sequence[str] = (), slice_ms: int = 86_400_000, fields: Sequence[str] = QUOTE_FIELDS, valid: str | None = "is_reference_trade_valid") -> DataFrame:
     """``trades`` with quote_ms, delta_ms, the quote's fields, is_matched and reason.
 
     Trades need ``event_ms`` and quotes ``quote_ms``, ``is_join_safe``; a quote of the trade's own millisecond counts.
-    Of quotes of one time the last by ``tie`` wins.  A trade that is marked as invalid, or without a time, is never matched.
+    Of quotes of one time the last by ``tie`` wins.  A trade without a time, or one that the column ``valid`` marks as
+    invalid, is never matched; without that column, or with ``valid=None``, no mark counts.
     """
     if tolerance_ms <= 0:
         raise ValueError("the tolerance must be positive")
@@ -40,7 +41,7 @@ def asof_match(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str
     done = seen.join(carried, ["__k", "__s"], "left")
     newest, quote = F.coalesce("__any", "any0"), F.coalesce("__last", "safe0.q")
     done = done.withColumns({"__n": newest, "__m": quote}).withColumn("__delta", F.col("__t") - F.col("__m.quote_ms"))
-    usable = F.col("__t").isNotNull() & (F.coalesce("__row.is_reference_trade_valid", F.lit(False)) if "is_reference_trade_valid" in trades.columns else F.lit(True))
+    usable = F.col("__t").isNotNull() & (F.coalesce(f"__row.{valid}", F.lit(False)) if valid in trades.columns else F.lit(True))
     hit = usable & F.coalesce(F.col("__delta") <= tolerance_ms, F.lit(False))
     reason = F.when(hit, None).when(~usable, "missing_required_columns").when(~F.coalesce("has_quotes", F.lit(False)), "no_mt5_rows_for_symbol").when(F.col("__n").isNull(), "no_prior_quote").when(F.col("__t") - F.col("__n") <= tolerance_ms, "mt5_not_join_safe").otherwise("outside_tolerance")
     at = lambda c: F.when(hit, F.col(f"__m.{c}"))
