@@ -23,7 +23,7 @@ def _volume(c: Column, size: str = "size") -> Column:
     return F.coalesce(F.sum(F.when(c, F.col(size))), F.lit(0))
 
 
-def align(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "symbol", tie: Sequence[str] = ()) -> DataFrame:
+def align(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "symbol", tie: Sequence[str] = (), valid: str | None = "is_reference_trade_valid") -> DataFrame:
     """The as-of match with all six reasons: without the columns that a match needs, or for symbols without common time, every trade says so."""
     lost = lambda reason: [F.lit(False).alias("is_matched"), F.lit(reason).alias("reason")]
     if not {key, "quote_ms", "is_join_safe"} <= set(quotes.columns):
@@ -32,7 +32,7 @@ def align(trades: DataFrame, quotes: DataFrame, tolerance_ms: int, key: str = "s
     b = quotes.groupBy(key).agg(F.min("quote_ms").alias("q0"), F.max("quote_ms").alias("q1"))
     met = F.greatest(F.col("t0"), F.col("q0")) <= F.least(F.col("t1"), F.col("q1") + tolerance_ms)  # one row a symbol on either side
     apart = a.join(b, key).where(~met).select(F.col(key).alias("__apart"))
-    matched = asof_match(trades, quotes, tolerance_ms, key, tie)
+    matched = asof_match(trades, quotes, tolerance_ms, key, tie, valid=valid)
     done = matched.join(apart, matched[key] == F.col("__apart"), "left")
     return done.withColumn("reason", F.when(F.col("__apart").isNotNull() & ~F.col("is_matched") & (F.col("reason") != "missing_required_columns"), F.lit("no_overlap_window")).otherwise(F.col("reason"))).drop("__apart")
 
