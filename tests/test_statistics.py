@@ -105,3 +105,20 @@ def test_summary_of_correlations(spark):
     got = {(r.feature_a, r.feature_b): r for r in stats.correlation_summary(df, ["g"], ["a", "b", "c"]).collect()}
     assert got["a", "b"].is_statistically_significant and got["a", "b"].is_small_sample_warning and got["a", "b"].abs_correlation > 0.99
     assert not got["a", "c"].pvalue_available and not got["a", "c"].is_statistically_significant
+
+
+def test_bounds_only_where_a_pair_may_be_constant(spark):
+    """Pairs that vary for certain need no bounds; those that are constant, or nearly, keep the exact ones."""
+    rng = np.random.default_rng(6)
+    n = 400
+    x = np.column_stack([rng.normal(1e9, 1, n), rng.random(n), np.full(n, 7.0), np.where(np.arange(n) < 5, 1e8, 0.1), 3 + 1e-12 * rng.random(n), np.full(n, np.nan)])
+    x[:5, 1] = np.nan  # over the rows of this column the one with two values is constant
+    m = gram.Moments.of(x)
+    assert m.low[0, 1] == -np.inf and m.high[0, 1] == np.inf and m.low[1, 2] == -np.inf
+    assert (m.low[2, 0], m.high[2, 0]) == (7.0, 7.0) and (m.low[3, 1], m.high[3, 1]) == (0.1, 0.1) and m.low[4, 0] < m.high[4, 0]
+    assert m.low[0, 5] == np.inf and m.high[5, 0] == -np.inf
+    r = m.merge(gram.Moments.of(x[::-1])).correlation()
+    assert np.isnan(r[1, 3]) and np.isnan(r[0, 2]) and not np.isnan(r[0, 3]) and not np.isnan(r[0, 4])
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    gram.moments(spark.createDataFrame([(1.0, 2.0)], "a double, b double"), [], ["a", "b"])
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # what the JVM compiles at most

@@ -3,9 +3,9 @@
 A task turns its rows into matrices: with X the finite values (others zero) and M their mask, products of X, X * X and M
 give for all pairs at once the number of rows where both are finite, the sums, squares and cross products over these
 rows.  Values are taken relative to a reference near them, and partial results are merged by their means and centred
-products (the pairwise update of Chan, Golub and LeVeque), so large offsets lose no digits.  Least and greatest values
-of each column over the rows of a pair tell a constant side exactly.  What is shuffled is one small record a task and
-group, merged in two steps.
+products (the pairwise update of Chan, Golub and LeVeque), so large offsets lose no digits.  A constant side is told
+exactly: where squares don't rule it out by far, by the least and the greatest value over the rows of the pair.  What is
+shuffled is one small record a task and group, merged in two steps.
 """
 
 from __future__ import annotations
@@ -23,12 +23,16 @@ from pyspark.sql import types as T
 HELD = 64
 #: Rows of a batch that are turned into matrices at once.
 ROWS = 4096
+#: Centred squares above this share of the squares about the base are no rounding error (which is below rows x 1e-15).
+SURE = 1e-6
+#: Bytes of a generated method beyond which the JVM interprets it (HotSpot's ``HugeMethodLimit``).
+METHOD_BYTES = 8000
 #: Records of a group in the first of the two merging steps: as many as tasks, divided by this.
 PARTS = 64
 
 
 class Moments:
-    """For each ordered pair (i, j), over the rows where both are finite: count, mean of i from its column's base, centred squares of i, centred product, bounds of i.
+    """For each ordered pair (i, j), over the rows where both are finite: count, mean of i from its column's base, centred squares of i, centred product, bounds of i (infinite where i varies for certain).
 
     A column's base is one of its values, kept apart from the means, so that these stay small numbers.
     """
@@ -50,13 +54,14 @@ class Moments:
             square, cross = (d * d).T @ m, d.T @ d
             per = np.where(n > 0, n, 1.0)
             mean = total / per
-            low, high = np.full(n.shape, np.inf), np.full(n.shape, -np.inf)
-            for j in range(x.shape[1]):
-                some = x[there[:, j]]
-                if len(some):
-                    known = there[there[:, j]]
-                    low[:, j] = np.where(known, some, np.inf).min(axis=0)
-                    high[:, j] = np.where(known, some, -np.inf).max(axis=0)
+            # A pair whose squares stand far above their rounding error varies for certain; only the others are looked at.
+            low, high = np.where(n > 0, -np.inf, np.inf), np.where(n > 0, np.inf, -np.inf)
+            unsure = (n > 0) & ~(square - total * mean > SURE * square)
+            for i in np.flatnonzero(unsure.any(axis=1)):
+                some = x[there[:, i]]
+                known, own = there[there[:, i]][:, unsure[i]], some[:, i : i + 1]
+                low[i, unsure[i]] = np.where(known, own, np.inf).min(axis=0)
+                high[i, unsure[i]] = np.where(known, own, -np.inf).max(axis=0)
             return cls(n, np.broadcast_to(first[:, None], n.shape), mean, square - total * mean, cross - total * mean.T, low, high)
 
     def merge(self, o: Moments) -> Moments:
@@ -121,6 +126,8 @@ def _partial(keys: int, size: int) -> Callable:
 
 def moments(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     """A record (keys, moments) for each group."""
+    # The expressions of many columns make one method too large to be compiled; beyond this Spark generates several.
+    df.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
     size = len(features)
     names = [f"k{k}" for k in range(len(keys))]
     kinds = [df.schema[k].dataType for k in keys]
