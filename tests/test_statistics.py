@@ -122,3 +122,13 @@ def test_bounds_only_where_a_pair_may_be_constant(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     gram.moments(spark.createDataFrame([(1.0, 2.0)], "a double, b double"), [], ["a", "b"])
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # what the JVM compiles at most
+
+
+def test_rows_meet_bounds_beside_wanted_ranks_only(spark):
+    """However many slices a group could have, a row meets two bounds a rank, and small groups none."""
+    df = spark.range(5000).select(F.when(F.col("id") < 4990, "hot").alias("g"), (F.col("id") * 7919 % 5003).cast("double").alias("v"))
+    sliced, bounds = ranks._sliced(df, ["g"], "v", {"a": ranks.nearest(0.01), "b": ranks.nearest(0.5)}, 20)
+    assert len(bounds.columns) == 1 + 2 * 2 and bounds.count() == 1
+    got = {(r.g, r["__slice"]): r["count"] for r in sliced.groupBy("g", "__slice").count().collect()}
+    assert {s for g, s in got if g == "hot"} == set(range(5)) and got[None, 0] == 10
+    assert got["hot", 1] < 100 and got["hot", 3] < 100  # the slices that hold the ranks
