@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -422,6 +423,35 @@ def test_fuzzy_passages_among_strays_against_all_pairs(make, identity):
     assert got <= set(range(len(texts))) and len(got & want) >= 0.9 * len(want) and len(want) >= 10
 
 
+def test_passages_among_many_holders_of_the_same_seed_pairs(make):
+    """Texts whose every pair of seeds is held by many others too: no bound on partners hides the two that share a passage."""
+    rng = random.Random(17)
+    texts, stray = [], []
+    for _ in range(6):
+        p = [f"p{rng.randrange(10**6)}" for _ in range(61)]
+        texts += [prose(rng, 20).split() + p[:30] + [f"c{rng.randrange(10**6)}"] + p[31:] + prose(rng, 20).split() for _ in range(2)]
+        stray += [prose(rng, 12).split() + half + prose(rng, 12).split() for half in (p[:30], p[31:]) for _ in range(30)]
+    got = {r.doc for r in substring_dedup.repeated_passages(make(list(enumerate(" ".join(t) for t in texts + stray)))).collect()}
+    assert got == set(range(len(texts)))
+
+
+def test_long_alignments_only_where_a_passage_can_be(monkeypatch):
+    """Chains too short for a passage, with their ends, aren't compared word by word; a link of two matches is as in a chain."""
+    s, calls = substring_dedup, []
+    whole = s._edit
+    monkeypatch.setattr(s, "_edit", lambda a, b: calls.append(1) or whole(a, b))
+    a = list(range(100, 220))
+    stray, near = [*range(1000, 1050), *a[50:56], *range(2000, 2011), *a[66:72], *range(3000, 3050)], [*a[:58], 7, 8, *a[59:]]
+    batch = [pa.array([1, 1]), pa.array([2, 3]), pa.array([[50, 66], [50, 66]], pa.list_(pa.int32())), pa.array([[50, 67], [50, 67]], pa.list_(pa.int32())), pa.array([0, 0]), pa.array([a, a]), pa.array([0, 0]), pa.array([stray, near])]
+    got = [r for b in s._align_rows(s.K, 50, 0.8)([pa.RecordBatch.from_arrays(batch, names=list("abcdefgh"))]) for r in b.to_pylist()]
+    assert [r["lead"] for r in got] == [3] and len(calls) == 1
+    rng = random.Random(5)
+    for _ in range(500):
+        px, py = sorted(rng.randrange(60) for _ in range(2)), [rng.randrange(60) for _ in range(2)]
+        if px[0] < px[1]:
+            assert s._linked(px[1] - px[0], py[1] - py[0], 6) == any(len(x) == 2 for x in s.chain(np.array(px), np.array(py), 6))
+
+
 def test_chain_against_brute_force():
     rng = random.Random(6)
     for _ in range(40):
