@@ -236,23 +236,27 @@ def close_pairs(rows: list[dict], crossed: bool, percent: int, nearest: bool) ->
 
 
 def _block_rows(percent: int, nearest: bool):
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+    schema = pa.schema([("lead", pa.int64()), ("x", pa.int64()), ("y", pa.int64())])
 
     def run(batches):
         for batch in batches:
+            lead, x, y = [], [], []
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
                 pairs = close_pairs(row.column(1).to_pylist()[0], row.column(0).to_pylist()[0], percent, nearest)
-                if pairs:
-                    yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], schema=schema)
+                lead += [row.column(2)[0].as_py()] * len(pairs)
+                x += [min(p) for p in pairs]
+                y += [max(p) for p in pairs]
+            if lead:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (lead, x, y)], schema=schema)
 
     return run
 
 
 def _across(groups: DataFrame, known: DataFrame, small: DataFrame, percent: int, nearest: bool, block: int) -> DataFrame:
-    """Close pairs (x, y) of different components within a group; inside its leader's component nothing is compared."""
+    """Close pairs (lead, x, y) of different components within a group, without its leader; inside the leader's component nothing is compared."""
     label = known.withColumnRenamed("node", "cls")
-    of = groups.where("cls != lead").join(label, "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")  # leaders have met all
+    of = groups.join(label, "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
     main = known.select(F.col("node").alias("lead"), F.col("label").alias("main"))
     of = of.join(main, "lead", "left").withColumn("out", (F.col("comp") != F.coalesce("main", "lead")).cast("int")).drop("main")
     blocks = lambda c: F.ceil(c / F.lit(block)).cast("int")
@@ -263,7 +267,7 @@ def _across(groups: DataFrame, known: DataFrame, small: DataFrame, percent: int,
     keys = F.transform(met, lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     dealt = placed.withColumn("key", F.explode(keys)).join(small, "cls")
     held = dealt.groupBy("lead", "key").agg(F.collect_list(F.struct("cls", "comp", "n", "map", "block")).alias("rows"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")  # two blocks at most
-    return held.select((F.col("key.i") != F.col("key.j")).alias("crossed"), "rows").mapInArrow(_block_rows(percent, nearest), "x long, y long").distinct()
+    return held.select((F.col("key.i") != F.col("key.j")).alias("crossed"), "rows", "lead").mapInArrow(_block_rows(percent, nearest), "lead long, x long, y long")
 
 
 def _verify(pairs: DataFrame, read: DataFrame, reps: DataFrame, sides, percent: int) -> DataFrame:
@@ -315,21 +319,27 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     tested = cut(led.select("cls", "lead", "n", "m", "map", "lead_map").mapInArrow(_leader_rows(percent), "x long, y long").distinct(), "pairs")
     links = _verify(tested, read, reps, sides, percent)
     known = connected_components(links, "x", "y")
-    nearest = rounds
+    nearest, held = rounds, groups.where("cls != lead")  # leaders have met all
     while True:
-        fresh = cut(_across(groups, known, small, percent, nearest > 0, block).join(_either_way(tested), ["x", "y"], "left_anti"), "pairs")
+        close = cut(_across(held, known, small, percent, nearest > 0, block), "close")
+        if close.isEmpty():
+            break  # components only grow, so no later round has a pair either
+        fresh = cut(close.select("x", "y").distinct().join(_either_way(tested), ["x", "y"], "left_anti"), "pairs")
         if fresh.isEmpty():
             if not nearest:
                 break
             nearest = 0  # what is nearest is tested: on to all pairs
             continue
+        if nearest:  # groups without a close pair have none later
+            held = cut(held.join(close.select("lead").distinct(), "lead", "left_semi"), "held")
         found = _verify(fresh, read, reps, sides, percent)
-        tested, links = tested.union(fresh), links.union(found)
-        known = connected_components(links, "x", "y")
+        tested, none = tested.union(fresh), found.isEmpty()
+        if not none:
+            known = _joined(known, found)
         release(docs.sparkSession)
         if not nearest:
             break
-        nearest = 0 if found.isEmpty() else nearest - 1
+        nearest = 0 if none else nearest - 1
 
     least = cut(reps.select("cls", "rep").join(known.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "labels")
     comp = least.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -338,6 +348,15 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return sets.select("doc_id", "n", "cls").join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _joined(known: DataFrame, found: DataFrame) -> DataFrame:
+    """``known`` labels after the links ``found``, of which only the components that they tie are worked out anew."""
+    label = lambda c: known.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    tied = found.join(label("x"), "x", "left").join(label("y"), "y", "left").select(F.coalesce("x_label", "x").alias("x"), F.coalesce("y_label", "y").alias("y"))
+    more = connected_components(tied, "x", "y").select(F.col("node").alias("label"), F.col("label").alias("least"))
+    ends = _either_way(found).select(F.col("x").alias("node"), F.col("x").alias("label")).join(known, "node", "left_anti").distinct()  # had no link before
+    return cut(known.union(ends).join(more, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "components")
+
+
 def _either_way(pairs: DataFrame) -> DataFrame:
     return pairs.union(pairs.select("y", "x"))
 
