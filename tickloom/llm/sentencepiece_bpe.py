@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import ahocorasick
 import pandas as pd
@@ -66,6 +66,17 @@ def _merge(parts: list[str], score: dict[str, float]) -> list[str]:
     return [p for p in parts if p]
 
 
+class _Made(dict):
+    """A dictionary that asks ``make`` for the value of a missing key; ``make`` keeps it or not."""
+
+    def __init__(self, make: Callable) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        return self.make(key)
+
+
 class Tokenizer:
     """Encoder and decoder of one model file."""
 
@@ -97,8 +108,8 @@ class Tokenizer:
         self.chars = frozenset(p for p in self.id_of if len(p) == 1)
         self.decimal = [str(i).encode() for i in range(len(self.piece))]
         self.shown = [p.replace(SPACE, " ").encode() for p in self.piece]
-        self.fits: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.fits: dict[int, bool] = _Made(self.compatible)
+        self.words: dict[str, bytes] = _Made(self._known)
         self.older: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
         self.odd_size = 0
@@ -125,7 +136,7 @@ class Tokenizer:
                 start = at + 1 - (found >> 20)
                 if start:
                     pair = (last[start] & 0xFFFFF) << 20 | found & 0xFFFFF
-                    if not (fits[pair] if pair in fits else self.compatible(pair)):
+                    if not fits[pair]:
                         continue
                 done = at + 1
                 last[done] = found
@@ -137,9 +148,12 @@ class Tokenizer:
         out.reverse()
         return out
 
+    def _plain(self, word: str) -> bool:
+        """Whether the table covers the word: its ids then are pieces that spell it."""
+        return self.chars.issuperset(word) and SPACE * 2 not in word
+
     def _ids(self, word: str) -> list[int]:
-        if self.chars.issuperset(word) and SPACE * 2 not in word:
-            return self._table(word)
+        """Ids of a word that the table doesn't cover."""
         ids: list[int] = []
         known = self.id_of
         run: list[str] = []
@@ -165,23 +179,24 @@ class Tokenizer:
 
     def _known(self, word: str) -> bytes:
         """Decimal ids joined by commas.  Where the ids don't decode to the word, ``odd`` has what they decode to."""
-        got = self.older.get(word)
+        got = self.older.get(word) or self.words.get(word)  # words that came meanwhile: the text holds on to the dictionary that it began with
         if got is None:
-            ids = self._ids(word)
+            plain = self._plain(word)
+            ids = self._table(word) if plain else self._ids(word)
             got = b",".join([self.decimal[i] for i in ids])
-            if (back := self._bytes(ids)) != word.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+            if not plain and (back := self._bytes(ids)) != word.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
                 self.odd[word] = back
                 self.odd_size += len(word)
         if len(word) <= LONGEST:
             if len(self.words) >= CACHE:
-                self.older, self.words = self.words, {}
+                self.older, self.words = self.words, _Made(self._known)
             self.words[word] = got
         return got
 
     def _trim(self) -> None:
         """Between texts: forget all when the odd words have grown, since cached words rely on them."""
         if self.odd_size > ODD:
-            self.words, self.older, self.odd, self.odd_size = {}, {}, {}, 0
+            self.words, self.older, self.odd, self.odd_size = _Made(self._known), {}, {}, 0
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for w in self.word.findall(self._normal(text)) for x in self._known(w).split(b",")]
@@ -223,8 +238,7 @@ class Tokenizer:
         if not parts:
             return 0, b"", ""
         self._trim()
-        words = self.words
-        ids = b",".join([words[w] if w in words else self._known(w) for w in parts])
+        ids = b",".join(map(self.words.__getitem__, parts))
         if self.odd and not self.odd.keys().isdisjoint(parts):
             raw = b"".join([self.odd[w] if w in self.odd else w.replace(SPACE, " ").encode("utf-8", "surrogatepass") for w in parts]).decode("utf-8")
         else:
