@@ -151,43 +151,49 @@ def _step(x: np.ndarray, m: dict, h: np.ndarray):
 
 def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of ids at states, and with ``grads`` the gradient of the mean loss by state."""
-    group = v.group[ids]
-    logits = h @ m["wc"] + m["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1, keepdims=True)
-    rows = np.arange(len(ids))
-    out = logits[rows, group] - np.log(total[:, 0])
-    back = None
-    if grads is not None:
-        d = e / total
-        d[rows, group] -= 1
-        d /= len(ids)
-        grads["wc"] += h.T @ d
-        grads["bc"] += d.sum(axis=0)
-        back = d @ m["wc"].T
+    n, group = len(ids), v.group[ids]
+    # Tokens are sorted by class once, so a class is a run of them; they lie along the last axis, where numpy reduces and indexes fast.
     order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(v.classes + 1))
-    for c in np.flatnonzero(np.diff(edges)):
+    h, ids, group = h[order], ids[order], group[order]
+    rows = np.arange(n)
+    logits = m["wc"].T @ h.T + m["bc"][:, None]
+    logits -= logits.max(axis=0)
+    own = logits[group, rows]
+    e = np.exp(logits, out=logits)
+    total = e.sum(axis=0)
+    found, back = own - np.log(total), None
+    if grads is not None:
+        e /= total
+        e[group, rows] -= 1
+        e /= n
+        grads["wc"] += h.T @ e.T
+        grads["bc"] += e.sum(axis=1)
+        back = e.T @ m["wc"].T
+    edges = np.searchsorted(group, np.arange(v.classes + 1)).tolist()
+    for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
         lo, hi = v.first[c], v.first[c + 1]
-        if hi - lo == 1:
+        if a == b or hi - lo == 1:
             continue
-        at = order[edges[c] : edges[c + 1]]
-        hc = h[at]
-        logit = hc @ m["wo"][lo:hi].T + m["bo"][lo:hi]
-        logit -= logit.max(axis=1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(axis=1, keepdims=True)
-        k = ids[at] - lo
-        r = np.arange(len(at))
-        out[at] += logit[r, k] - np.log(total[:, 0])
+        hc, wo = h[a:b], m["wo"][lo:hi]
+        logit = wo @ hc.T + m["bo"][lo:hi, None]
+        logit -= logit.max(axis=0)
+        k, r = ids[a:b] - lo, rows[: b - a]
+        own = logit[k, r]
+        e = np.exp(logit, out=logit)
+        total = e.sum(axis=0)
+        found[a:b] += own - np.log(total)
         if grads is not None:
-            d = e / total
-            d[r, k] -= 1
-            d /= len(ids)
-            grads["wo"][lo:hi] += d.T @ hc
-            grads["bo"][lo:hi] += d.sum(axis=0)
-            back[at] += d @ m["wo"][lo:hi]
+            e /= total
+            e[k, r] -= 1
+            e /= n
+            grads["wo"][lo:hi] += e @ hc
+            grads["bo"][lo:hi] += e.sum(axis=1)
+            back[a:b] += e.T @ wo
+    out = np.empty_like(found)
+    out[order] = found
+    if back is not None:
+        sorted_back, back = back, np.empty_like(back)
+        back[order] = sorted_back
     return out, back
 
 
