@@ -54,6 +54,12 @@ def test_against_brute_force(spark, rounds, block):
     assert found(spark, rows, rounds=rounds, block=block) == brute(rows)
 
 
+def test_classes_that_only_share_the_bands_of_a_third_meet(spark):
+    rows = near_copies(random.Random(5), 25)
+    got = cm.near_duplicates(table(spark, rows), count=8, rows=1).collect()  # broad groups: most pairs in one aren't led by either
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id, r.doc_id == r.component_id)) for r in got) == brute(rows)
+
+
 def test_edges_and_empty_table(spark):
     assert found(spark, EDGE) == brute(EDGE)
     assert found(spark, []) == []

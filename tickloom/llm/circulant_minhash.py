@@ -168,7 +168,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(spark)
     nearest = rounds
     while True:
-        fresh = cut(_across(groups, known, small, percent, nearest > 0, block).join(_either_way(tested), ["x", "y"], "left_anti"), "pairs")
+        close = _across(groups, known, small, percent, nearest > 0, block).select("x", "y").distinct()  # several groups may hold a pair
+        fresh = cut(close.join(_either_way(tested), ["x", "y"], "left_anti"), "pairs")
         if not fresh.isEmpty():
             found = verify(fresh, read, classes, words, percent)
             tested, links = tested.union(fresh), links.union(found)
