@@ -140,17 +140,40 @@ def start(v: Vocabulary, seed: int = 3) -> dict[str, np.ndarray]:
     }
 
 
-def _step(x: np.ndarray, m: dict, h: np.ndarray):
-    """One step of the GRU from input rows ``x``: the new state and what the way back needs."""
-    r = h @ m["wh"]
-    zr = 0.5 * np.tanh(0.5 * (x[:, : 2 * STATE] + r[:, : 2 * STATE])) + 0.5
-    z, g, rn = zr[:, :STATE], zr[:, STATE:], r[:, 2 * STATE :]
-    n = np.tanh(x[:, 2 * STATE :] + g * rn)
-    return n + z * (h - n), z, g, n, rn
-
-
-def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log probability of ids at states, and with ``grads`` the gradient of the mean loss by state."""
+def _fed(m: dict, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """What words (all without ``ids``) give to the GRU's gates, and the weights of its state; both halved where a sigmoid follows, as it is a tanh of half its input."""
+    half = np.ones(3 * STATE, m["wx"].dtype)
+    half[: 2 * STATE] = 0.5
+    embed = m["embed"] if ids is None else m["embed"][ids]
+    return embed @ (m["wx"] * half) + m["b"] * half, m["wh"] * half
+
+
+def _forward(x: np.ndarray, wh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Steps of the GRU from inputs and weights of ``_fed``: the states before each, the last state, and what the way back needs."""
+    steps, lanes = x.shape[:2]
+    states, n, rn, zg = (np.empty((steps, lanes, k * STATE), x.dtype) for k in (1, 1, 1, 2))
+    for t in range(steps):
+        states[t] = h
+        r, both, new = h @ wh, zg[t], n[t]
+        np.add(x[t, :, : 2 * STATE], r[:, : 2 * STATE], out=both)
+        np.tanh(both, out=both)
+        both *= 0.5
+        both += 0.5
+        rn[t] = r[:, 2 * STATE :]
+        np.multiply(both[:, STATE:], rn[t], out=new)
+        new += x[t, :, 2 * STATE :]
+        np.tanh(new, out=new)
+        h = h - new
+        h *= both[:, :STATE]
+        h += new
+    return states, h, zg, n, rn
+
+
+def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log probability of ids at states, and with ``grads`` the gradient of the mean loss by state.
+
+    ``grads`` gets rows (weight, which part of it, gradient); what no id touches isn't in it.
+    """
     n, group = len(ids), v.group[ids]
     # Tokens are sorted by class once, so a class is a run of them; they lie along the last axis, where numpy reduces and indexes fast.
     order = np.argsort(group, kind="stable")
@@ -163,13 +186,11 @@ def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict
     total = e.sum(axis=0)
     found, back = own - np.log(total), None
     if grads is not None:
-        e /= total
-        e[group, rows] -= 1
-        e /= n
-        grads["wc"] += h.T @ e.T
-        grads["bc"] += e.sum(axis=1)
+        e *= 1 / (total * n)
+        e[group, rows] -= 1 / n
+        grads += [("wc", slice(None), h.T @ e.T), ("bc", slice(None), e.sum(axis=1))]
         back = e.T @ m["wc"].T
-    edges = np.searchsorted(group, np.arange(v.classes + 1)).tolist()
+    edges, parts = np.searchsorted(group, np.arange(v.classes + 1)).tolist(), []
     for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
         lo, hi = v.first[c], v.first[c + 1]
         if a == b or hi - lo == 1:
@@ -183,12 +204,13 @@ def _output(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict
         total = e.sum(axis=0)
         found[a:b] += own - np.log(total)
         if grads is not None:
-            e /= total
-            e[k, r] -= 1
-            e /= n
-            grads["wo"][lo:hi] += e @ hc
-            grads["bo"][lo:hi] += e.sum(axis=1)
+            e *= 1 / (total * n)
+            e[k, r] -= 1 / n
+            parts.append((np.arange(lo, hi), e @ hc, e.sum(axis=1)))
             back[a:b] += e.T @ wo
+    if parts:
+        touched, wo, bo = (np.concatenate(x) for x in zip(*parts, strict=True))
+        grads += [("wo", touched, wo), ("bo", touched, bo)]
     out = np.empty_like(found)
     out[order] = found
     if back is not None:
@@ -202,16 +224,11 @@ def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory:
 
     ``real`` is false after a lane's end: what lies there has no loss.
     """
-    table = m["embed"] @ m["wx"] + m["b"]
     steps, lanes = ids.shape
-    x = table[ids]
-    states = np.empty((steps, lanes, STATE), h.dtype)
-    saved = []
-    for t in range(steps):
-        states[t] = h
-        h, *kept = _step(x[t], m, h)
-        saved.append(kept)
-    grads = {k: np.zeros_like(w) for k, w in m.items()}
+    few = ids.size < len(m["embed"])
+    x, wh = _fed(m, ids if few else None)
+    states, h, zg, n, rn = _forward(x if few else x[ids], wh, h)
+    grads: list[tuple] = []
     flat, wanted = states.reshape(-1, STATE), ids.reshape(-1)
     if real is None or real.all():
         back = _output(m, v, flat, wanted, grads)[1].reshape(steps, lanes, STATE)
@@ -221,39 +238,42 @@ def train_window(m: dict, v: Vocabulary, h: np.ndarray, ids: np.ndarray, memory:
         back[at] = _output(m, v, flat[at], wanted[at], grads)[1]
         back = back.reshape(steps, lanes, STATE)
     if steps > 1:
-        dx = np.empty((steps - 1, lanes, 3 * STATE), states.dtype)
-        dr = np.empty_like(dx)
+        # What multiplies a state's gradient is worked out for all steps at once; only the gradient itself goes back step by step.
+        z, g, n, rn = zg[:-1, :, :STATE], zg[:-1, :, STATE:], n[:-1], rn[:-1]
+        rest = 1 - z
+        new = rest * (1 - n * n)
+        by = np.empty((steps - 1, lanes, 3, STATE), states.dtype)
+        by[:, :, 0] = rest * z * (states[:-1] - n)
+        np.multiply(new, g, out=by[:, :, 2])
+        by[:, :, 1] = by[:, :, 2] * rn * (1 - g)
+        dhs = np.empty((steps - 1, lanes, STATE), states.dtype)
         dh, wt = back[steps - 1], np.ascontiguousarray(m["wh"].T)
         for t in range(steps - 2, -1, -1):
-            z, g, n, rn = saved[t]
-            left = dh * (1 - z)
-            dn = left * (1 - n * n)
-            dx[t, :, :STATE] = left * z * (states[t] - n)
-            dx[t, :, STATE : 2 * STATE] = dn * rn * g * (1 - g)
-            dx[t, :, 2 * STATE :] = dn
-            dr[t] = dx[t]
-            dr[t, :, 2 * STATE :] *= g
-            dh = dh * z + dr[t] @ wt + back[t]
-        fed, by_row = ids[:-1].reshape(-1), dx.reshape(-1, 3 * STATE)
-        grads["wh"] += flat[: len(fed)].T @ dr.reshape(-1, 3 * STATE)
-        grads["b"] += by_row.sum(axis=0)
-        order = np.argsort(fed, kind="stable")  # rows of one word are summed before the embedding
+            dhs[t] = dh
+            by[t] *= dh[:, None]
+            dh = dh * z[t]
+            dh += by[t].reshape(lanes, -1) @ wt
+            dh += back[t]
+        fed, dr = ids[:-1].reshape(-1), by.reshape(-1, 3 * STATE)
+        grads.append(("wh", slice(None), flat[: len(fed)].T @ dr))
+        dr[:, 2 * STATE :] = (new * dhs).reshape(-1, STATE)  # from here on by input
+        order = np.argsort(fed, kind="stable")  # rows of one word are summed
         words, first = np.unique(fed[order], return_index=True)
-        summed = np.add.reduceat(by_row[order], first)
-        grads["wx"] += m["embed"][words].T @ summed
-        grads["embed"][words] += summed @ m["wx"].T
-    size = math.sqrt(sum(float((x * x).sum()) for x in grads.values()))
+        grads += [("b", slice(None), dr.sum(axis=0)), ("wx", slice(None), m["embed"][fed].T @ dr), ("embed", words, np.add.reduceat((dr @ m["wx"].T)[order], first))]
+    size = math.sqrt(sum(float(np.vdot(x, x)) for _, _, x in grads))
     share = 1.0 if real is None else float(real.sum()) / (STEPS * LANES)  # a window with few lanes left weighs as little as its tokens
-    for k, x in grads.items():
+    for k, part, x in grads:
         x *= share * min(1.0, 1.0 / max(size, 1e-9))
-        memory[k] += x * x
-        m[k] -= RATE * x / (np.sqrt(memory[k]) + 1e-6)
+        seen = memory[k][part] + x * x
+        memory[k][part] = seen
+        m[k][part] -= RATE * x / (np.sqrt(seen) + 1e-6)
     return h
 
 
-def _windows(docs: Iterable[tuple], lanes: int, steps: int):
+def _windows(docs: Iterable[tuple], lanes: int, steps: int, stretch: bool = False):
     """Windows over id sequences, ``lanes`` side by side; a lane whose document ends takes the next one with a fresh state.
 
+    With ``stretch``, when the sequences run out and few lanes are left, their windows get longer, up to the tokens of a full one.
     Yields (keys of the live lanes, ids, which of them are real, whether a lane ends here, states); the receiver puts the states to carry into the last.
     """
     docs, live, keys, h = iter(docs), [], [], np.zeros((0, STATE), np.float32)
@@ -264,30 +284,26 @@ def _windows(docs: Iterable[tuple], lanes: int, steps: int):
         keys += [k for k, _ in new]
         live += [x for _, x in new]
         h = np.concatenate([h, np.zeros((len(new), STATE), np.float32)])
-        n = np.array([min(len(x), steps) for x in live])
+        left = np.array([len(x) for x in live])
+        width = steps * (lanes // len(live)) if stretch else steps
+        n = np.minimum(left, width)
         real = np.arange(n.max())[:, None] < n
         ids = np.zeros(real.shape, dtype=np.int64)
         for j, x in enumerate(live):
-            ids[: n[j], j] = x[:steps]
-        ends = np.array([len(x) <= steps for x in live])
+            ids[: n[j], j] = x[:width]
+        ends = left <= width
         state = [h]
         yield keys, ids, real, ends, state
         keep = np.flatnonzero(~ends).tolist()
-        live, keys, h = [live[j][steps:] for j in keep], [keys[j] for j in keep], state[0][keep]
+        live, keys, h = [live[j][width:] for j in keep], [keys[j] for j in keep], state[0][keep]
 
 
 def score_stream(m: dict, v: Vocabulary, docs: Iterable[tuple], lanes: int = 512, steps: int = 16) -> Iterator[tuple]:
     """(key, natural log-likelihood) of each (key, id sequence), as they end; state is carried from window to window."""
-    table = m["embed"] @ m["wx"] + m["b"]
+    table, wh = _fed(m)
     total: dict = {}
-    for keys, ids, real, ends, state in _windows(docs, lanes, steps):
-        h = state[0].astype(table.dtype, copy=False)
-        x = table[ids]
-        states = np.empty((*ids.shape, STATE), table.dtype)
-        for t in range(len(ids)):
-            states[t] = h
-            h = _step(x[t], m, h)[0]
-        state[0] = h
+    for keys, ids, real, ends, state in _windows(docs, lanes, steps, True):
+        states, state[0] = _forward(table[ids], wh, state[0].astype(table.dtype, copy=False))[:2]
         at = real.reshape(-1)
         logs = np.zeros(at.shape)
         logs[at] = _output(m, v, states.reshape(-1, STATE)[at], ids.reshape(-1)[at])[0]
